@@ -69,7 +69,7 @@ def without_addresses(body: Column) -> Column:
 def flattened(body: Column) -> Column:
     """Drop left-over header lines and collapse white space."""
     body = F.regexp_replace(body, HEADER_LINE, " ")
-    return strip_space(F.regexp_replace(body, rf"{WS}+", " "))
+    return F.trim(F.regexp_replace(body, rf"{WS}+", " "))
 
 
 def boosted_text(subject: Column, body: Column) -> Column:
@@ -79,7 +79,14 @@ def boosted_text(subject: Column, body: Column) -> Column:
 
 def token_count(text: Column) -> Column:
     """Number of white-space separated tokens."""
-    return F.regexp_count(text, F.lit(rf"{NON_WS}+"))
+    bare = strip_space(text)
+    return F.when(bare == "", 0).otherwise(F.size(F.split(bare, rf"{WS}+")))
+
+
+def flat_token_count(flat: Column) -> Column:
+    """``token_count`` of text whose white space is collapsed: blanks plus one."""
+    blanks = F.length(flat) - F.length(F.translate(flat, " ", ""))
+    return F.when(flat == "", 0).otherwise(blanks + 1)
 
 
 def content_id(text: Column) -> Column:

@@ -31,7 +31,8 @@ def clean_posts(posts: DataFrame, raw: str = "raw", strip_chain: bool = False) -
         *others,
         "subject",
         "text",
-        tx.token_count(F.col("text")).alias("n_tokens"),
+        # The text is the subject twice and the body, joined by blanks.
+        (2 * tx.token_count(F.col("subject")) + tx.flat_token_count(F.col("_body"))).alias("n_tokens"),
         tx.content_id(F.col("text")).alias("id"),
     )
 
@@ -40,19 +41,22 @@ def keep_long(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
     return docs.filter(F.col("n_tokens") >= min_tokens)
 
 
-def first_copies(docs: DataFrame) -> DataFrame:
+def first_copies(docs: DataFrame, min_tokens: int = 0) -> DataFrame:
     """Keep the first of all documents with the same ``id`` by ``(category, doc_id)``.
 
     The rank filter runs before the shuffle too, so of a text copied into a third of
-    the corpus each task sends one row.
+    the corpus each task sends one row. Copies share their length, so the length test
+    may follow the ranking; put before it, the optimizer would push it down and clean
+    every text a second time to evaluate it.
     """
     order = W.partitionBy("id").orderBy("category", "doc_id")
-    return docs.withColumn("_copy", F.row_number().over(order)).filter("_copy = 1").drop("_copy")
+    first = (F.col("_copy") == 1) & (F.col("n_tokens") >= min_tokens)
+    return docs.withColumn("_copy", F.row_number().over(order)).filter(first).drop("_copy")
 
 
 def build_corpus(posts: DataFrame, raw: str = "raw", min_tokens: int = MIN_TOKENS) -> DataFrame:
     """``Doc`` rows of the posts that are long enough, one per text."""
-    docs = first_copies(keep_long(clean_posts(posts, raw), min_tokens))
+    docs = first_copies(clean_posts(posts, raw), min_tokens)
     return docs.select("id", "doc_id", "category", "text", "n_tokens")
 
 
