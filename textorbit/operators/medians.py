@@ -15,7 +15,7 @@ def exact_medians(df: DataFrame, group: str, values: list[str]) -> DataFrame:
 
     The built-in exact percentile holds a group's distinct values in one buffer. Here a
     mergeable sketch first brackets the median ranks; a second aggregation counts what
-    lies below the bracket and keeps only values inside it, some 2 / ``ACCURACY`` of a
+    lies below the bracket and keeps only values inside it, under 1 / 1,000 of a
     group, as (value, count) pairs. The ranks are then read off exactly.
     """
     long = df.select(
@@ -25,7 +25,7 @@ def exact_medians(df: DataFrame, group: str, values: list[str]) -> DataFrame:
         ).alias("e"),
     ).select(group, "e.name", "e.x")
     keys = [group, "name"]
-    slack = 2.0 / ACCURACY
+    slack = 4.0 / ACCURACY
     brackets = long.groupBy(*keys).agg(
         F.count("*").alias("n"),
         F.percentile_approx("x", [0.5 - slack, 0.5 + slack], ACCURACY).alias("q"),
@@ -40,9 +40,10 @@ def exact_medians(df: DataFrame, group: str, values: list[str]) -> DataFrame:
         F.when(few, F.col("least")).otherwise(F.get("q", F.lit(0))).alias("lo"),
         F.when(few, F.col("most")).otherwise(F.get("q", F.lit(1))).alias("hi"),
     )
+    # One bracket row per group and value: clusters number a few dozen, so it is broadcast.
     # Values under the bracket collapse into one pair, values over it are not needed.
     counts = (
-        long.join(brackets, keys)
+        long.join(F.broadcast(brackets), keys)
         .filter(F.col("x") <= F.col("hi"))
         .withColumn("v", F.when(F.col("x") >= F.col("lo"), F.col("x")))
         .groupBy(*keys, "n", "v")
