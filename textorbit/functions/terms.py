@@ -118,7 +118,7 @@ def counted_terms(df: DataFrame, terms: str, keep: list[str]) -> DataFrame:
 
     positions = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
     return (
-        df.select(*keep, F.array_sort(terms).alias("_sorted"))
+        df.select(*keep, F.sort_array(terms).alias("_sorted"))
         .withColumn("_starts", F.filter(positions, starts_run))
         .select(*keep, F.transform(starts, run).alias("_runs"))
         .select(*keep, F.explode_outer("_runs").alias("_run"))

@@ -39,39 +39,36 @@ def dot(a: Column | str, b: Column | str) -> Column:
 
 
 def to_bytes(matrix: np.ndarray) -> pa.Array:
-    """Rows of a double matrix as a binary column, which Spark moves as it is."""
-    data = np.ascontiguousarray(matrix, np.float64)
-    offsets = np.arange(len(data) + 1, dtype=np.int64) * (8 * data.shape[1])
-    buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)]
-    return pa.Array.from_buffers(pa.binary(), len(data), buffers)
+    """Rows of a matrix as a binary column, which Spark moves as it is."""
+    data = np.ascontiguousarray(matrix)
+    offsets = np.arange(len(data) + 1, dtype=np.int32) * (data.itemsize * data.shape[1])
+    return pa.Array.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
-def from_bytes(column: pa.Array | pa.ChunkedArray, dims: int) -> np.ndarray:
+def from_bytes(column: pa.Array | pa.ChunkedArray, dims: int, dtype=np.float64) -> np.ndarray:
     """Inverse of ``to_bytes``."""
     if isinstance(column, pa.ChunkedArray):
-        chunks = [from_bytes(c, dims) for c in column.chunks]
-        return np.concatenate(chunks) if chunks else np.zeros((0, dims))
+        chunks = [from_bytes(c, dims, dtype) for c in column.chunks]
+        return np.concatenate(chunks) if chunks else np.zeros((0, dims), dtype)
     _, offsets, data = column.buffers()
-    width = 8 if pa.types.is_large_binary(column.type) else 4
-    first = int.from_bytes(offsets[column.offset * width : (column.offset + 1) * width].to_pybytes(), "little")
-    values = np.frombuffer(data, np.float64, len(column) * dims, first)
-    return values.reshape(-1, dims)
+    width = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    first = int(np.frombuffer(offsets, width)[column.offset]) if len(column) else 0
+    return np.frombuffer(data, dtype, len(column) * dims, first).reshape(-1, dims)
 
 
 SUMS = "key int, vec binary"
 
 
-def keyed_sums(keys: np.ndarray, matrix: np.ndarray) -> Iterator[pa.RecordBatch]:
+def keyed_sums(keys: np.ndarray, matrix: np.ndarray, dtype=np.float64) -> Iterator[pa.RecordBatch]:
     """``SUMS`` rows in batches of moderate size."""
     for at in range(0, len(keys), 4096):
         part = slice(at, at + 4096)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys[part], pa.int32()), to_bytes(matrix[part])], ["key", "vec"]
-        )
+        vectors = to_bytes(matrix[part].astype(dtype, copy=False))
+        yield pa.RecordBatch.from_arrays([pa.array(keys[part], pa.int32()), vectors], ["key", "vec"])
 
 
-def sum_by_key(partials: DataFrame, dims: int) -> DataFrame:
-    """Add up ``SUMS`` rows per key.
+def sum_by_key(partials: DataFrame, dims: int, dtype=np.float64) -> DataFrame:
+    """Add up ``SUMS`` rows per key, in double; ``dtype`` is what travels.
 
     One shuffle; each task adds the vectors of its keys as they stream in, so its
     memory is that of its keys however many partial rows a key has.
@@ -90,21 +87,21 @@ def sum_by_key(partials: DataFrame, dims: int) -> DataFrame:
             if len(place) > len(sums):
                 sums = np.concatenate([sums, np.zeros((max(len(sums), len(place)), dims))])
             slots = np.array([place[key] for key in distinct.tolist()])
-            vectors = from_bytes(batch.column(1), dims)
+            vectors = from_bytes(batch.column(1), dims, dtype)
             if len(distinct) == len(keys):
                 sums[slots[which]] += vectors
             else:
                 np.add.at(sums, slots[which], vectors)
         if place:
-            yield from keyed_sums(np.array(list(place)), sums[: len(place)])
+            yield from keyed_sums(np.array(list(place)), sums[: len(place)], dtype)
 
     return partials.repartition("key").mapInArrow(add, SUMS)
 
 
-def collect_sums(partials: DataFrame, n_keys: int, dims: int) -> np.ndarray:
+def collect_sums(partials: DataFrame, n_keys: int, dims: int, dtype=np.float64) -> np.ndarray:
     """Summed vectors as an ``n_keys`` by ``dims`` matrix; absent keys are zero."""
-    table = sum_by_key(partials, dims).toArrow()
+    table = sum_by_key(partials, dims, dtype).toArrow()
     out = np.zeros((n_keys, dims))
     if table.num_rows:
-        out[table.column(0).to_numpy()] = from_bytes(table.column(1), dims)
+        out[table.column(0).to_numpy()] = from_bytes(table.column(1), dims, dtype)
     return out
