@@ -1,0 +1,156 @@
+"""The cache against a plain one-query-at-a-time loop."""
+
+import datetime as dt
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from textorbit.functions.vectors import to_lists, unit_rows
+from textorbit.streaming import cache as ca
+
+K, D, KAPPA, THETA = 5, 8, 20.0, 0.8
+
+
+def make_log(n, seed):
+    rng = np.random.default_rng(seed)
+    centers = unit_rows(rng.standard_normal((K, D)))
+    topics = unit_rows(rng.standard_normal((12, D)))
+    x = unit_rows(topics[rng.integers(0, 12, n)] + 0.2 * rng.standard_normal((n, D)))
+    hot = rng.random(n) < 0.3
+    x[hot] = x[0]  # a third of the log is one query
+    x[n // 2] = 0.0  # no known word
+    return centers, x.astype(np.float32)
+
+
+def log_frame(spark, x, start=0):
+    n = len(x)
+    ids = np.arange(start, start + n)
+    table = pa.table(
+        {
+            "query_id": ids,
+            "ts": pa.array([dt.datetime(2024, 1, 1) + dt.timedelta(seconds=int(i) // 3) for i in ids], pa.timestamp("us", "UTC")),
+            "query": [f"q{i}" for i in ids],
+            "embedding": to_lists(x),
+        }
+    )
+    return spark.createDataFrame(table).repartition(4)
+
+
+def plain_loop(centers, x, max_size, top_t=2, theta=THETA):
+    """Decisions (hit, matched, similarity, dominant) and the final entries, oldest use first."""
+    store, out = [], []  # [query number, dominant, hit count]
+    for n, v in enumerate(x.astype(float)):
+        z = KAPPA * (centers @ v)
+        u = np.exp(z - z.max())
+        order = sorted(range(K), key=lambda k: (-u[k], k))
+        best, sim = None, -1.0
+        for cluster in order[:top_t]:
+            for entry in sorted(store):
+                s = round(float(x[entry[0]].astype(float) @ v), 12)
+                if entry[1] == cluster and s > sim:
+                    best, sim = entry, s
+        if best is not None and sim >= theta:
+            out.append((True, f"q{best[0]}", sim, order[0]))
+            store.remove(best)
+            store.append([best[0], best[1], best[2] + 1])
+        else:
+            out.append((False, None, sim, order[0]))
+            store.append([n, order[0], 0])
+            if len(store) > max_size:
+                store.pop(0)
+    return out, store
+
+
+def check(cache, x, centers, max_size):
+    want, store = plain_loop(centers, x, max_size)
+    got = {r.query_id: r for r in cache.decisions().collect()}
+    assert len(got) == len(x)
+    for n, (hit, matched, sim, dominant) in enumerate(want):
+        r = got[n]
+        assert (r.cache_hit, r.matched_query, r.dominant_cluster) == (hit, matched, dominant), n
+        assert r.similarity == pytest.approx(sim, abs=1e-9)
+    entries = [(r.query, r.hard_cluster, r.hit_count) for r in cache.state().orderBy("lru_seq").collect()]
+    assert entries == [(f"q{n}", c, h) for n, c, h in store]
+
+
+@pytest.mark.parametrize("max_size,cells,cuts", [(500, 1 << 23, [80]), (5, 1 << 23, [80]), (7, 200, [80]), (20, 1 << 23, [1, 30, 80])])
+def test_equals_the_loop(spark, monkeypatch, max_size, cells, cuts):
+    """One slice or many, with and without eviction, in one batch or several."""
+    monkeypatch.setattr(ca, "SLICE_CELLS", cells)
+    centers, x = make_log(80, max_size)
+    cache = ca.SemanticCache(spark, centers, kappa=KAPPA, threshold=THETA, max_size=max_size)
+    start = 0
+    for end in cuts:
+        cache.process(log_frame(spark, x[start:end], start))
+        start = end
+    check(cache, x, centers, max_size)
+
+
+def test_stream_repeat_and_reopen(spark, tmp_path):
+    centers, x = make_log(60, 1)
+    for part, (a, b) in enumerate([(0, 25), (25, 60)]):
+        log_frame(spark, x[a:b], a).coalesce(1).write.parquet(str(tmp_path / "log" / f"p{part}"))
+    schema = log_frame(spark, x[:1]).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "log" / "*"))
+    cache = ca.SemanticCache(spark, centers, kappa=KAPPA, threshold=THETA, path=str(tmp_path / "cache"))
+    cache.follow(stream).awaitTermination()
+    assert cache.batch == 1
+    check(cache, x, centers, 2048)
+    # Repeating the last batch, as after a failure, changes nothing.
+    cache.process(log_frame(spark, x[25:], 25), 1)
+    check(cache, x, centers, 2048)
+    again = ca.SemanticCache(spark, centers, kappa=KAPPA, threshold=THETA, path=str(tmp_path / "cache"))
+    assert again.batch == 1
+    check(again, x, centers, 2048)
+
+
+def test_search_payload_and_admin(spark, tmp_path):
+    centers, x = make_log(30, 2)
+
+    def search(misses):
+        return misses.select(
+            "query_id", F.explode(F.sequence(F.lit(1), F.lit(2))).alias("rank"), F.lit(0.5).alias("score"),
+            F.concat("query", F.lit("-doc")).alias("id"), F.lit("c").alias("category"), F.lit("f").alias("doc_id"),
+            F.lit(9).alias("n_tokens"),
+        )
+
+    cache = ca.SemanticCache(spark, centers, search, kappa=KAPPA, threshold=THETA)
+    rows = cache.process(log_frame(spark, x)).collect()
+    for r in rows:
+        source = r.matched_query or r.query
+        assert [(h.rank, h.id) for h in r.result] == [(1, f"{source}-doc"), (2, f"{source}-doc")]
+    hits = sum(r.cache_hit for r in rows)
+    stats = cache.stats().first()
+    assert (stats.total_entries, stats.hit_count, stats.miss_count) == (30 - hits, hits, 30 - hits)
+    assert stats.hit_rate == round(hits / 30, 4)
+    detail = cache.detail().first()
+    assert sum(detail.bucket_sizes.values()) == 30 - hits and detail.top_t == 2
+    assert detail.avg_hit_similarity == pytest.approx(np.mean([r.similarity for r in rows if r.cache_hit]), abs=1e-4)
+    newest = [r["query"] for r in cache.peek(3).collect()]
+    order = [r["query"] for r in cache.state().orderBy(F.desc("lru_seq")).collect()]
+    assert newest == order[:3]
+
+    cache.save(str(tmp_path / "saved"))
+    cache.flush()
+    assert cache.stats().first().asDict() == {"total_entries": 0, "hit_count": 0, "miss_count": 0, "hit_rate": 0.0}
+    cache.load(str(tmp_path / "saved"))
+    assert [r["query"] for r in cache.state().orderBy(F.desc("lru_seq")).collect()] == order
+    again = cache.process(log_frame(spark, x, 1000)).collect()
+    assert sum(r.cache_hit for r in again) >= hits
+    assert cache.stats().first().hit_count == sum(r.cache_hit for r in again)
+
+
+def test_numbering(spark):
+    frame = spark.range(1000).select((F.lit(999) - F.col("id")).alias("k"), F.lit(0).alias("t")).repartition(6)
+    rows, n = ca.numbered(frame, "t", "k")
+    assert n == 1000 and rows.filter(F.col("seq") != F.col("k")).count() == 0
+
+
+def test_threshold_rows(spark):
+    pairs = spark.createDataFrame([(0.9, True), (0.8, True), (0.86, False), (0.1, False)], "sim double, should_hit boolean")
+    rows = {r.theta: r for r in ca.explore_threshold(pairs, (0.05, 0.85, 0.95)).collect()}
+    assert (rows[0.85].tp, rows[0.85].fp, rows[0.85].tn, rows[0.85].fn) == (1, 1, 1, 1)
+    assert rows[0.85].note == "DANGEROUS FP" and rows[0.05].note == "HIGH RECALL DANGEROUS FP"
+    assert (rows[0.95].precision, rows[0.95].recall, rows[0.95].f1, rows[0.95].note) == (1.0, 0.0, 0.0, "HIGH PRECISION")

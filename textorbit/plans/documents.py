@@ -123,7 +123,8 @@ def add_documents_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lsa_fit(spark: SparkSession, sf: str) -> DataFrame:
-    space = inputs.fit_space(spark, sf)
+    """Build corpus and space afresh; later queries of the session use the result."""
+    space = inputs.text_space(spark, sf, refit=True)
     stats = co.corpus_stats(space.docs, space.model.vocab.num_rows, space.model.dims, space.model.explained_variance)
     return stats.withColumn("explained_variance", F.round("explained_variance", 4))
 

@@ -97,10 +97,10 @@ def fit_space(spark: SparkSession, sf_dir: str) -> TextSpace:
     return TextSpace(docs, model, stage(with_category, "embeddings"))
 
 
-def text_space(spark: SparkSession, sf_dir: str, clusters: bool = False) -> TextSpace:
+def text_space(spark: SparkSession, sf_dir: str, clusters: bool = False, refit: bool = False) -> TextSpace:
     """The fitted space of a data folder: built once per session, as a service would."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _spaces:
+    if refit or key not in _spaces:
         _spaces[key] = fit_space(spark, sf_dir)
     space = _spaces[key]
     if clusters and space.centroids is None:
