@@ -58,6 +58,8 @@ def from_bytes(column: pa.Array | pa.ChunkedArray, dims: int, dtype=np.float64)
 
 SUMS = "key int, vec binary"
 
+MAX_DIRECT_BYTES = 16 << 20
+
 
 def keyed_sums(keys: np.ndarray, matrix: np.ndarray, dtype=np.float64) -> Iterator[pa.RecordBatch]:
     """``SUMS`` rows in batches of moderate size."""
@@ -99,9 +101,16 @@ def sum_by_key(partials: DataFrame, dims: int, dtype=np.float64) -> DataFrame:
 
 
 def collect_sums(partials: DataFrame, n_keys: int, dims: int, dtype=np.float64) -> np.ndarray:
-    """Summed vectors as an ``n_keys`` by ``dims`` matrix; absent keys are zero."""
-    table = sum_by_key(partials, dims, dtype).toArrow()
+    """Summed vectors as an ``n_keys`` by ``dims`` matrix; absent keys are zero.
+
+    Partial sums that fit ``MAX_DIRECT_BYTES`` all together are added on the driver;
+    larger ones are added in a shuffle first.
+    """
+    size = partials.rdd.getNumPartitions() * n_keys * dims * np.dtype(dtype).itemsize
+    if size > MAX_DIRECT_BYTES:
+        partials = sum_by_key(partials, dims, dtype)
+    table = partials.toArrow()
     out = np.zeros((n_keys, dims))
     if table.num_rows:
-        out[table.column(0).to_numpy()] = from_bytes(table.column(1), dims, dtype)
+        np.add.at(out, table.column(0).to_numpy(), from_bytes(table.column(1), dims, dtype))
     return out

@@ -10,6 +10,7 @@ from textorbit.functions.text import preview
 from textorbit.functions.vectors import dot
 from textorbit.operators.medians import exact_medians
 from textorbit.operators.vmf import top_clusters
+from textorbit.session import stage
 
 PROFILE_DOCS, BOUNDARY_CASES, CENTROID_PAIRS = 3, 25, 20
 
@@ -30,8 +31,13 @@ def dominant_categories(breakdown: DataFrame) -> DataFrame:
 
 
 def cluster_profile(assigned: DataFrame) -> DataFrame:
-    """One row per non-empty cluster."""
-    parts = assigned.select(F.col("hard_cluster").alias("cluster"), "entropy", "top_conf")
+    """One row per non-empty cluster.
+
+    The few facts needed are staged, so the vectors are assigned once, not once for
+    each of the aggregations.
+    """
+    facts = stage(assigned.select("hard_cluster", "category", "entropy", "top_conf"), "facts")
+    parts = facts.select(F.col("hard_cluster").alias("cluster"), "entropy", "top_conf")
     means = parts.groupBy("cluster").agg(
         F.round(F.avg("entropy"), 4).alias("entropy_mean"),
         F.round(F.max("entropy"), 4).alias("entropy_max"),
@@ -42,7 +48,7 @@ def cluster_profile(assigned: DataFrame) -> DataFrame:
         F.round("entropy_median", 4).alias("entropy_median"),
         F.round("top_conf_median", 4).alias("conf_median"),
     )
-    shares = dominant_categories(category_breakdown(assigned))
+    shares = dominant_categories(category_breakdown(facts))
     return shares.join(means, "cluster").join(medians, "cluster")
 
 
@@ -61,15 +67,23 @@ def cluster_report(profile: DataFrame, breakdown: DataFrame) -> DataFrame:
     return profile.join(top, "cluster").select(*cols).orderBy(F.desc("n_docs"), "cluster")
 
 
+def _with_text(rows: DataFrame, texts: DataFrame | None) -> tuple[DataFrame, Column]:
+    """A few dozen ranked documents with their text, and the text column.
+
+    Staged, so that the ranking runs once; broadcast, so that texts are only scanned.
+    """
+    if texts is None:
+        return rows, F.lit(None).cast("string")
+    rows = stage(rows.drop("embedding"), "ranked")
+    found = texts.select("id", "text").join(F.broadcast(rows.select("id")), "id", "left_semi")
+    return rows.join(found, "id", "left"), F.col("text")
+
+
 def _documents(ranked: DataFrame, texts: DataFrame | None) -> DataFrame:
     top5 = F.transform(
         top_clusters("u", 5), lambda s: F.struct(s["cluster"].alias("cluster"), F.round(s["u"], 4).alias("u"))
     )
-    rows = ranked.filter(F.col("rank") <= PROFILE_DOCS)
-    text = F.lit(None).cast("string")
-    if texts is not None:
-        rows = rows.join(texts.select("id", "text"), "id", "left")
-        text = F.col("text")
+    rows, text = _with_text(ranked.filter(F.col("rank") <= PROFILE_DOCS), texts)
     return rows.select(
         F.col("hard_cluster").alias("cluster"),
         "rank",
@@ -129,14 +143,10 @@ def nested_profiles(assigned: DataFrame, texts: DataFrame | None = None) -> Data
 
 def boundary_cases(assigned: DataFrame, texts: DataFrame | None = None, n: int = BOUNDARY_CASES) -> DataFrame:
     """The ``n`` documents of highest entropy in the corpus."""
-    top = assigned.orderBy(F.desc("entropy"), "id").limit(n)
+    top, text = _with_text(assigned.orderBy(F.desc("entropy"), "id").limit(n), texts)
     top5 = F.transform(
         top_clusters("u", 5), lambda s: F.struct(s["cluster"].alias("cluster"), F.round(s["u"], 4).alias("u"))
     )
-    text = F.lit(None).cast("string")
-    if texts is not None:
-        top = top.join(texts.select("id", "text"), "id", "left")
-        text = F.col("text")
     return top.select(
         "id",
         "doc_id",

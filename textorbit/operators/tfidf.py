@@ -99,10 +99,12 @@ def _weigh(arrays: pa.Array, names: pa.Array, idf: np.ndarray) -> pa.Array:
     )
 
 
-def sparse_rows(docs: DataFrame, vocab: pa.Table, text: str = "text", key: str = "id") -> DataFrame:
-    """``(key, term_ids, weights)``, one row per document."""
-    rows = with_terms(docs.select(key, text), text).select(key, sparse_row("terms", vocab).alias("r"))
-    return rows.select(key, "r.term_ids", "r.weights")
+def sparse_rows(
+    docs: DataFrame, vocab: pa.Table, text: str = "text", keep: tuple[str, ...] = ("id",)
+) -> DataFrame:
+    """``(*keep, term_ids, weights)``, one row per document."""
+    rows = with_terms(docs.select(*keep, text), text).select(*keep, sparse_row("terms", vocab).alias("r"))
+    return rows.select(*keep, "r.term_ids", "r.weights")
 
 
 def weight_table(rows: DataFrame, key: str = "id") -> DataFrame:

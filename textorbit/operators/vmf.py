@@ -20,6 +20,7 @@ from textorbit.functions.vectors import (
 )
 from textorbit.operators.kmeans import fit_kmeans
 from textorbit.operators.medians import exact_medians
+from textorbit.session import stage
 
 KAPPAS = (5, 10, 15, 20, 30, 40, 50)
 HEAD_ROWS = 5_000
@@ -228,14 +229,15 @@ def centroid_matrix(frame: DataFrame) -> np.ndarray:
 
 def confidence_bands(assigned: DataFrame) -> DataFrame:
     """One row: entropy and confidence of the corpus, and documents per confidence band."""
-    bands = assigned.agg(
+    facts = stage(assigned.select("entropy", "top_conf"), "facts")
+    bands = facts.agg(
         F.avg("entropy").alias("entropy_mean"),
         F.avg("top_conf").alias("conf_mean"),
         F.count_if(F.col("top_conf") > 0.7).alias("conf_gt07"),
         F.count_if(F.col("top_conf") > 0.5).alias("conf_gt05"),
         F.count_if(F.col("top_conf") < 0.3).alias("conf_lt03"),
     )
-    whole = assigned.select(F.lit(0).alias("g"), "entropy", "top_conf")
+    whole = facts.select(F.lit(0).alias("g"), "entropy", "top_conf")
     medians = exact_medians(whole, "g", ["entropy", "top_conf"])
     return bands.withColumn("g", F.lit(0)).join(medians, "g").select(
         F.round("entropy_mean", 4).alias("entropy_mean"),

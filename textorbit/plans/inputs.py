@@ -92,9 +92,8 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fit_space(spark: SparkSession, sf_dir: str) -> TextSpace:
     docs = spread(stage(corpus(spark, sf_dir), "corpus"))
-    model, embeddings = fit_lsa(docs)
-    with_category = embeddings.join(docs.select("id", "category"), "id")
-    return TextSpace(docs, model, stage(with_category, "embeddings"))
+    model, embeddings = fit_lsa(docs, keep=("id", "category"))
+    return TextSpace(docs, model, stage(embeddings, "embeddings"))
 
 
 def text_space(spark: SparkSession, sf_dir: str, clusters: bool = False, refit: bool = False) -> TextSpace:
