@@ -9,6 +9,7 @@ from textorbit.operators import kselect as ks
 from textorbit.operators import profile as pr
 from textorbit.operators import search as se
 from textorbit.operators import vmf
+from textorbit.operators.kmeans import Fit
 from textorbit.plans import inputs
 
 KAPPA = inputs.KAPPA
@@ -145,6 +146,15 @@ def calinski_harabasz(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def silhouette(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean cosine silhouette of all vectors, each in the cluster of its nearest label centroid."""
+    centers = inputs.label_centroids(spark, sf)
+    score = ks.silhouettes(inputs.vectors(spark, sf).select("id", "embedding"), [Fit(len(centers), centers=centers)])
+    return spark.createDataFrame([(len(centers), score[0])], "k long, silhouette double").withColumn(
+        "silhouette", F.round("silhouette", 5)
+    )
+
+
 def gap_rule(spark: SparkSession, sf: str) -> DataFrame:
     """The gap rule on a curve read off the vectors, one candidate per label."""
     first = F.get("embedding", F.lit(0)).cast("double")
@@ -178,7 +188,7 @@ QUERIES = {
     for f in (
         vector_topk, vector_topk_filtered, vmf_memberships, doc_clusters, confidence_bands, kappa_select, vmf_em_step,
         vmf_em, cluster_profile, category_breakdown, cluster_report, core_docs, boundary_docs, nested_profiles,
-        boundary_cases, centroid_pairs, calinski_harabasz, gap_rule, kmeans_sweep, k_votes, gap_statistic,
+        boundary_cases, centroid_pairs, calinski_harabasz, silhouette, gap_rule, kmeans_sweep, k_votes, gap_statistic,
     )
 }
 
@@ -286,6 +296,14 @@ between_ AS (SELECT sum(n * (m - g) ** 2) AS b FROM mean JOIN grand USING (pos))
 size AS (SELECT count(*) AS n, count(DISTINCT label) AS k FROM v)
 SELECT n AS n_docs, k, round((b / (k - 1)) / (w / (n - k)), 4) AS calinski_harabasz, round(w, 4) AS inertia
 FROM within, between_, size""",
+    "silhouette": f"""WITH {ASSIGNED},
+pts AS (SELECT a.id, a.cluster, v.e FROM a JOIN v USING (id)),
+near AS (SELECT p.id, p.cluster AS own, q.cluster, sum(1 - list_dot_product(p.e, q.e)) AS total, count(*) AS n
+  FROM pts p JOIN pts q ON p.id <> q.id GROUP BY ALL),
+ab AS (SELECT id, max(total / n) FILTER (cluster = own) AS a, min(total / n) FILTER (cluster <> own) AS b
+  FROM near GROUP BY id)
+SELECT (SELECT count(*) FROM cent) AS k,
+  round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 5) AS silhouette FROM ab""",
     "gap_rule": f"""WITH {VECTORS},
 curve AS (SELECT CAST(label AS BIGINT) AS k, avg(e[1]) AS gap, abs(avg(e[2])) AS sk FROM v GROUP BY label),
 n AS (SELECT *, lead(gap) OVER (ORDER BY k) - lead(sk) OVER (ORDER BY k) AS bar FROM curve)
