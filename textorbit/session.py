@@ -10,13 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a temporary one where none is named."""
     folder = spark.conf.get(_CHECKPOINT_DIR, None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="textorbit-")
-        spark.conf.set(_CHECKPOINT_DIR, folder)
-    return folder
+    if folder:
+        return folder
+    app = spark.sparkContext.applicationId
+    if app not in _own_folders:
+        _own_folders[app] = tempfile.mkdtemp(prefix="textorbit-")
+    return _own_folders[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

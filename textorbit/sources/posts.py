@@ -12,7 +12,8 @@ def read_posts(spark: SparkSession, root: str, skip_unreadable: bool = True) ->
     """``(category, doc_id, raw)`` for every file one level below ``root``.
 
     Posts are Latin-1. The text source cannot decode whole files of that encoding, so
-    the bytes are read and decoded here. Unreadable files are skipped by default.
+    the bytes are read and decoded here. Unreadable files are skipped by default, and so
+    are, by Spark's rule, files whose name starts with a dot or underscore.
     """
     parts = F.split(F.col("path"), "/")
     files = (
