@@ -1,8 +1,8 @@
 """All queries of this package and their SQL."""
 
-from textorbit.llm import bands, decontaminate, hostpaths, urlrules
+from textorbit.llm import bands, decontaminate, hostpaths, urlrules, warc
 
-_MODULES = (urlrules, bands, decontaminate, hostpaths)
+_MODULES = (warc, urlrules, bands, decontaminate, hostpaths)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
