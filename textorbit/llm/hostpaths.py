@@ -15,12 +15,13 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from textorbit.llm.common import slices, table, without
+from textorbit.llm.common import append_columns, slices, table, without
 from textorbit.llm.urlrules import host
 
 # Paths that a host keeps, in order of votes; a page uses the first that it has.
@@ -251,17 +252,23 @@ def chosen_paths(votes: DataFrame, paths: int = PATHS) -> DataFrame:
     return best.groupBy("host").agg(F.transform(ordered, lambda x: x["path"]).alias("paths"))
 
 
+def _packed(texts: list[str | None]) -> list[list]:
+    """Pages as they travel to their host's paths."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    return [[pack(t.encode("utf-8", "surrogatepass")) if t else None for t in texts]]
+
+
 def extract_text(pages: DataFrame, paths: int = PATHS, salts: int = SALTS) -> DataFrame:
     """Append ``text``, ``n_chars`` and ``content_path`` to every row of ``pages``.
 
     Null, empty and text-free pages give an empty text; a null or odd url counts as a host of
     its own name, the empty one. Equal votes go to the path that sorts first. Repeated rows
-    vote and are read each; an empty table stays empty; long pages are read whole. Other
-    columns are carried along, and columns named like a result are replaced by it.
+    vote and are read each; an empty table stays empty; long pages are read whole. The html is
+    dropped; other columns are carried along, and columns named like a result are replaced by it.
     """
     chosen = chosen_paths(path_votes(pages), paths)
     added = ["text", "n_chars", "content_path"]
-    keep = without(pages, added)
+    keep = without(pages, [*added, "html"])
     rows = pages.select(
         *[F.col(f"`{c}`") for c in keep],
         pages["html"].alias("__html"),
@@ -271,16 +278,17 @@ def extract_text(pages: DataFrame, paths: int = PATHS, salts: int = SALTS) -> Da
     spread = chosen.select(
         F.col("host").alias("__host"), "paths", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt")
     )
-    rows = rows.join(spread, ["__host", "__salt"], "left").select(*[F.col(f"`{c}`") for c in keep], "__html", "paths")
+    rows = append_columns(rows, ["__html"], "__packed binary", _packed).drop("__html")
+    rows = rows.join(spread, ["__host", "__salt"], "left").select(*[F.col(f"`{c}`") for c in keep], "__packed", "paths")
     schema = T.StructType([*rows.schema.fields[: len(keep)], *T.StructType.fromDDL("text string, n_chars long, content_path string").fields])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = len(keep)
+        n, unpack = len(keep), zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for part in slices(batch):
                 found = [
-                    Page(text or "").text(names or [])
-                    for text, names in zip(part.column(n).to_pylist(), part.column(n + 1).to_pylist())
+                    Page(unpack(data).decode("utf-8", "surrogatepass") if data else "").text(names or [])
+                    for data, names in zip(part.column(n).to_pylist(), part.column(n + 1).to_pylist())
                 ]
                 arrays = [
                     pa.array([t for t, _ in found], pa.string()),
