@@ -3,13 +3,13 @@
 A text's k-mers are runs of five words, labelled with their number of occurrence. Each of several
 sketches takes the few k-mers with the smallest hashes and keeps them in the order in which they
 stand in the text; two texts agree in a sketch if both the k-mers and their order are the same,
-which becomes likely as their edit similarity does. Candidates that agree in some sketches are
-verified by a banded alignment of their words: a link is an edit similarity of 0.8 or more.
+which becomes likely as their edit similarity does. Candidates that agree in a sketch, and whose
+word counts allow it, are verified by a banded alignment of their words: a link is an edit similarity of 0.8 or more.
 
 Equal texts are one text from the start. A bucket, that is, the texts which agree in a sketch,
 compares each text with its least one, so a bucket of any size makes as many pairs as it has
 members. What these links do not join is then compared fully, in blocks of bounded size that are
-tested against each other on their sketches inside tasks; only agreeing pairs leave them. Classes
+tested against each other on their word counts inside tasks; only pairs that pass leave them. Classes
 are the connected components of the links.
 """
 
@@ -30,12 +30,13 @@ from textorbit.session import stage
 
 K = 5
 SKETCHES = 24
-KEPT = 3
-# Sketches that a pair must share before its words are aligned. At five-word similarity 0.8 a
-# sketch agrees with probability 0.51; fewer than three of 24 agree once in 90,000 pairs.
-AGREE = 3
+# At five-word similarity 0.8 a sketch of two agrees with probability 0.64, and none of 24 once in
+# 10^10 pairs; at 0.46, as a fifth of the words is edited here and there, once in 200 pairs.
+KEPT = 2
 SIMILARITY = 0.8
 BLOCK_TEXTS = 512
+# Words are counted in so many bins, by their hash, to bound the edits between texts from below.
+BINS = 128
 
 _M1, _M2, _GOLD, _BASE = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15, 0x100000001B3))
 
@@ -108,6 +109,23 @@ def sketch(words: np.ndarray, salt: np.ndarray, k: int = K, kept: int = KEPT) ->
     return out
 
 
+def bag(words: np.ndarray, bins: int = BINS) -> np.ndarray:
+    """Number of words in each bin of their hashes."""
+    counts = np.bincount((words % np.uint64(bins)).astype(np.int64), minlength=bins)
+    return np.minimum(counts, 0xFFFF).astype(np.uint16)
+
+
+def allowed(n: np.ndarray, m: np.ndarray, x: np.ndarray, y: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether texts of ``n`` and ``m`` words with bags ``x`` and ``y`` can be similar enough.
+
+    Each word that one text has over the other costs an edit, so no pair is dismissed wrongly.
+    """
+    most = np.floor((1 - similarity) * np.maximum(n, m) + 1e-9)
+    difference = x.astype(np.int32) - y.astype(np.int32)
+    over, under = np.maximum(difference, 0).sum(axis=-1), np.maximum(-difference, 0).sum(axis=-1)
+    return (np.abs(n - m) <= most) & (np.maximum(over, under) <= most)
+
+
 def _common(a: np.ndarray, b: np.ndarray) -> int:
     """Length of the common beginning."""
     n = min(len(a), len(b))
@@ -184,26 +202,28 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
 
 
 def text_sketches(docs: DataFrame, sketches: int, kept: int, k: int) -> DataFrame:
-    """One row per different text with words: key, number of words, sketches (packed)."""
+    """One row per different text with words: key, number of words, sketches and bag (packed)."""
     source = docs.filter(F.col("text").isNotNull()).select(text_key(F.col("text")).alias("key"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, salt = WordHashes(), seeds(sketches)
         for batch in batches:
             for part in slices(batch):
-                keys, counts, packed = [], [], []
+                keys, counts, packed, bags = [], [], [], []
                 for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     words = words_of(text)
                     if words:
                         keys.append(key)
                         counts.append(len(words))
-                        packed.append(sketch(hashes(words), salt, k, kept).tobytes())
+                        hashed = hashes(words)
+                        packed.append(sketch(hashed, salt, k, kept).tobytes())
+                        bags.append(bag(hashed).tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.binary()), pa.array(counts, pa.int32()), pa.array(packed, pa.binary())],
-                    ["key", "n", "sketches"],
+                    [pa.array(keys, pa.binary()), pa.array(counts, pa.int32()), pa.array(packed, pa.binary()), pa.array(bags, pa.binary())],
+                    ["key", "n", "sketches", "bag"],
                 )
 
-    return source.mapInArrow(run, "key binary, n int, sketches binary").dropDuplicates(["key"])
+    return source.mapInArrow(run, "key binary, n int, sketches binary, bag binary").dropDuplicates(["key"])
 
 
 def _unpacked(texts: DataFrame, sketches: int) -> DataFrame:
@@ -271,24 +291,24 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _agreeing(sketches: int, agree: int, block: int, similarity: float):
-    """Pairs of a group's texts, of different classes, that share at least ``agree`` sketches."""
+def _bags(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, BINS)
+
+
+def _possible(similarity: float):
+    """Pairs of a bucket's texts, of different classes, whose word counts allow the similarity."""
 
-    def run(table_: pa.Table) -> pa.Table:
-        keys = table_.column("key").to_pylist()
-        classes = np.unique(np.array([c.hex() for c in table_.column("class").to_pylist()]), return_inverse=True)[1]
-        sizes = table_.column("n").to_numpy()
-        half = table_.column("part").to_numpy()
-        matrix = np.frombuffer(b"".join(table_.column("sketches").to_pylist()), np.int64).reshape(len(keys), sketches)
-        first, second = table_.column("i")[0].as_py(), table_.column("j")[0].as_py()
-        rows, columns = np.flatnonzero(half == first), np.flatnonzero(half == second)
+    def run(group: pa.Table) -> pa.Table:
+        keys = group.column("key").to_pylist()
+        classes = np.unique(np.array([c.hex() for c in group.column("class").to_pylist()]), return_inverse=True)[1]
+        sizes, part, bags = group.column("n").to_numpy(), group.column("part").to_numpy(), _bags(group.column("bag"))
+        first, second = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        rows, columns = np.flatnonzero(part == first), np.flatnonzero(part == second)
         found: tuple[list, list] = ([], [])
         for r in rows.tolist():
             others = columns if first != second else columns[columns > r]
             others = others[classes[others] != classes[r]]
-            low, high = np.minimum(sizes[others], sizes[r]), np.maximum(sizes[others], sizes[r])
-            others = others[low >= similarity * high]
-            others = others[(matrix[others] == matrix[r]).sum(axis=1) >= agree]
+            others = others[allowed(sizes[others], sizes[r], bags[others], bags[r], similarity)]
             for o in others.tolist():
                 found[0].append(min(keys[r], keys[o]))
                 found[1].append(max(keys[r], keys[o]))
@@ -303,7 +323,6 @@ def near_links(
     k: int = K,
     sketches: int = SKETCHES,
     kept: int = KEPT,
-    agree: int = AGREE,
     block: int = BLOCK_TEXTS,
 ) -> DataFrame:
     """Verified links between different texts: a, b (keys of texts), similarity."""
@@ -312,11 +331,11 @@ def near_links(
     buckets = members.groupBy("bucket").agg(F.min("key").alias("least"), F.count("*").alias("size")).filter("size > 1")
     members = stage(members.join(buckets, "bucket"), "shared-buckets")
 
-    # Each member with its bucket's least: they agree in as many sketches as there are such rows or more.
+    # Each member with its bucket's least.
     stars = members.filter("key <> least").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct()
-    left, right = texts.toDF("a", "n_a", "s_a"), texts.toDF("b", "n_b", "s_b")
-    stars = stars.join(left, "a").join(right, "b")
-    stars = stage(_sharing(stars, sketches, agree, similarity), "stars")
+    counts = texts.select("key", "n", "bag")
+    stars = stars.join(counts.toDF("a", "n_a", "bag_a"), "a").join(counts.toDF("b", "n_b", "bag_b"), "b")
+    stars = stage(_allowed_pairs(stars, similarity), "stars")
     originals = docs.filter(F.col("text").isNotNull()).select(text_key(F.col("text")).alias("key"), "text")
 
     def needed(pairs: DataFrame) -> DataFrame:
@@ -331,31 +350,27 @@ def near_links(
         "bucket", "key", "size", F.coalesce("root", "key").alias("class")
     )
     torn = left_over.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x <> y").select("bucket")
-    rows = left_over.join(torn, "bucket").join(texts, "key")
+    rows = left_over.join(torn, "bucket").join(counts, "key")
     parts = F.ceil(F.col("size") / block).cast("int")
     rows = rows.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
-    rows = rows.select("bucket", "i", "j", "part", "key", "class", "n", "sketches")
-    pairs = rows.groupBy("bucket", "i", "j").applyInArrow(_agreeing(sketches, agree, block, similarity), "a binary, b binary")
+    rows = rows.select("bucket", "i", "j", "part", "key", "class", "n", "bag")
+    pairs = rows.groupBy("bucket", "i", "j").applyInArrow(_possible(similarity), "a binary, b binary")
     pairs = stage(pairs.distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti"), "rest")
     more = align_pairs(pairs, needed(pairs), similarity)
     return stage(links.unionByName(more), "near-links")
 
 
-def _sharing(pairs: DataFrame, sketches: int, agree: int, similarity: float) -> DataFrame:
-    """Pairs (a, b) that share ``agree`` sketches and whose lengths allow the similarity."""
+def _allowed_pairs(pairs: DataFrame, similarity: float) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose word counts allow the similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, y = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int64).reshape(-1, sketches) for c in ("s_a", "s_b")
-            )
-            n, m = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
-            ok = ((x == y).sum(axis=1) >= agree) & (np.minimum(n, m) >= similarity * np.maximum(n, m))
-            yield batch.select(["a", "b"]).filter(pa.array(ok))
+            if batch.num_rows:
+                n, m = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
+                ok = allowed(n, m, _bags(batch.column("bag_a")), _bags(batch.column("bag_b")), similarity)
+                yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     return pairs.mapInArrow(run, "a binary, b binary")
 
