@@ -19,7 +19,7 @@ from textorbit.llm.common import n_words, table, without
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEAT = 3
 BLOCK_WORDS = 64
-SHARD_WORDS = 4_000_000
+SHARD_WORDS = 200_000
 SEED = 20_240_229
 
 
