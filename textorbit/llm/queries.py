@@ -1,8 +1,8 @@
 """All queries of this package and their SQL."""
 
-from textorbit.llm import bands, decontaminate, hostpaths, mixing, omh, sharding, urlrules, warc
+from textorbit.llm import bands, decontaminate, hostpaths, mixer, mixing, omh, sharding, urlrules, warc
 
-_MODULES = (warc, omh, mixing, urlrules, bands, sharding, decontaminate, hostpaths)
+_MODULES = (mixer, warc, omh, mixing, urlrules, bands, sharding, decontaminate, hostpaths)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
