@@ -2,9 +2,56 @@
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+
+from textorbit.llm.bands import compression_bands
+from textorbit.llm.common import table
+from textorbit.llm.decontaminate import find_benchmark
+from textorbit.llm.mixing import mix_sources, take
+from textorbit.llm.omh import keep_one
+from textorbit.llm.sharding import shard_documents
+from textorbit.session import stage
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the word rules and the compression bands keep."""
+    return compression_bands(docs).filter("kept").select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, that of the least id."""
+    return keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of a benchmark item."""
+    return find_benchmark(docs, table(spark, sf_dir, "benchmark")).filter("NOT contaminated").select(*docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The words that the sources' targets ask for: documents of small sources repeat, large ones are cut."""
+    return take(mix_sources(docs)).select(*docs.columns)
+
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their shard and their place in it."""
+    return shard_documents(docs).select(*docs.columns, "shard", "slot")
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+    ("sharding", sharding),
+]
+
+# Compression and sketches have no SQL; the tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, function in STAGES:
+        docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs

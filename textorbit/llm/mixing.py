@@ -10,11 +10,13 @@ window or sort grows with a source, however much of the data one source has.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textorbit.llm.common import n_words, table, without
+from textorbit.llm.common import append_columns, n_words, table, without
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEAT = 3
@@ -22,6 +24,8 @@ BLOCK_WORDS = 64
 SHARD_WORDS = 200_000
 SEED = 20_240_229
 
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeat: float = MAX_REPEAT) -> DataFrame:
     """Append ``target`` to one row per source (source, source_size).
@@ -85,7 +89,8 @@ def mix_sources(
     shard_words: int = SHARD_WORDS,
     seed: int = SEED,
 ) -> DataFrame:
-    """Append ``size``, ``source_size``, ``target`` and ``taken`` (words the mix takes) to every row.
+    """Append ``size``, ``source_size``, ``target`` and ``taken`` (words the mix takes) to every row,
+    and how they are taken: whole ``passes`` and the word ranges ``picked`` besides.
 
     Texts that are null or without words have size 0 and give nothing; a null source is a source
     of its own, the last one. Ties between quotients go by name. Repeated rows are rows of their
@@ -93,7 +98,7 @@ def mix_sources(
     blocks, each chosen by itself. The same rows always give the same mix. Other columns are
     carried along, and columns named like a result are replaced by it.
     """
-    added = ["size", "source_size", "target", "taken"]
+    added = ["size", "source_size", "target", "taken", "passes", "picked"]
     keep = without(docs, added)
     rows = docs.select(
         *[F.col(f"`{c}`") for c in keep],
@@ -111,18 +116,57 @@ def mix_sources(
     plan = shards.select(F.col("source").alias("__s"), F.col("shard").alias("__h"), "source_size", "target", "n_blocks", "shard_size", "passes", "bar")
     rows = rows.join(plan, F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__shard") == F.col("__h")), "left")
 
-    # Block b of n covers words floor(b * size / n) up to floor((b + 1) * size / n) of its shard.
+    # Block b of n covers words b * size div n up to (b + 1) * size div n of its shard.
     touched = F.expr(
         "CASE WHEN size > 0 AND bar IS NOT NULL THEN sequence(((__start + 1) * n_blocks - 1) div shard_size, (__end * n_blocks - 1) div shard_size) END"
     )
     rows = rows.withColumn("__blocks", touched)
-    part = F.expr(
-        f"""aggregate(__blocks, 0L, (acc, b) -> acc + CASE WHEN xxhash64({seed + 2}, __source, __shard, CAST(b AS BIGINT)) <= bar
-        THEN greatest(0L, least(__end, (b + 1) * shard_size div n_blocks) - greatest(__start, b * shard_size div n_blocks)) ELSE 0L END)"""
+    picked = F.expr(
+        f"""transform(filter(__blocks, b -> xxhash64({seed + 2}, __source, __shard, CAST(b AS BIGINT)) <= bar), b -> struct(
+        greatest(__start, b * shard_size div n_blocks) - __start AS first,
+        least(__end, (b + 1) * shard_size div n_blocks) - __start AS end))"""
+    )
+    rows = rows.withColumn("__picked", F.filter(picked, lambda x: x["first"] < x["end"]))
+    part = F.aggregate("__picked", F.lit(0).cast("long"), lambda acc, x: acc + x["end"] - x["first"])
+    passes = F.coalesce(F.col("passes"), F.lit(0)).cast("int")
+    return rows.select(
+        *[F.col(f"`{c}`") for c in keep],
+        "size",
+        F.coalesce("source_size", F.lit(0)).cast("long").alias("source_size"),
+        F.coalesce("target", F.lit(0.0)).alias("target"),
+        (passes * F.col("size") + F.coalesce(part, F.lit(0))).cast("long").alias("taken"),
+        passes.alias("passes"),
+        F.col("__picked").alias("picked"),
     )
-    taken = F.coalesce(F.col("passes") * F.col("size"), F.lit(0)) + F.coalesce(part, F.lit(0))
-    return rows.select(*[F.col(f"`{c}`") for c in keep], "size", F.coalesce("source_size", F.lit(0)).cast("long").alias("source_size"),
-                       "target", taken.cast("long").alias("taken"))
+
+
+def take(mixed: DataFrame) -> DataFrame:
+    """Rows of a mix as it is written out: each document once per whole pass, and once with its picked words.
+
+    Picked words keep the white space between them; where words were left out a line ends. Such
+    a row's ``n_chars`` is that of its new text. Documents of which nothing is taken are gone.
+    """
+    columns = without(mixed, ["size", "source_size", "target", "taken", "passes", "picked"])
+    whole = mixed.filter("passes > 0 AND size > 0").withColumn("__pass", F.explode(F.sequence(F.lit(1), F.col("passes")))).select(*columns)
+    some = mixed.filter(F.size("picked") > 0).select(*columns, "picked")
+
+    def cut(texts, picks):
+        out = []
+        for text, ranges in zip(texts, picks):
+            spans = [m.span() for m in _WORD.finditer(text)]
+            runs: list[list[int]] = []
+            for r in ranges:
+                if runs and runs[-1][1] == r["first"]:
+                    runs[-1][1] = r["end"]
+                else:
+                    runs.append([r["first"], r["end"]])
+            out.append("\n".join(text[spans[a][0] : spans[b - 1][1]] for a, b in runs))
+        return [out]
+
+    excerpts = append_columns(some, ["text", "picked"], "text string", cut)
+    if "n_chars" in columns:
+        excerpts = excerpts.withColumn("n_chars", F.length("text").cast(mixed.schema["n_chars"].dataType))
+    return whole.unionByName(excerpts.select(*columns))
 
 
 def plan_mix(rows: DataFrame, weights, max_repeat, block_words, shard_words, seed) -> tuple[DataFrame, DataFrame]:

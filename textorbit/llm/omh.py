@@ -375,6 +375,25 @@ def _allowed_pairs(pairs: DataFrame, similarity: float) -> DataFrame:
     return pairs.mapInArrow(run, "a binary, b binary")
 
 
+def _text_classes(docs: DataFrame, similarity: float, settings: dict) -> DataFrame:
+    """One row per different text: __key, class_id, class_size, n_links, and whether it is its class's first text."""
+    links = near_links(docs, similarity, **settings)
+    labels = components(links)
+    ends = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("n_links"))
+    ids = docs.filter(F.col("text").isNotNull()).select("doc_id", text_key(F.col("text")).alias("key"))
+    ids = ids.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
+    ids = ids.join(labels, "key", "left").join(ends, "key", "left").withColumn("root", F.coalesce("least", "key"))
+    classes = ids.groupBy("root").agg(
+        F.min("first").alias("class_id"),
+        F.sum("copies").alias("class_size"),
+        F.min(F.struct(F.col("first").isNull(), "first", "key"))["key"].alias("first_key"),
+    )
+    found = ids.join(classes, "root").select(
+        F.col("key").alias("__key"), "class_id", "class_size", "n_links", (F.col("key") == F.col("first_key")).alias("__first"), "first"
+    )
+    return stage(found, "classes")
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, **settings) -> DataFrame:
     """Append ``class_id`` (least doc_id of the class), ``class_size`` and ``n_links`` to every row.
 
@@ -384,18 +403,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, **settings)
     row's text was found close to. Texts are sketched and aligned whole; an empty table stays
     empty. Other columns are carried along, and columns named like a result are replaced by it.
     """
-    added = ["class_id", "class_size", "n_links"]
-    keep = without(docs, added)
+    keep = without(docs, ["class_id", "class_size", "n_links"])
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], text_key(F.col("text")).alias("__key"))
-    links = near_links(docs, similarity, **settings)
-    labels = components(links)
-    ends = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("n_links"))
-    ids = docs.filter(F.col("text").isNotNull()).select("doc_id", text_key(F.col("text")).alias("key"))
-    ids = ids.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
-    ids = ids.join(labels, "key", "left").join(ends, "key", "left").withColumn("root", F.coalesce("least", "key"))
-    classes = ids.groupBy("root").agg(F.min("first").alias("class_id"), F.sum("copies").alias("class_size"))
-    found = stage(ids.join(classes, "root").select(F.col("key").alias("__key"), "class_id", "class_size", "n_links"), "classes")
-    rows = rows.join(found, "__key", "left")
+    rows = rows.join(_text_classes(docs, similarity, settings).drop("__first", "first"), "__key", "left")
     return rows.select(
         *[F.col(f"`{c}`") for c in keep],
         F.when(F.col("__key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
@@ -404,6 +414,23 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, **settings)
     )
 
 
+def keep_one(docs: DataFrame, similarity: float = SIMILARITY, **settings) -> DataFrame:
+    """Rows of ``docs``, one of each class: that of the least doc_id, nulls last, then of the least text key.
+
+    Null texts all stay. Of rows that agree in id and text, one stays; only such rows, if they
+    are their class's choice, are shuffled with their texts.
+    """
+    chosen = _text_classes(docs, similarity, settings).filter("__first").select("__key", F.col("first").alias("__id"))
+    rows = docs.select("*", text_key(F.col("text")).alias("__key"))
+    same = (rows["__key"] == chosen["__key"]) & rows["doc_id"].eqNullSafe(chosen["__id"])
+    picked = rows.join(chosen.select(chosen["__key"], "__id"), same, "left_semi")
+    again = picked.groupBy("__key").agg(F.count("*").alias("n")).filter("n > 1").select("__key")
+    again = stage(again, "repeated-rows")
+    single = picked.join(again, "__key", "left_anti").select(*docs.columns)
+    first = picked.join(again, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
+    return single.unionByName(first).unionByName(docs.filter(F.col("text").isNull()))
+
+
 def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
