@@ -40,12 +40,13 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeat: float = MAX_RE
     rows = sizes.withColumn("w", F.element_at(F.array(*map(F.lit, weights)), turn + 1))
     rows = rows.withColumn("cap", F.col("source_size") * F.lit(float(max_repeat)))
     every = Window.partitionBy()
-    before = Window.orderBy(F.col("cap") / F.col("w"), F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    stops = Window.orderBy(F.col("cap") / F.col("w"), F.col("source").asc_nulls_last())
+    before = stops.rowsBetween(Window.unboundedPreceding, -1)
     level = (F.sum("source_size").over(every) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / (
         F.sum("w").over(every) - F.coalesce(F.sum("w").over(before), F.lit(0.0))
     )
-    rows = rows.withColumn("level", level)
-    free = F.when(F.col("cap") >= F.col("w") * F.col("level"), F.struct(F.col("cap") / F.col("w"), "level"))
+    rows = rows.withColumns({"level": level, "place": F.row_number().over(stops)})
+    free = F.when(F.col("cap") >= F.col("w") * F.col("level"), F.struct("place", "level"))
     rows = rows.withColumn("final", F.min(free).over(every)["level"])
     target = F.least(F.col("cap"), F.col("w") * F.coalesce(F.col("final"), F.col("level")))
     return rows.select("source", "source_size", target.alias("target"))
