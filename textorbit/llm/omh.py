@@ -8,7 +8,8 @@ word counts allow it, are verified by a banded alignment of their words: a link
 
 Equal texts are one text from the start. A bucket, that is, the texts which agree in a sketch,
 compares each text with its least one, so a bucket of any size makes as many pairs as it has
-members. What these links do not join is then compared fully, in blocks of bounded size that are
+members; a few sketches go first, and the others compare only texts that these have not joined.
+What these links do not join is then compared fully, in blocks of bounded size that are
 tested against each other on their word counts inside tasks; only pairs that pass leave them. Classes
 are the connected components of the links.
 """
@@ -33,6 +34,8 @@ SKETCHES = 24
 # At five-word similarity 0.8 a sketch of two agrees with probability 0.64, and none of 24 once in
 # 10^10 pairs; at 0.46, as a fifth of the words is edited here and there, once in 200 pairs.
 KEPT = 2
+# Sketches whose buckets are compared first; the others compare only what these left apart.
+FIRST = 4
 SIMILARITY = 0.8
 BLOCK_TEXTS = 512
 # Words are counted in so many bins, by their hash, to bound the edits between texts from below.
@@ -226,8 +229,8 @@ def text_sketches(docs: DataFrame, sketches: int, kept: int, k: int) -> DataFram
     return source.mapInArrow(run, "key binary, n int, sketches binary, bag binary").dropDuplicates(["key"])
 
 
-def _unpacked(texts: DataFrame, sketches: int) -> DataFrame:
-    """One row per text and sketch: bucket, key."""
+def _unpacked(texts: DataFrame, sketches: int, first: int) -> DataFrame:
+    """One row per text and sketch: bucket, key, and whether the sketch is one of the ``first``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,9 +238,12 @@ def _unpacked(texts: DataFrame, sketches: int) -> DataFrame:
             values = b"".join(batch.column(1).to_pylist())
             buckets = np.frombuffer(values, np.int64)
             where = pa.array(np.repeat(np.arange(rows), sketches))
-            yield pa.RecordBatch.from_arrays([pa.array(buckets), batch.column(0).take(where)], ["bucket", "key"])
+            early = np.tile(np.arange(sketches) < first, rows)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(buckets), batch.column(0).take(where), pa.array(early)], ["bucket", "key", "early"]
+            )
 
-    return texts.select("key", "sketches").mapInArrow(run, "bucket long, key binary")
+    return texts.select("key", "sketches").mapInArrow(run, "bucket long, key binary, early boolean")
 
 
 def align_pairs(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -323,30 +329,36 @@ def near_links(
     k: int = K,
     sketches: int = SKETCHES,
     kept: int = KEPT,
+    first: int = FIRST,
     block: int = BLOCK_TEXTS,
 ) -> DataFrame:
-    """Verified links between different texts: a, b (keys of texts), similarity."""
+    """Verified links between different texts, enough to join each class: a, b (keys of texts), similarity."""
     texts = stage(text_sketches(docs, sketches, kept, k), "sketches")
-    members = stage(_unpacked(texts, sketches), "buckets")
+    members = _unpacked(texts, sketches, first)
     buckets = members.groupBy("bucket").agg(F.min("key").alias("least"), F.count("*").alias("size")).filter("size > 1")
     members = stage(members.join(buckets, "bucket"), "shared-buckets")
-
-    # Each member with its bucket's least.
-    stars = members.filter("key <> least").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct()
-    counts = texts.select("key", "n", "bag")
-    stars = stars.join(counts.toDF("a", "n_a", "bag_a"), "a").join(counts.toDF("b", "n_b", "bag_b"), "b")
-    stars = stage(_allowed_pairs(stars, similarity), "stars")
     originals = docs.filter(F.col("text").isNotNull()).select(text_key(F.col("text")).alias("key"), "text")
+    counts = texts.select("key", "n", "bag")
 
-    def needed(pairs: DataFrame) -> DataFrame:
-        keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-        return stage(originals.join(keys, "key").dropDuplicates(["key"]), "pair-texts")
-
-    links = stage(align_pairs(stars, needed(stars), similarity), "star-links")
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = pairs.join(counts.toDF("a", "n_a", "bag_a"), "a").join(counts.toDF("b", "n_b", "bag_b"), "b")
+        pairs = stage(_allowed_pairs(pairs, similarity), f"{name}-pairs")
+        keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+        own = stage(originals.join(keys, "key").dropDuplicates(["key"]), f"{name}-texts")
+        return stage(align_pairs(pairs, own, similarity), f"{name}-links")
 
-    # Buckets that still hold texts of more than one class: their texts meet in blocks.
+    # Each member with its bucket's least, for the first sketches; these join most copies.
+    stars = members.filter("key <> least")
+    links = verified(stars.filter("early").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct(), "first")
+    labels = components(links)
+    # The same for the other sketches, where this would join two classes.
+    stars = stars.filter("NOT early").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct()
+    for end in ("a", "b"):
+        stars = stars.join(labels.toDF(end, f"class_{end}"), end, "left").withColumn(f"class_{end}", F.coalesce(f"class_{end}", end))
+    links = links.unionByName(verified(stars.filter("class_a <> class_b").select("a", "b"), "star"))
     labels = components(links)
-    left_over = members.join(labels.withColumnRenamed("least", "root"), "key", "left").select(
+    # Buckets that still hold texts of more than one class: their texts meet in blocks.
+    left_over = members.join(labels.toDF("key", "root"), "key", "left").select(
         "bucket", "key", "size", F.coalesce("root", "key").alias("class")
     )
     torn = left_over.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x <> y").select("bucket")
@@ -357,9 +369,7 @@ def near_links(
     rows = rows.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
     rows = rows.select("bucket", "i", "j", "part", "key", "class", "n", "bag")
     pairs = rows.groupBy("bucket", "i", "j").applyInArrow(_possible(similarity), "a binary, b binary")
-    pairs = stage(pairs.distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti"), "rest")
-    more = align_pairs(pairs, needed(pairs), similarity)
-    return stage(links.unionByName(more), "near-links")
+    return links.unionByName(verified(pairs.distinct(), "rest"))
 
 
 def _allowed_pairs(pairs: DataFrame, similarity: float) -> DataFrame:
@@ -376,41 +386,37 @@ def _allowed_pairs(pairs: DataFrame, similarity: float) -> DataFrame:
 
 
 def _text_classes(docs: DataFrame, similarity: float, settings: dict) -> DataFrame:
-    """One row per different text: __key, class_id, class_size, n_links, and whether it is its class's first text."""
-    links = near_links(docs, similarity, **settings)
-    labels = components(links)
-    ends = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("n_links"))
+    """One row per different text: __key, class_id, class_size, and whether it is its class's first text."""
+    labels = components(near_links(docs, similarity, **settings))
     ids = docs.filter(F.col("text").isNotNull()).select("doc_id", text_key(F.col("text")).alias("key"))
     ids = ids.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
-    ids = ids.join(labels, "key", "left").join(ends, "key", "left").withColumn("root", F.coalesce("least", "key"))
+    ids = ids.join(labels, "key", "left").withColumn("root", F.coalesce("least", "key"))
     classes = ids.groupBy("root").agg(
         F.min("first").alias("class_id"),
         F.sum("copies").alias("class_size"),
         F.min(F.struct(F.col("first").isNull(), "first", "key"))["key"].alias("first_key"),
     )
     found = ids.join(classes, "root").select(
-        F.col("key").alias("__key"), "class_id", "class_size", "n_links", (F.col("key") == F.col("first_key")).alias("__first"), "first"
+        F.col("key").alias("__key"), "class_id", "class_size", (F.col("key") == F.col("first_key")).alias("__first"), "first"
     )
     return stage(found, "classes")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, **settings) -> DataFrame:
-    """Append ``class_id`` (least doc_id of the class), ``class_size`` and ``n_links`` to every row.
+    """Append ``class_id`` (least doc_id of the class) and ``class_size`` to every row.
 
     Equal texts are one class, the empty text too; a null text is no copy of anything, so its
     row is a class of its own. Texts of fewer than five words are one k-mer. A text without
-    words has copies only. Repeated rows are copies. Links count the different texts that a
-    row's text was found close to. Texts are sketched and aligned whole; an empty table stays
-    empty. Other columns are carried along, and columns named like a result are replaced by it.
+    words has copies only. Repeated rows are copies. Texts are sketched and aligned whole; an
+    empty table stays empty. Other columns are carried along, and columns named like a result are replaced by it.
     """
-    keep = without(docs, ["class_id", "class_size", "n_links"])
+    keep = without(docs, ["class_id", "class_size"])
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], text_key(F.col("text")).alias("__key"))
     rows = rows.join(_text_classes(docs, similarity, settings).drop("__first", "first"), "__key", "left")
     return rows.select(
         *[F.col(f"`{c}`") for c in keep],
         F.when(F.col("__key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
 
 
