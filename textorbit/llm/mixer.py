@@ -1,7 +1,7 @@
 """Language-model scoring by online logistic context mixing.
 
 A text is coded byte by byte and each byte bit by bit: its words with one space between them, and
-an end. Each predictor hashes the bytes before (one to five of them) and predicts the next bit
+an end. Each predictor hashes the bytes before (one, three or five of them) and predicts the next bit
 from how often, in the training texts, the bytes that begin with the bits so far went on with
 either. A mixer adds the predictions up in the logistic domain with weights chosen by a gate (how
 long a context is known, and how well), learns these weights online from the training texts as it
@@ -33,15 +33,17 @@ from pyspark.sql import types as T
 from textorbit.llm.common import table, without
 from textorbit.session import stage
 
-# Predictors by the number of bytes they see, from weak to strong; the last sees the word so far.
-WORD = 9
-PREDICTORS = (2, 3, 5, WORD)
+# Predictors by the number of bytes they see, from weak to strong.
+PREDICTORS = (1, 3, 5)
 # Texts of one block, in bytes. Larger blocks share more of what they ask for.
 BLOCK_BYTES = 32 << 20
 # Positions that are coded between two steps of the mixer's learning.
-STEP = 1 << 16
+STEP = 1 << 14
+# Positions that are looked up at once.
+LOOKED_UP = 1 << 18
+FIRST_STEP = 1 << 10
 # Positions whose contexts are counted at once.
-COUNTED = 1 << 20
+COUNTED = 1 << 18
 DELTA = 0.4
 UNIT = 10.0  # predictions travel as hundred-odd steps of this many per logistic unit
 RATE = 0.02
@@ -51,6 +53,7 @@ MAP_CELLS = 24
 TOKENS = 0
 END = b"\n"
 PAD = END * 6
+NOTHING = np.uint64(0)
 
 _M1, _M2, _GOLD = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 _LOW = np.uint64(0xFF)
@@ -61,32 +64,39 @@ def tokens_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def coded_text(text: str | None) -> bytes:
+    """A text as it is coded: its words with a space between them, and the end."""
+    return b" ".join(tokens_of(text)) + END
+
+
 class Coded:
     """A run of documents as one byte sequence, each with padding before it.
 
-    Padding is coded like the rest, which keeps the arrays whole, but is in nobody's cost.
+    Padding keeps its places in the arrays, but has a key that nothing is known of, so it teaches
+    nothing, and is in nobody's cost.
     """
 
-    def __init__(self, texts: list[list[bytes]]):
-        parts = [b" ".join(words) + END for words in texts]
+    def __init__(self, parts: list[bytes]):
         self.sizes = np.array([len(p) for p in parts], np.int64)
         ends = np.cumsum(self.sizes + len(PAD)) - len(PAD)
         self.spans = np.stack([ends - self.sizes, ends], axis=1)
         self.data = np.frombuffer(PAD + PAD.join(parts) + b"\0", np.uint8).astype(np.uint64)
+        between = (ends[:-1, None] + np.arange(len(PAD))).ravel()
+        self.padding = np.append(between, len(self.data) - len(PAD) - 1)
 
-    def keys(self, name: int) -> np.ndarray:
+    def keys(self, order: int) -> np.ndarray:
         """For each byte its context's hash, with the byte itself in the low bits."""
         first = len(PAD)
         now = self.data[first:]
-        past = self._word() if name == WORD else self._bytes(name)
-        hashed = (past + np.uint64(name * int(_GOLD) & (1 << 64) - 1)) * _M1
+        hashed = (self._past(order) + np.uint64(order * int(_GOLD) & (1 << 64) - 1)) * _M1
         hashed ^= hashed >> np.uint64(32)
         hashed *= _M2
         hashed &= ~_LOW
         hashed |= now
+        hashed[self.padding] = NOTHING
         return hashed
 
-    def _bytes(self, order: int) -> np.ndarray:
+    def _past(self, order: int) -> np.ndarray:
         first = len(PAD)
         n = len(self.data) - first
         past = self.data[first - order : first - order + n].copy()
@@ -95,39 +105,18 @@ class Coded:
             past |= self.data[first - back : first - back + n]
         return past
 
-    def _word(self) -> np.ndarray:
-        """Hash of the bytes since the last space or line end."""
-        first, n = len(PAD), len(self.data)
-        at = np.arange(n)
-        # start[i]: the first byte of the word that byte i continues or ends.
-        after = np.concatenate([[True], (self.data[:-1] == 0x20) | (self.data[:-1] == 0x0A)])
-        start = np.maximum.accumulate(np.where(after, at, 0))
-        up, down = _powers(n)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.data * up, dtype=np.uint64)])
-        return ((sums[at] - sums[start]) * down[start])[first:]
-
-
-def _powers(n: int, cache={}) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number modulo 2^64 and of its inverse."""
-    if cache.get("n", 0) < n:
-        most = max(n, 1 << 17)
-        base = 0x9E3779B97F4A7C15
-        for name, value in (("up", base), ("down", pow(base, -1, 1 << 64))):
-            steps = np.full(most, value, np.uint64)
-            steps[0] = 1
-            cache[name] = np.cumprod(steps, dtype=np.uint64)
-        cache["n"] = most
-    return cache["up"][:n], cache["down"][:n]
-
-
-def runs(texts: list[list[bytes]], size: int) -> Iterator[tuple[int, int]]:
-    """Cut documents into runs of about ``size`` bytes, whole documents each."""
-    start, held = 0, 0
-    for at, words in enumerate(texts):
-        if held >= size:
+
+def runs(texts: list[bytes], size: int, first: int | None = None) -> Iterator[tuple[int, int]]:
+    """Cut documents into runs of about ``size`` bytes, whole documents each.
+
+    With ``first``, runs begin with that size and double until they reach ``size``.
+    """
+    start, held, now = 0, 0, first or size
+    for at, text in enumerate(texts):
+        if held >= now:
             yield start, at
-            start, held = at, 0
-        held += sum(map(len, words)) + len(words) + 1
+            start, held, now = at, 0, min(2 * now, size)
+        held += len(text)
     if start < len(texts):
         yield start, len(texts)
 
@@ -142,33 +131,57 @@ def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     found = pc.value_counts(pa.array(keys))
-    return found.field("values").to_numpy(), found.field("counts").to_numpy()
+    keys, counts = found.field("values").to_numpy(), found.field("counts").to_numpy()
+    return keys[keys != NOTHING], counts[keys != NOTHING]
 
 
 def token_keys(words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
 
 
-def block_counts(texts: list[list[bytes]], held_out: list[bool]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+class Merged:
+    """Distinct keys and counts that come in parts; small parts wait until they are as many as the rest."""
+
+    def __init__(self):
+        self.whole = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.parts.append((keys, counts))
+        self.waiting += len(keys)
+        if self.waiting > max(1 << 20, len(self.whole[0])):
+            self.merge()
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.parts:
+            every = [self.whole, *self.parts]
+            self.parts, self.waiting = [], 0
+            table_ = pa.table({"key": np.concatenate([k for k, _ in every]), "n": np.concatenate([c for _, c in every])})
+            sums = table_.group_by("key", use_threads=False).aggregate([("n", "sum")])
+            self.whole = (sums.column("key").to_numpy(), sums.column("n_sum").to_numpy())
+        return self.whole
+
+
+def block_counts(texts: list[bytes], held_out: list[bool]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """A block's distinct keys of each kind, and their counts in its training texts."""
     every, known = Counter(), Counter()
-    for words, held in zip(texts, held_out):
-        (every if held else known).update(words)
+    for text, held in zip(texts, held_out):
+        (every if held else known).update(text.split())
         (every if held else known)[END] += 1
     words = list(known.keys() | every.keys())
     counts = np.fromiter((known.get(w, 0) for w in words), np.int64, len(words))
     out = {TOKENS: _added(token_keys(words), counts)}
-    found: dict[int, list] = {k: [] for k in PREDICTORS}
+    del words, every, known
+    found = {k: Merged() for k in PREDICTORS}
     for held in (False, True):
         own = [t for t, h in zip(texts, held_out) if h == held]
         for start, end in runs(own, COUNTED):
             coded = Coded(own[start:end])
             for order in PREDICTORS:
                 keys, counts = _distinct(coded.keys(order))
-                found[order].append((keys, np.zeros_like(counts) if held else counts))
-    for order, parts in found.items():
-        out[order] = _added(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts]))
-    return out
+                found[order].add(keys, np.zeros_like(counts) if held else counts)
+    return out | {order: _added(*parts.merge()) for order, parts in found.items()}
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -235,13 +248,14 @@ class Mixer:
     def __init__(self, inputs: int):
         self.inputs = inputs
         self.gates = (inputs + 1) * 4
+        self.step = FIRST_STEP
         self.weights = np.full((inputs, self.gates, 8), START, np.float32)
         self.seen = np.full((inputs, self.gates, 8), 1e-4)
-        # Per bit and strength of the prediction: how often the likelier value came, and how often not.
-        middle = (np.arange(MAP_CELLS) + 0.5) / 2
-        right = 20 / (1 + np.exp(-middle))
-        self.map = np.tile(np.stack([20 - right, right], axis=1), (8, 1, 1))
-        self.shift = (np.arange(8) * MAP_CELLS).astype(np.int16)
+        # Per bit and prediction in halves of a logistic unit: how often such a prediction was made for
+        # the value that came. With that of the opposite prediction, which was made for the other
+        # value, it says how often the predicted value comes.
+        self.map = np.tile(20 / (1 + np.exp(-np.arange(-MAP_CELLS, MAP_CELLS + 1) / 2)), (8, 1))
+        self.shift = (np.arange(8) * (2 * MAP_CELLS + 1) + MAP_CELLS).astype(np.int16)
 
     def gate(self, known: list[np.ndarray]) -> np.ndarray:
         """The longest known context, and how often it was met, by quarters."""
@@ -250,6 +264,17 @@ class Mixer:
             np.copyto(found, (i + 1) * 4 + np.minimum(k // 3, 3), where=k > 0)
         return found
 
+    def steps(self, rows: list[np.ndarray], known: list[np.ndarray], learn: bool) -> list[np.ndarray]:
+        """Cost in bits of each position, step by step; steps grow from ``FIRST_STEP`` to ``STEP``."""
+        out, at = [], 0
+        while at < len(rows[0]):
+            end = at + self.step
+            out.append(self.code([r[at:end] for r in rows], [k[at:end] for k in known], learn))
+            at = end
+            if learn:
+                self.step = min(STEP, 2 * self.step)
+        return out
+
     def code(self, rows: list[np.ndarray], known: list[np.ndarray], learn: bool) -> np.ndarray:
         """Cost in bits of each position. ``rows`` are the logits of the bits that came, eight bytes each."""
         gate = self.gate(known)
@@ -257,37 +282,37 @@ class Mixer:
         gates, starts = np.unique(gate[order], return_index=True)
         edges = np.append(starts, len(order)).tolist()
         inputs = [r[order].view(np.int8).reshape(-1, 8).astype(np.float32) for r in rows]
-        mixed = np.empty((len(order), 8), np.float32)
+        mixed, own = np.empty((len(order), 8), np.float32), np.empty((len(order), 8), np.float32)
         for g, a, b in zip(gates.tolist(), edges[:-1], edges[1:]):
-            part = inputs[0][a:b] * (self.weights[0, g] / UNIT)
+            np.multiply(inputs[0][a:b], self.weights[0, g] / np.float32(UNIT), out=mixed[a:b])
             for i in range(1, self.inputs):
-                part += inputs[i][a:b] * (self.weights[i, g] / UNIT)
-            mixed[a:b] = part
-        np.clip(mixed, -18, 18, out=mixed)
-        strength = np.abs(mixed)
-        cell = np.minimum((strength * np.float32(2)).astype(np.int16), np.int16(MAP_CELLS - 1))
-        cell += self.shift
-        p = np.exp(-strength)
+                np.multiply(inputs[i][a:b], self.weights[i, g] / np.float32(UNIT), out=own[a:b])
+                mixed[a:b] += own[a:b]
+        # The map's cells are of the strength of either value's prediction, so it treats both alike;
+        # a prediction of neither is in the middle and stays there.
+        place = np.clip(mixed, -11.9, 11.9)
+        place *= np.float32(2)
+        cell = (np.rint(place).astype(np.int16) + self.shift).astype(np.int64)
+        np.negative(mixed, out=mixed)
+        np.minimum(mixed, 60, out=mixed)
+        p = np.exp(mixed, out=mixed)
         p += 1
-        np.reciprocal(p, out=p)  # of the likelier value
-        refined = p + (self.map[..., 1] / self.map.sum(axis=-1)).astype(np.float32).ravel()[cell]
+        np.reciprocal(p, out=p)
+        counts = self.map + self.map[:, ::-1]
+        refined = (self.map / counts).astype(np.float32).ravel()[cell]
+        refined += p
         refined *= np.float32(0.5)
-        wrong = mixed < 0
-        p, refined = np.where(wrong, 1 - p, p), np.where(wrong, 1 - refined, refined)
-        level = mixed == 0
-        if level.any():
-            refined[level] = 0.5
         if learn:
-            missed = 1 - p
+            missed = np.subtract(1, p, out=p)
             sizes = np.maximum(np.diff(edges), 32)[:, None]
             for i, x in enumerate(inputs):
-                slope = np.add.reduceat(missed * x, edges[:-1], axis=0) / (sizes * UNIT)
+                slope = np.add.reduceat(np.multiply(missed, x, out=own), edges[:-1], axis=0) / (sizes * UNIT)
                 self.seen[i, gates] += slope**2
                 self.weights[i, gates] += (RATE * slope / np.sqrt(self.seen[i, gates])).astype(np.float32)
-            came = np.bincount((cell[~level] << np.int16(1)) + ~wrong[~level], minlength=self.map.size)
-            self.map += came.reshape(self.map.shape)
+            self.map += np.bincount(cell.ravel(), minlength=self.map.size).reshape(self.map.shape)
         costs = np.empty(len(order))
-        costs[order] = -np.log2(np.maximum(refined, np.float32(1e-9))).sum(axis=1)
+        np.maximum(refined, np.float32(1e-9), out=refined)
+        costs[order] = -np.log2(refined, out=refined).sum(axis=1, dtype=np.float64)
         return costs
 
 
@@ -301,13 +326,17 @@ class Answers:
 
     def find(self, name: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         coded = pc.dictionary_encode(pa.array(keys))
-        where = np.searchsorted(self.own[name], coded.dictionary.to_numpy())
-        where = np.minimum(where, len(self.own[name]) - 1)  # padding alone may be unknown
+        distinct = coded.dictionary.to_numpy()
+        order = np.argsort(distinct)
+        where = np.empty(len(order), np.int64)
+        where[order] = np.searchsorted(self.own[name], distinct[order])
+        where = np.minimum(where, len(self.own[name]) - 1)
+        there = self.own[name][where] == distinct  # all but the padding
         at = coded.indices.to_numpy()
-        return self.rows[name][where][at], self.known[name][where][at]
+        return np.where(there, self.rows[name][where], 0)[at], np.where(there, self.known[name][where], 0)[at]
 
 
-def score_block(ids: list, texts: list[list[bytes]], held_out: list[bool], found: Answers) -> tuple[np.ndarray, np.ndarray]:
+def score_block(ids: list, texts: list[bytes], held_out: list[bool], found: Answers) -> tuple[np.ndarray, np.ndarray]:
     """Bits and bytes of each text. The mixer learns from training texts only, in order of id;
     held-out texts are coded with what it has learned from all of its block's."""
     bits, sizes = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
@@ -317,14 +346,15 @@ def score_block(ids: list, texts: list[list[bytes]], held_out: list[bool], found
     n_train = sum(not h for h in held_out)
     for low, high in ((0, n_train), (n_train, len(order))):
         part = ordered[low:high]
-        for start, end in runs(part, STEP):
+        for start, end in runs(part, LOOKED_UP):
             coded = Coded(part[start:end])
             keys = {o: coded.keys(o) for o in PREDICTORS}
-            costs = []
-            # A long text takes several steps.
-            for at in range(0, len(coded.data) - len(PAD), STEP):
-                asked = [found.find(o, keys[o][at : at + STEP]) for o in PREDICTORS]
-                costs.append(mixer.code([a for a, _ in asked], [k for _, k in asked], learn=low == 0))
+            costs, at = [], 0
+            while at < len(coded.data) - len(PAD):
+                # A long text takes several look-ups, and each of these many steps.
+                asked = [found.find(o, keys[o][at : at + LOOKED_UP]) for o in PREDICTORS]
+                costs += mixer.steps([a for a, _ in asked], [k for _, k in asked], learn=low == 0)
+                at += LOOKED_UP
             where = order[low + start : low + end]
             bits[where] = np.add.reduceat(np.concatenate(costs), coded.spans.ravel())[::2]
             sizes[where] = coded.sizes
@@ -362,7 +392,7 @@ def context_mixing(docs: DataFrame, folds: int = 5, held_fold: int = 1, block_by
 
     def ask(group: pa.Table) -> pa.Table:
         block = group.column("__block")[0].as_py()
-        texts = [tokens_of(t) for t in group.column("__text").to_pylist()]
+        texts = [coded_text(t.as_py()) for t in group.column("__text")]
         out: list[tuple] = []
         for kind, (keys, counts) in block_counts(texts, group.column("__held").to_pylist()).items():
             edges = shard_edges(keys, blocks)
@@ -391,7 +421,7 @@ def context_mixing(docs: DataFrame, folds: int = 5, held_fold: int = 1, block_by
     floor = math.log10(n + 0.5 * (v + 1))
 
     def score(group: pa.Table, replies: pa.Table) -> pa.Table:
-        texts = [tokens_of(t) for t in group.column("__text").to_pylist()]
+        texts = [coded_text(t.as_py()) for t in group.column("__text")]
         held_out = group.column("__held").to_pylist()
         own = {k: keys for k, (keys, _) in block_counts(texts, held_out).items()}
         replies = replies.sort_by([("kind", "ascending"), ("shard", "ascending")])
@@ -407,15 +437,16 @@ def context_mixing(docs: DataFrame, folds: int = 5, held_fold: int = 1, block_by
         bits, sizes = score_block(group.column("__id").to_pylist(), texts, held_out, Answers(own, said))
         counts: dict[bytes, int] = {}
         tokens, seen, base = [], [], []
-        for words in texts:
+        for text in texts:
+            words = [*text.split(), END]
             has, sum_ = 0, 0.0
-            for word, times in Counter([*words, END]).items():
+            for word, times in Counter(words).items():
                 c = counts.get(word)
                 if c is None:
                     c = counts[word] = known[xxhash.xxh3_64_intdigest(word)]
                 has += times * (c > 0)
                 sum_ += times * (math.log10(c + 0.5) - floor)
-            tokens.append(len(words) + 1)
+            tokens.append(len(words))
             seen.append(has)
             base.append(sum_)
         columns = [
