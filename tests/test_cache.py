@@ -38,8 +38,11 @@ def log_frame(spark, x, start=0):
     return spark.createDataFrame(table).repartition(4)
 
 
-def plain_loop(centers, x, max_size, top_t=2, theta=THETA):
-    """Decisions (hit, matched, similarity, dominant) and the final entries, oldest use first."""
+def plain_loop(centers, x, max_size, cuts, top_t=2, theta=THETA):
+    """Decisions (hit, matched, similarity, dominant) and the final entries, oldest use first.
+
+    Entries beyond ``max_size`` leave after the queries numbered ``cuts``.
+    """
     store, out = [], []  # [query number, dominant, hit count]
     for n, v in enumerate(x.astype(float)):
         z = KAPPA * (centers @ v)
@@ -58,13 +61,13 @@ def plain_loop(centers, x, max_size, top_t=2, theta=THETA):
         else:
             out.append((False, None, sim, order[0]))
             store.append([n, order[0], 0])
-            if len(store) > max_size:
-                store.pop(0)
+        if n + 1 in cuts:
+            del store[: max(0, len(store) - max_size)]
     return out, store
 
 
-def check(cache, x, centers, max_size):
-    want, store = plain_loop(centers, x, max_size)
+def check(cache, x, centers, max_size, cuts=()):
+    want, store = plain_loop(centers, x, max_size, cuts)
     got = {r.query_id: r for r in cache.decisions().collect()}
     assert len(got) == len(x)
     for n, (hit, matched, sim, dominant) in enumerate(want):
@@ -75,17 +78,17 @@ def check(cache, x, centers, max_size):
     assert entries == [(f"q{n}", c, h) for n, c, h in store]
 
 
-@pytest.mark.parametrize("max_size,cells,cuts", [(500, 1 << 23, [80]), (5, 1 << 23, [80]), (7, 200, [80]), (20, 1 << 23, [1, 30, 80])])
-def test_equals_the_loop(spark, monkeypatch, max_size, cells, cuts):
-    """One slice or many, with and without eviction, in one batch or several."""
-    monkeypatch.setattr(ca, "SLICE_CELLS", cells)
+@pytest.mark.parametrize("max_size,rows,cuts", [(500, 4096, [80]), (7, 9, [80]), (10, 4096, [1, 30, 80])])
+def test_equals_the_loop(spark, monkeypatch, max_size, rows, cuts):
+    """One block or many, with and without eviction, in one batch or several."""
+    monkeypatch.setattr(ca.matches, "__defaults__", (None, False, rows))
     centers, x = make_log(80, max_size)
     cache = ca.SemanticCache(spark, centers, kappa=KAPPA, threshold=THETA, max_size=max_size)
     start = 0
     for end in cuts:
         cache.process(log_frame(spark, x[start:end], start))
         start = end
-    check(cache, x, centers, max_size)
+    check(cache, x, centers, max_size, cuts)
 
 
 def test_stream_repeat_and_reopen(spark, tmp_path):
@@ -154,3 +157,25 @@ def test_threshold_rows(spark):
     assert (rows[0.85].tp, rows[0.85].fp, rows[0.85].tn, rows[0.85].fn) == (1, 1, 1, 1)
     assert rows[0.85].note == "DANGEROUS FP" and rows[0.05].note == "HIGH RECALL DANGEROUS FP"
     assert (rows[0.95].precision, rows[0.95].recall, rows[0.95].f1, rows[0.95].note) == (1.0, 0.0, 0.0, "HIGH PRECISION")
+
+
+def test_streams_follow_what_was_decided_before(spark, tmp_path):
+    """Batches, then a stream, then another stream: versions go on, nothing is lost."""
+    centers, x = make_log(60, 3)
+    cache = ca.SemanticCache(spark, centers, kappa=KAPPA, threshold=THETA, path=str(tmp_path / "cache"))
+    cache.process(log_frame(spark, x[:15]))
+    cache.process(log_frame(spark, x[15:25], 15))
+    schema = log_frame(spark, x[:1]).schema
+    for part, (a, b) in enumerate([(25, 40), (40, 60)]):
+        log_frame(spark, x[a:b], a).coalesce(1).write.parquet(str(tmp_path / "log" / f"s{part}"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "log" / f"s{part}"))
+        cache.follow(stream, str(tmp_path / f"checkpoint{part}")).awaitTermination()
+    assert cache.batch == 3
+    check(cache, x, centers, 2048)
+
+
+def test_other_errors_are_not_an_empty_cache(spark, tmp_path):
+    (tmp_path / "cache" / "state" / "batch=0").mkdir(parents=True)
+    (tmp_path / "cache" / "state" / "batch=0" / "x.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer|corrupt"):
+        ca.SemanticCache(spark, np.eye(3), path=str(tmp_path / "cache"))

@@ -6,18 +6,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def to_matrix(vectors: pa.Array | pa.ChunkedArray, dims: int, dtype=np.float64) -> np.ndarray:
-    """Rows of a list column, all of length ``dims``, as a matrix."""
+    """Rows of a list column, all of length ``dims`` and none null, as a matrix."""
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
+    # A null or short row would move all rows after it.
+    if vectors.null_count or pc.any(pc.not_equal(pc.list_value_length(vectors), dims)).as_py():
+        raise ValueError(f"vectors must have {dims} numbers each")
     flat = vectors.flatten().to_numpy(zero_copy_only=False)
     return flat.astype(dtype, copy=False).reshape(-1, dims)
 
 
+def with_vector(df: DataFrame, column: str = "embedding") -> DataFrame:
+    """Rows that have a vector; those without one, like a document without text, take no part."""
+    return df.filter(F.col(column).isNotNull())
+
+
 def to_lists(matrix: np.ndarray) -> pa.Array:
     """A matrix as a list column."""
     rows, dims = matrix.shape

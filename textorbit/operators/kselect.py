@@ -10,10 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from textorbit.functions.vectors import SUMS, collect_sums, keyed_sums, to_lists, to_matrix
+from textorbit.functions.vectors import SUMS, collect_sums, keyed_sums, to_lists, to_matrix, with_vector
 from textorbit.operators.kmeans import Fit, best_fits, fit_many, lloyd_totals, seeded_sample
-
-SILHOUETTE_ROWS, GAP_ROWS = 5_000, 3_000
+from textorbit.session import stage
 
 
 def calinski_harabasz(labelled: DataFrame, label: str = "label") -> DataFrame:
@@ -92,13 +91,13 @@ def k_sweep(
     n_init: int = 5,
     max_iter: int = 200,
     seed: int = 42,
-    silhouette_rows: int | None = SILHOUETTE_ROWS,
+    silhouette_rows: int | None = None,
 ) -> DataFrame:
     """``(k, inertia, silhouette, calinski_harabasz)`` of the best of ``n_init`` fits per k.
 
-    The silhouette uses a seeded sample of 5,000 documents by default, ``None`` all.
+    The silhouette is that of all documents, unless ``silhouette_rows`` asks for a seeded sample.
     """
-    points = embeddings.select("id", "embedding")
+    points = with_vector(embeddings).select("id", "embedding")
     fits = fit_many(points, [Fit(k, seed + i, max_iter) for k in ks for i in range(n_init)])
     best = [best_fits(fits)[(0, k)] for k in ks]
     judged = points if silhouette_rows is None else seeded_sample(points, silhouette_rows, seed)
@@ -162,15 +161,17 @@ def gap_table(
     ks=tuple(range(8, 24, 2)),
     n_refs: int = 10,
     seed: int = 42,
-    sample_rows: int = GAP_ROWS,
+    sample_rows: int | None = None,
 ) -> DataFrame:
-    """``(k, gap, sk)`` from a seeded sample and ``n_refs`` uniform references.
+    """``(k, gap, sk)`` from all vectors and ``n_refs`` uniform references of as many rows.
 
-    The sample and all references are fitted together: one data set column, one set of
-    Lloyd passes.
+    The vectors and all references are fitted together: one data set column, one set of
+    Lloyd passes. ``sample_rows`` asks for a seeded sample instead of all vectors.
     """
     spark = embeddings.sparkSession
-    sample = seeded_sample(embeddings.select(F.col("id").cast("string"), "embedding"), sample_rows, seed)
+    sample = with_vector(embeddings).select(F.col("id").cast("string"), "embedding")
+    if sample_rows is not None:
+        sample = stage(seeded_sample(sample, sample_rows, seed), "gap-sample")
     box = sample.select(F.posexplode("embedding").alias("pos", "x")).groupBy("pos").agg(
         F.min("x").cast("double").alias("lo"), F.max("x").cast("double").alias("hi")
     )

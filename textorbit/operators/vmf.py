@@ -17,13 +17,13 @@ from textorbit.functions.vectors import (
     to_lists,
     to_matrix,
     unit_rows,
+    with_vector,
 )
 from textorbit.operators.kmeans import fit_kmeans
 from textorbit.operators.medians import exact_medians
 from textorbit.session import stage
 
 KAPPAS = (5, 10, 15, 20, 30, 40, 50)
-HEAD_ROWS = 5_000
 
 
 def softmax_rows(cosines: np.ndarray, kappa: float) -> np.ndarray:
@@ -34,12 +34,16 @@ def softmax_rows(cosines: np.ndarray, kappa: float) -> np.ndarray:
 
 
 def memberships(embedding: Column | str, centroids: np.ndarray, kappa: float) -> Column:
-    """Soft assignment of a vector to each centroid, as ``array<double>``; row-local."""
+    """Soft assignment of a vector to each centroid, as ``array<double>``; row-local, null for a null vector."""
     centroids = np.asarray(centroids, np.float64)
 
     @F.arrow_udf(ArrayType(DoubleType()))
     def soft(vectors: pa.Array) -> pa.Array:
-        return to_lists(softmax_rows(to_matrix(vectors, centroids.shape[1]) @ centroids.T, kappa))
+        u = softmax_rows(to_matrix(vectors.drop_null(), centroids.shape[1]) @ centroids.T, kappa)
+        if not vectors.null_count:
+            return to_lists(u)
+        place = np.cumsum(~vectors.is_null().to_numpy(zero_copy_only=False)) - 1
+        return to_lists(u).take(pa.array(place, mask=vectors.is_null().to_numpy(zero_copy_only=False)))
 
     return soft(embedding)
 
@@ -125,7 +129,7 @@ def soft_sums(embeddings: DataFrame, centroids: np.ndarray, kappa: float) -> np.
                 total += softmax_rows(x @ centroids.T, kappa).T @ x
         yield from keyed_sums(np.arange(k), total)
 
-    return collect_sums(embeddings.select("embedding").mapInArrow(partial, SUMS), k, dims)
+    return collect_sums(with_vector(embeddings).select("embedding").mapInArrow(partial, SUMS), k, dims)
 
 
 def fit_vmf(
@@ -142,7 +146,7 @@ def fit_vmf(
     Stops when no coordinate moves by 1e-5. Memberships under the result come from
     ``assign``.
     """
-    points = embeddings.persist()
+    points = with_vector(embeddings).persist()
     try:
         if start is None:
             start = fit_kmeans(points, k, n_init=n_init, seed=seed).centers
@@ -162,17 +166,17 @@ def kappa_table(
     embeddings: DataFrame,
     centroids: np.ndarray,
     kappas=KAPPAS,
-    head_rows: int | None = HEAD_ROWS,
+    head_rows: int | None = None,
 ) -> DataFrame:
     """Per concentration: mean entropy and confidence, counts, and whether the entropy
     lies in the middle third of its range.
 
-    By default the first 5,000 documents in corpus order are judged; ``None`` judges
-    all. Cosines are computed once per document for all concentrations.
+    All documents are judged, unless ``head_rows`` asks for that many first ones in corpus
+    order. Cosines are computed once per document for all concentrations.
     """
     centroids = np.asarray(centroids, np.float64)
     n_kappas, top = len(kappas), float(np.log(len(centroids)))
-    points = embeddings
+    points = with_vector(embeddings)
     if head_rows is not None:
         points = points.orderBy("category", "doc_id").limit(head_rows)
 

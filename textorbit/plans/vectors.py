@@ -64,7 +64,7 @@ def confidence_bands(spark: SparkSession, sf: str) -> DataFrame:
 
 def kappa_select(spark: SparkSession, sf: str) -> DataFrame:
     centroids = inputs.label_centroids(spark, sf)
-    table = vmf.kappa_table(inputs.vectors(spark, sf), centroids, head_rows=None).persist()
+    table = vmf.kappa_table(inputs.vectors(spark, sf), centroids)
     chosen = vmf.select_kappa(table, len(centroids))
     return table.withColumn("selected", F.col("kappa") == chosen).withColumn("kappa", F.col("kappa").cast("long"))
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,18 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-_own_folders: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one where none is named."""
+    """A folder that all executors see: the one in ``spark.checkpoint.dir``, else the context's
+    checkpoint folder, else one in the warehouse."""
     folder = spark.conf.get(_CHECKPOINT_DIR, None)
     if folder:
         return folder
-    app = spark.sparkContext.applicationId
-    if app not in _own_folders:
-        _own_folders[app] = tempfile.mkdtemp(prefix="textorbit-")
-    return _own_folders[app]
+    folder = spark.sparkContext.getCheckpointDir()
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/textorbit-staged"
 
 
 def new_path(spark: SparkSession, name: str) -> str:

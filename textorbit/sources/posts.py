@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from textorbit.functions.text import unix_newlines
 
 
-def read_posts(spark: SparkSession, root: str, skip_unreadable: bool = True) -> DataFrame:
+def read_posts(spark: SparkSession, root: str, skip_unreadable: bool = False) -> DataFrame:
     """``(category, doc_id, raw)`` for every file one level below ``root``.
 
     Posts are Latin-1. The text source cannot decode whole files of that encoding, so
-    the bytes are read and decoded here. Unreadable files are skipped by default, and so
-    are, by Spark's rule, files whose name starts with a dot or underscore.
+    the bytes are read and decoded here. An unreadable file fails the read, unless it is to be
+    skipped. By Spark's rule, files whose name starts with a dot or underscore are not read.
     """
     parts = F.split(F.col("path"), "/")
     files = (
