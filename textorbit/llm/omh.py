@@ -8,10 +8,9 @@ word counts allow it, are verified by a banded alignment of their words: a link
 
 Equal texts are one text from the start. A bucket, that is, the texts which agree in a sketch,
 compares each text with its least one, so a bucket of any size makes as many pairs as it has
-members; a few sketches go first, and the others compare only texts that these have not joined.
-What these links do not join is then compared fully, in blocks of bounded size that are
-tested against each other on their word counts inside tasks; only pairs that pass leave them. Classes
-are the connected components of the links.
+members; a few sketches go first. Buckets of all sketches that still hold several classes are then
+compared fully, in blocks of bounded size; a block sends only links, and no more than it has
+classes. Classes are the connected components of the links.
 """
 
 from __future__ import annotations
@@ -34,7 +33,7 @@ SKETCHES = 24
 # At five-word similarity 0.8 a sketch of two agrees with probability 0.64, and none of 24 once in
 # 10^10 pairs; at 0.46, as a fifth of the words is edited here and there, once in 200 pairs.
 KEPT = 2
-# Sketches whose buckets are compared first; the others compare only what these left apart.
+# Sketches whose buckets are compared first, with their least text; the rest compares what these left apart.
 FIRST = 4
 SIMILARITY = 0.8
 BLOCK_TEXTS = 512
@@ -301,24 +300,52 @@ def _bags(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, BINS)
 
 
-def _possible(similarity: float):
-    """Pairs of a bucket's texts, of different classes, whose word counts allow the similarity."""
+def _block_links(similarity: float, sketches: int):
+    """Links between a bucket's texts of different classes; two classes are linked once.
+
+    A pair that agrees in several sketches is compared in the bucket of the first only.
+    """
 
     def run(group: pa.Table) -> pa.Table:
-        keys = group.column("key").to_pylist()
+        keys, texts = group.column("key").to_pylist(), group.column("text")
         classes = np.unique(np.array([c.hex() for c in group.column("class").to_pylist()]), return_inverse=True)[1]
         sizes, part, bags = group.column("n").to_numpy(), group.column("part").to_numpy(), _bags(group.column("bag"))
-        first, second = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        matrix = np.frombuffer(b"".join(group.column("sketches").to_pylist()), np.int64).reshape(-1, sketches)
+        bucket, first, second = (group.column(c)[0].as_py() for c in ("bucket", "i", "j"))
+        place = int(np.flatnonzero(matrix[0] == bucket)[0])
+        hashes, seen = WordHashes(), {}
+        root = list(range(int(classes.max()) + 1))
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        def words(at: int) -> np.ndarray:
+            if at not in seen:
+                seen[at] = hashes(words_of(texts[at].as_py()))
+            return seen[at]
+
+        found: tuple[list, list, list] = ([], [], [])
         rows, columns = np.flatnonzero(part == first), np.flatnonzero(part == second)
-        found: tuple[list, list] = ([], [])
         for r in rows.tolist():
             others = columns if first != second else columns[columns > r]
             others = others[classes[others] != classes[r]]
             others = others[allowed(sizes[others], sizes[r], bags[others], bags[r], similarity)]
+            others = others[~(matrix[others, :place] == matrix[r, :place]).any(axis=1)]
             for o in others.tolist():
-                found[0].append(min(keys[r], keys[o]))
-                found[1].append(max(keys[r], keys[o]))
-        return pa.table({"a": pa.array(found[0], pa.binary()), "b": pa.array(found[1], pa.binary())})
+                x, y = find(int(classes[r])), find(int(classes[o]))
+                if x == y:
+                    continue
+                longer = max(int(sizes[r]), int(sizes[o]))
+                edits = edit_distance(words(r), words(o), int((1 - similarity) * longer + 1e-9))
+                if edits is not None:
+                    root[x] = y
+                    found[0].append(min(keys[r], keys[o]))
+                    found[1].append(max(keys[r], keys[o]))
+                    found[2].append(1 - edits / longer)
+        types = (pa.binary(), pa.binary(), pa.float64())
+        return pa.table([pa.array(f, t) for f, t in zip(found, types)], ["a", "b", "similarity"])
 
     return run
 
@@ -338,38 +365,30 @@ def near_links(
     buckets = members.groupBy("bucket").agg(F.min("key").alias("least"), F.count("*").alias("size")).filter("size > 1")
     members = stage(members.join(buckets, "bucket"), "shared-buckets")
     originals = docs.filter(F.col("text").isNotNull()).select(text_key(F.col("text")).alias("key"), "text")
+    # The text of each member, once; a join by key at every size, as the texts are the large side.
+    shared = members.select("key").distinct().hint("merge")
+    originals = stage(originals.join(shared, "key").dropDuplicates(["key"]), "shared-texts")
     counts = texts.select("key", "n", "bag")
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = pairs.join(counts.toDF("a", "n_a", "bag_a"), "a").join(counts.toDF("b", "n_b", "bag_b"), "b")
-        pairs = stage(_allowed_pairs(pairs, similarity), f"{name}-pairs")
-        keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-        own = stage(originals.join(keys, "key").dropDuplicates(["key"]), f"{name}-texts")
-        return stage(align_pairs(pairs, own, similarity), f"{name}-links")
-
     # Each member with its bucket's least, for the first sketches; these join most copies.
-    stars = members.filter("key <> least")
-    links = verified(stars.filter("early").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct(), "first")
-    labels = components(links)
-    # The same for the other sketches, where this would join two classes.
-    stars = stars.filter("NOT early").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct()
-    for end in ("a", "b"):
-        stars = stars.join(labels.toDF(end, f"class_{end}"), end, "left").withColumn(f"class_{end}", F.coalesce(f"class_{end}", end))
-    links = links.unionByName(verified(stars.filter("class_a <> class_b").select("a", "b"), "star"))
-    labels = components(links)
+    stars = members.filter("early AND key <> least").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct()
+    stars = stars.join(counts.toDF("a", "n_a", "bag_a"), "a").join(counts.toDF("b", "n_b", "bag_b"), "b")
+    links = stage(align_pairs(stage(_allowed_pairs(stars, similarity), "stars"), originals, similarity), "star-links")
+
     # Buckets that still hold texts of more than one class: their texts meet in blocks.
+    labels = components(links)
     left_over = members.join(labels.toDF("key", "root"), "key", "left").select(
         "bucket", "key", "size", F.coalesce("root", "key").alias("class")
     )
     torn = left_over.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x <> y").select("bucket")
-    rows = left_over.join(torn, "bucket").join(counts, "key")
+    rows = left_over.join(torn, "bucket").join(texts, "key").join(originals.hint("merge"), "key")
     parts = F.ceil(F.col("size") / block).cast("int")
     rows = rows.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
-    rows = rows.select("bucket", "i", "j", "part", "key", "class", "n", "bag")
-    pairs = rows.groupBy("bucket", "i", "j").applyInArrow(_possible(similarity), "a binary, b binary")
-    return links.unionByName(verified(pairs.distinct(), "rest"))
+    rows = rows.select("bucket", "i", "j", "part", "key", "class", "n", "bag", "sketches", "text")
+    more = rows.groupBy("bucket", "i", "j").applyInArrow(_block_links(similarity, sketches), "a binary, b binary, similarity double")
+    return links.unionByName(stage(more, "block-links"))
 
 
 def _allowed_pairs(pairs: DataFrame, similarity: float) -> DataFrame:
