@@ -138,18 +138,18 @@ def test_probabilities_of_all_next_bytes_sum_to_one():
     mix = mixer.Mixer(len(mixer.PREDICTORS))
     for context in (b"the ca", b"on the ", b"zzq"):
         every = [context + bytes([b]) for b in range(256)]
-        asked = {}
+        grams = np.sort([mixer.Coded([data]).grams()[len(data) - 1] for data in every])
+        keys, told = {}, {}
         for name in mixer.PREDICTORS:
-            keys = []
-            for data in every:
-                keys.append(mixer.Coded([data]).keys(name)[len(data) - 1])
-            union = np.unique(np.concatenate([own[name], np.array(keys, np.uint64)]))
+            keys[name] = np.unique(np.concatenate([own[name], mixer.context_keys(grams, name)]))
             known = dict(zip(own[name].tolist(), counts[name][1].tolist()))
-            told = mixer.bit_predictions(union, np.array([known.get(k, 0) for k in union.tolist()]))
-            asked[name] = mixer.Answers({name: union}, {name: told}).find(name, np.array(keys, np.uint64))
-        costs = mix.code([asked[p][0] for p in mixer.PREDICTORS], [asked[p][1] for p in mixer.PREDICTORS], learn=False)
+            told[name] = mixer.bit_predictions(keys[name], np.array([known.get(k, 0) for k in keys[name].tolist()]))
+        found = mixer.Answers(grams, keys, told)
+        where, _ = found.find(grams)
+        rows, gate = [r[where] for r in found.rows], mix.gate(found.known)[where]
+        costs = mix.code(rows, gate, np.ones(256, np.int64), learn=False)
         assert abs((2.0**-costs).sum() - 1) < 1e-4
-        mix.code([asked[p][0] for p in mixer.PREDICTORS], [asked[p][1] for p in mixer.PREDICTORS], learn=True)
+        mix.code(rows, gate, np.arange(256), learn=True)
     assert kinds[0] == mixer.TOKENS
 
 

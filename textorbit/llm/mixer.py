@@ -1,7 +1,7 @@
 """Language-model scoring by online logistic context mixing.
 
 A text is coded byte by byte and each byte bit by bit: its words with one space between them, and
-an end. Each predictor hashes the bytes before (one, three or five of them) and predicts the next bit
+an end. Each predictor hashes the bytes before (one to five of them) and predicts the next bit
 from how often, in the training texts, the bytes that begin with the bits so far went on with
 either. A mixer adds the predictions up in the logistic domain with weights chosen by a gate (how
 long a context is known, and how well), learns these weights online from the training texts as it
@@ -34,26 +34,22 @@ from textorbit.llm.common import table, without
 from textorbit.session import stage
 
 # Predictors by the number of bytes they see, from weak to strong.
-PREDICTORS = (1, 3, 5)
+PREDICTORS = (1, 2, 3, 4, 5)
 # Texts of one block, in bytes. Larger blocks share more of what they ask for.
 BLOCK_BYTES = 32 << 20
-# Positions that are coded between two steps of the mixer's learning.
-STEP = 1 << 14
-# Positions that are looked up at once.
-LOOKED_UP = 1 << 18
-FIRST_STEP = 1 << 10
-# Positions whose contexts are counted at once.
-COUNTED = 1 << 18
+# Positions that are coded between two steps of the mixer's learning, at the start and later.
+FIRST_STEP, STEP = 1 << 12, 1 << 18
 DELTA = 0.4
 UNIT = 10.0  # predictions travel as hundred-odd steps of this many per logistic unit
 RATE = 0.02
 START = 0.3
 MAP_CELLS = 24
 
-TOKENS = 0
+TOKENS, GRAMS = 0, -1
 END = b"\n"
-PAD = END * 6
-NOTHING = np.uint64(0)
+PAD = END * max(PREDICTORS)
+# Stands for padding, of which nothing is known; no run of bytes is as large.
+NOTHING = np.uint64((1 << 64) - 1)
 
 _M1, _M2, _GOLD = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 _LOW = np.uint64(0xFF)
@@ -84,26 +80,24 @@ class Coded:
         between = (ends[:-1, None] + np.arange(len(PAD))).ravel()
         self.padding = np.append(between, len(self.data) - len(PAD) - 1)
 
-    def keys(self, order: int) -> np.ndarray:
-        """For each byte its context's hash, with the byte itself in the low bits."""
-        first = len(PAD)
-        now = self.data[first:]
-        hashed = (self._past(order) + np.uint64(order * int(_GOLD) & (1 << 64) - 1)) * _M1
-        hashed ^= hashed >> np.uint64(32)
-        hashed *= _M2
-        hashed &= ~_LOW
-        hashed |= now
-        hashed[self.padding] = NOTHING
-        return hashed
-
-    def _past(self, order: int) -> np.ndarray:
-        first = len(PAD)
-        n = len(self.data) - first
-        past = self.data[first - order : first - order + n].copy()
-        for back in range(order - 1, 0, -1):
-            past <<= np.uint64(8)
-            past |= self.data[first - back : first - back + n]
-        return past
+    def grams(self) -> np.ndarray:
+        """For each byte the bytes before it that predictors see, and itself, as one number."""
+        n = len(self.data) - len(PAD)
+        out = self.data[:n].copy()
+        for at in range(1, len(PAD) + 1):
+            out <<= np.uint64(8)
+            out |= self.data[at : at + n]
+        out[self.padding] = NOTHING
+        return out
+
+
+def context_keys(grams: np.ndarray, order: int) -> np.ndarray:
+    """The hash of the last ``order`` bytes before, with the byte itself in the low bits."""
+    past = (grams >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1)
+    hashed = (past + np.uint64(order * int(_GOLD) & (1 << 64) - 1)) * _M1
+    hashed ^= hashed >> np.uint64(32)
+    hashed *= _M2
+    return (hashed & ~_LOW) | (grams & _LOW)
 
 
 def runs(texts: list[bytes], size: int, first: int | None = None) -> Iterator[tuple[int, int]]:
@@ -129,10 +123,10 @@ def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[starts], np.add.reduceat(counts, starts) if len(starts) else counts
 
 
-def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    found = pc.value_counts(pa.array(keys))
-    keys, counts = found.field("values").to_numpy(), found.field("counts").to_numpy()
-    return keys[keys != NOTHING], counts[keys != NOTHING]
+def _distinct(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    found = pc.value_counts(pa.array(grams))
+    grams, counts = found.field("values").to_numpy(), found.field("counts").to_numpy()
+    return grams[grams != NOTHING], counts[grams != NOTHING]
 
 
 def token_keys(words: list[bytes]) -> np.ndarray:
@@ -163,25 +157,31 @@ class Merged:
         return self.whole
 
 
-def block_counts(texts: list[bytes], held_out: list[bool]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """A block's distinct keys of each kind, and their counts in its training texts."""
+def block_words(texts: list[bytes], held_out: list[bool]) -> tuple[list[bytes], np.ndarray]:
+    """A block's distinct tokens, ends included, and how often each occurs in its training texts."""
     every, known = Counter(), Counter()
     for text, held in zip(texts, held_out):
         (every if held else known).update(text.split())
         (every if held else known)[END] += 1
     words = list(known.keys() | every.keys())
-    counts = np.fromiter((known.get(w, 0) for w in words), np.int64, len(words))
+    return words, np.fromiter((known.get(w, 0) for w in words), np.int64, len(words))
+
+
+def block_counts(texts: list[bytes], held_out: list[bool], tokens=None) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """A block's distinct keys of each kind, and their counts in its training texts."""
+    words, counts = tokens or block_words(texts, held_out)
     out = {TOKENS: _added(token_keys(words), counts)}
-    del words, every, known
-    found = {k: Merged() for k in PREDICTORS}
+    del words
+    found = Merged()
     for held in (False, True):
         own = [t for t, h in zip(texts, held_out) if h == held]
-        for start, end in runs(own, COUNTED):
-            coded = Coded(own[start:end])
-            for order in PREDICTORS:
-                keys, counts = _distinct(coded.keys(order))
-                found[order].add(keys, np.zeros_like(counts) if held else counts)
-    return out | {order: _added(*parts.merge()) for order, parts in found.items()}
+        for start, end in runs(own, STEP):
+            grams, counts = _distinct(Coded(own[start:end]).grams())
+            found.add(grams, np.zeros_like(counts) if held else counts)
+    grams, counts = _added(*found.merge())
+    out[GRAMS] = (grams, counts)
+    # Shorter contexts are parts of the longest: each distinct run of bytes is looked at once.
+    return out | {order: _added(context_keys(grams, order), counts) for order in PREDICTORS}
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -248,7 +248,6 @@ class Mixer:
     def __init__(self, inputs: int):
         self.inputs = inputs
         self.gates = (inputs + 1) * 4
-        self.step = FIRST_STEP
         self.weights = np.full((inputs, self.gates, 8), START, np.float32)
         self.seen = np.full((inputs, self.gates, 8), 1e-4)
         # Per bit and prediction in halves of a logistic unit: how often such a prediction was made for
@@ -264,20 +263,9 @@ class Mixer:
             np.copyto(found, (i + 1) * 4 + np.minimum(k // 3, 3), where=k > 0)
         return found
 
-    def steps(self, rows: list[np.ndarray], known: list[np.ndarray], learn: bool) -> list[np.ndarray]:
-        """Cost in bits of each position, step by step; steps grow from ``FIRST_STEP`` to ``STEP``."""
-        out, at = [], 0
-        while at < len(rows[0]):
-            end = at + self.step
-            out.append(self.code([r[at:end] for r in rows], [k[at:end] for k in known], learn))
-            at = end
-            if learn:
-                self.step = min(STEP, 2 * self.step)
-        return out
-
-    def code(self, rows: list[np.ndarray], known: list[np.ndarray], learn: bool) -> np.ndarray:
-        """Cost in bits of each position. ``rows`` are the logits of the bits that came, eight bytes each."""
-        gate = self.gate(known)
+    def code(self, rows: list[np.ndarray], gate: np.ndarray, times: np.ndarray, learn: bool) -> np.ndarray:
+        """Cost in bits of different positions. ``rows`` are the logits of the bits that came, eight
+        bytes each; ``times`` says how often each position occurs, for learning."""
         order = np.argsort(gate, kind="stable")
         gates, starts = np.unique(gate[order], return_index=True)
         edges = np.append(starts, len(order)).tolist()
@@ -288,8 +276,7 @@ class Mixer:
             for i in range(1, self.inputs):
                 np.multiply(inputs[i][a:b], self.weights[i, g] / np.float32(UNIT), out=own[a:b])
                 mixed[a:b] += own[a:b]
-        # The map's cells are of the strength of either value's prediction, so it treats both alike;
-        # a prediction of neither is in the middle and stays there.
+        # A prediction of neither value is in the middle and stays there, as the map treats both alike.
         place = np.clip(mixed, -11.9, 11.9)
         place *= np.float32(2)
         cell = (np.rint(place).astype(np.int16) + self.shift).astype(np.int64)
@@ -303,13 +290,16 @@ class Mixer:
         refined += p
         refined *= np.float32(0.5)
         if learn:
+            often = times[order].astype(np.float32)[:, None]
             missed = np.subtract(1, p, out=p)
-            sizes = np.maximum(np.diff(edges), 32)[:, None]
+            missed *= often
+            sizes = np.maximum(np.add.reduceat(often, edges[:-1], axis=0), 32)
             for i, x in enumerate(inputs):
                 slope = np.add.reduceat(np.multiply(missed, x, out=own), edges[:-1], axis=0) / (sizes * UNIT)
                 self.seen[i, gates] += slope**2
                 self.weights[i, gates] += (RATE * slope / np.sqrt(self.seen[i, gates])).astype(np.float32)
-            self.map += np.bincount(cell.ravel(), minlength=self.map.size).reshape(self.map.shape)
+            came = np.bincount(cell.ravel(), np.repeat(times[order], 8), minlength=self.map.size)
+            self.map += came.reshape(self.map.shape)
         costs = np.empty(len(order))
         np.maximum(refined, np.float32(1e-9), out=refined)
         costs[order] = -np.log2(refined, out=refined).sum(axis=1, dtype=np.float64)
@@ -317,23 +307,25 @@ class Mixer:
 
 
 class Answers:
-    """What a block was told, by key: logits of eight bits in eight bytes, and how known the context is."""
-
-    def __init__(self, own: dict[int, np.ndarray], told: dict[int, np.ndarray]):
-        self.own = own
-        self.rows = {k: np.ascontiguousarray(v[:, :8]).view(np.int64).ravel() for k, v in told.items() if k != TOKENS}
-        self.known = {k: np.ascontiguousarray(v[:, 8]) for k, v in told.items() if k != TOKENS}
-
-    def find(self, name: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        coded = pc.dictionary_encode(pa.array(keys))
+    """What is known of each run of bytes in a block: by predictor, the logits of eight bits in eight
+    bytes, and how known the context is. The last row stands for padding."""
+
+    def __init__(self, grams: np.ndarray, own: dict[int, np.ndarray], told: dict[int, np.ndarray]):
+        self.grams = np.append(grams, NOTHING)
+        self.rows, self.known = [], []
+        for order in PREDICTORS:
+            at = np.searchsorted(own[order], context_keys(grams, order))
+            self.rows.append(np.append(np.ascontiguousarray(told[order][:, :8]).view(np.int64).ravel()[at], 0))
+            self.known.append(np.append(told[order][:, 8][at], np.int8(0)))
+
+    def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the different runs among ``grams``, and for each position which of them it is."""
+        coded = pc.dictionary_encode(pa.array(grams))
         distinct = coded.dictionary.to_numpy()
         order = np.argsort(distinct)
         where = np.empty(len(order), np.int64)
-        where[order] = np.searchsorted(self.own[name], distinct[order])
-        where = np.minimum(where, len(self.own[name]) - 1)
-        there = self.own[name][where] == distinct  # all but the padding
-        at = coded.indices.to_numpy()
-        return np.where(there, self.rows[name][where], 0)[at], np.where(there, self.known[name][where], 0)[at]
+        where[order] = np.searchsorted(self.grams, distinct[order])
+        return where, coded.indices.to_numpy()
 
 
 def score_block(ids: list, texts: list[bytes], held_out: list[bool], found: Answers) -> tuple[np.ndarray, np.ndarray]:
@@ -344,20 +336,22 @@ def score_block(ids: list, texts: list[bytes], held_out: list[bool], found: Answ
     order = np.array(sorted(range(len(texts)), key=lambda i: (held_out[i], ids[i] is None, ids[i], texts[i])), np.int64)
     ordered = [texts[i] for i in order]
     n_train = sum(not h for h in held_out)
+    gates = mixer.gate(found.known)
     for low, high in ((0, n_train), (n_train, len(order))):
         part = ordered[low:high]
-        for start, end in runs(part, LOOKED_UP):
+        for start, end in runs(part, STEP, None if low else FIRST_STEP):
             coded = Coded(part[start:end])
-            keys = {o: coded.keys(o) for o in PREDICTORS}
-            costs, at = [], 0
-            while at < len(coded.data) - len(PAD):
-                # A long text takes several look-ups, and each of these many steps.
-                asked = [found.find(o, keys[o][at : at + LOOKED_UP]) for o in PREDICTORS]
-                costs += mixer.steps([a for a, _ in asked], [k for _, k in asked], learn=low == 0)
-                at += LOOKED_UP
-            where = order[low + start : low + end]
-            bits[where] = np.add.reduceat(np.concatenate(costs), coded.spans.ravel())[::2]
-            sizes[where] = coded.sizes
+            grams, costs = coded.grams(), []
+            # A long text takes several steps.
+            for at in range(0, len(grams), STEP):
+                where, which = found.find(grams[at : at + STEP])
+                times = np.bincount(which, minlength=len(where))
+                times[found.grams[where] == NOTHING] = 0
+                own = mixer.code([r[where] for r in found.rows], gates[where], times, learn=low == 0)
+                costs.append(own[which])
+            at = order[low + start : low + end]
+            bits[at] = np.add.reduceat(np.concatenate(costs), coded.spans.ravel())[::2]
+            sizes[at] = coded.sizes
     return bits, sizes
 
 
@@ -395,6 +389,8 @@ def context_mixing(docs: DataFrame, folds: int = 5, held_fold: int = 1, block_by
         texts = [coded_text(t.as_py()) for t in group.column("__text")]
         out: list[tuple] = []
         for kind, (keys, counts) in block_counts(texts, group.column("__held").to_pylist()).items():
+            if kind == GRAMS:
+                continue
             edges = shard_edges(keys, blocks)
             for shard, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
                 if a < b:
@@ -423,7 +419,8 @@ def context_mixing(docs: DataFrame, folds: int = 5, held_fold: int = 1, block_by
     def score(group: pa.Table, replies: pa.Table) -> pa.Table:
         texts = [coded_text(t.as_py()) for t in group.column("__text")]
         held_out = group.column("__held").to_pylist()
-        own = {k: keys for k, (keys, _) in block_counts(texts, held_out).items()}
+        tokens = block_words(texts, held_out)
+        own = {k: keys for k, (keys, _) in block_counts(texts, held_out, tokens).items()}
         replies = replies.sort_by([("kind", "ascending"), ("shard", "ascending")])
         kinds = np.array(replies.column("kind").to_pylist())
         bodies = replies.column("answer")
@@ -433,24 +430,19 @@ def context_mixing(docs: DataFrame, folds: int = 5, held_fold: int = 1, block_by
             part = unpack(data, np.int64) if kind == TOKENS else unpack(data, np.int8).reshape(9, -1).T
             parts.setdefault(kind, []).append(part)
         said = {kind: np.concatenate(p) for kind, p in parts.items()}
-        known = dict(zip(own[TOKENS].tolist(), said[TOKENS].tolist()))
-        bits, sizes = score_block(group.column("__id").to_pylist(), texts, held_out, Answers(own, said))
-        counts: dict[bytes, int] = {}
-        tokens, seen, base = [], [], []
+        bits, sizes = score_block(group.column("__id").to_pylist(), texts, held_out, Answers(own[GRAMS], own, said))
+        words = tokens[0]
+        counts = said[TOKENS][np.searchsorted(own[TOKENS], token_keys(words))]
+        cost = dict(zip(words, (np.log10(counts + 0.5) - floor).tolist()))
+        new = {w for w, c in zip(words, counts.tolist()) if not c}
+        n_tokens, seen, base = [], [], []
         for text in texts:
             words = [*text.split(), END]
-            has, sum_ = 0, 0.0
-            for word, times in Counter(words).items():
-                c = counts.get(word)
-                if c is None:
-                    c = counts[word] = known[xxhash.xxh3_64_intdigest(word)]
-                has += times * (c > 0)
-                sum_ += times * (math.log10(c + 0.5) - floor)
-            tokens.append(len(words))
-            seen.append(has)
-            base.append(sum_)
+            n_tokens.append(len(words))
+            seen.append(len(words) - sum(map(new.__contains__, words)))
+            base.append(sum(map(cost.__getitem__, words)))
         columns = [
-            pa.array(held_out, pa.bool_()), pa.array(tokens, pa.int64()), pa.array(seen, pa.int64()),
+            pa.array(held_out, pa.bool_()), pa.array(n_tokens, pa.int64()), pa.array(seen, pa.int64()),
             pa.array([n] * len(texts), pa.int64()), pa.array(base, pa.float64()), pa.array(-bits * math.log10(2), pa.float64()),
             pa.array(sizes, pa.int64()), pa.array(bits / sizes, pa.float64()),
         ]
