@@ -185,6 +185,7 @@ def gap_table(
     best = best_fits(fit_many(points, fits))
     rows = []
     for k in ks:
+        # Fixed value: 1e-10 keeps the logarithm finite.
         own = np.log(best[(0, k)].inertia + 1e-10)
         refs = np.array([np.log(best[(b + 1, k)].inertia + 1e-10) for b in range(n_refs)])
         rows.append((int(k), float(refs.mean() - own), float(np.sqrt(1 + 1 / n_refs) * refs.std())))
