@@ -38,7 +38,7 @@ FIRST = 4
 SIMILARITY = 0.8
 BLOCK_TEXTS = 512
 # Words are counted in so many bins, by their hash, to bound the edits between texts from below.
-BINS = 128
+BINS, FINE_BINS = 128, 1024
 
 _M1, _M2, _GOLD, _BASE = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15, 0x100000001B3))
 
@@ -117,15 +117,16 @@ def bag(words: np.ndarray, bins: int = BINS) -> np.ndarray:
     return np.minimum(counts, 0xFFFF).astype(np.uint16)
 
 
-def allowed(n: np.ndarray, m: np.ndarray, x: np.ndarray, y: np.ndarray, similarity: float) -> np.ndarray:
-    """Whether texts of ``n`` and ``m`` words with bags ``x`` and ``y`` can be similar enough.
+def least_edits(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Edits between texts with bags ``x`` and ``y`` at least: each word too many costs one."""
+    difference = x.astype(np.int32) - y.astype(np.int32)
+    return np.maximum(np.maximum(difference, 0).sum(axis=-1), np.maximum(-difference, 0).sum(axis=-1))
 
-    Each word that one text has over the other costs an edit, so no pair is dismissed wrongly.
-    """
+
+def allowed(n: np.ndarray, m: np.ndarray, x: np.ndarray, y: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether texts of ``n`` and ``m`` words with bags ``x`` and ``y`` can be similar enough."""
     most = np.floor((1 - similarity) * np.maximum(n, m) + 1e-9)
-    difference = x.astype(np.int32) - y.astype(np.int32)
-    over, under = np.maximum(difference, 0).sum(axis=-1), np.maximum(-difference, 0).sum(axis=-1)
-    return (np.abs(n - m) <= most) & (np.maximum(over, under) <= most)
+    return (np.abs(n - m) <= most) & (least_edits(x, y) <= most)
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -314,17 +315,20 @@ def _block_links(similarity: float, sketches: int):
         bucket, first, second = (group.column(c)[0].as_py() for c in ("bucket", "i", "j"))
         place = int(np.flatnonzero(matrix[0] == bucket)[0])
         hashes, seen = WordHashes(), {}
-        root = list(range(int(classes.max()) + 1))
-
-        def find(c: int) -> int:
-            while root[c] != c:
-                root[c] = c = root[root[c]]
-            return c
 
         def words(at: int) -> np.ndarray:
             if at not in seen:
-                seen[at] = hashes(words_of(texts[at].as_py()))
-            return seen[at]
+                hashed = hashes(words_of(texts[at].as_py()))
+                seen[at] = (hashed, bag(hashed, FINE_BINS))
+            return seen[at][0]
+
+        def nearest_first(r: int, others: np.ndarray) -> np.ndarray:
+            """Those of ``others`` that finer bags allow, the most promising first."""
+            for at in (r, *others.tolist()):
+                words(at)
+            edits = least_edits(np.stack([seen[o][1] for o in others.tolist()]), seen[r][1])
+            possible = edits <= np.floor((1 - similarity) * np.maximum(sizes[others], sizes[r]) + 1e-9)
+            return others[possible][np.argsort(edits[possible], kind="stable")]
 
         found: tuple[list, list, list] = ([], [], [])
         rows, columns = np.flatnonzero(part == first), np.flatnonzero(part == second)
@@ -333,17 +337,18 @@ def _block_links(similarity: float, sketches: int):
             others = others[classes[others] != classes[r]]
             others = others[allowed(sizes[others], sizes[r], bags[others], bags[r], similarity)]
             others = others[~(matrix[others, :place] == matrix[r, :place]).any(axis=1)]
-            for o in others.tolist():
-                x, y = find(int(classes[r])), find(int(classes[o]))
-                if x == y:
-                    continue
+            if len(others) > 2:
+                others = nearest_first(r, others)
+            while len(others):
+                o, others = int(others[0]), others[1:]
                 longer = max(int(sizes[r]), int(sizes[o]))
                 edits = edit_distance(words(r), words(o), int((1 - similarity) * longer + 1e-9))
                 if edits is not None:
-                    root[x] = y
                     found[0].append(min(keys[r], keys[o]))
                     found[1].append(max(keys[r], keys[o]))
                     found[2].append(1 - edits / longer)
+                    classes[classes == classes[o]] = classes[r]
+                    others = others[classes[others] != classes[r]]
         types = (pa.binary(), pa.binary(), pa.float64())
         return pa.table([pa.array(f, t) for f, t in zip(found, types)], ["a", "b", "similarity"])
 
