@@ -1,7 +1,7 @@
 """Language-model scoring by online logistic context mixing.
 
 A text is coded byte by byte and each byte bit by bit: its words with one space between them, and
-an end. Each predictor hashes the bytes before (one to five of them) and predicts the next bit
+an end. Each predictor hashes the bytes before (one, three or five of them) and predicts the next bit
 from how often, in the training texts, the bytes that begin with the bits so far went on with
 either. A mixer adds the predictions up in the logistic domain with weights chosen by a gate (how
 long a context is known, and how well), learns these weights online from the training texts as it
@@ -34,9 +34,9 @@ from textorbit.llm.common import table, without
 from textorbit.session import stage
 
 # Predictors by the number of bytes they see, from weak to strong.
-PREDICTORS = (1, 2, 3, 4, 5)
+PREDICTORS = (1, 3, 5)
 # Texts of one block, in bytes. Larger blocks share more of what they ask for.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 # Positions that are coded between two steps of the mixer's learning, at the start and later.
 FIRST_STEP, STEP = 1 << 12, 1 << 18
 DELTA = 0.4
@@ -314,7 +314,11 @@ class Answers:
         self.grams = np.append(grams, NOTHING)
         self.rows, self.known = [], []
         for order in PREDICTORS:
-            at = np.searchsorted(own[order], context_keys(grams, order))
+            keys = context_keys(grams, order)
+            # Sorted look-ups pass through the table once.
+            by_key = np.argsort(keys)
+            at = np.empty(len(keys), np.int64)
+            at[by_key] = np.searchsorted(own[order], keys[by_key])
             self.rows.append(np.append(np.ascontiguousarray(told[order][:, :8]).view(np.int64).ravel()[at], 0))
             self.known.append(np.append(told[order][:, 8][at], np.int8(0)))
 
