@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -19,6 +20,8 @@ def spark_session(app: str = "textorbit-tests") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        # One machine: its own folder is seen by all tasks.
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="textorbit-tests-"))
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
