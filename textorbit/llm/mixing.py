@@ -148,12 +148,16 @@ def take(mixed: DataFrame) -> DataFrame:
     a row's ``n_chars`` is that of its new text. Documents of which nothing is taken are gone.
     """
     columns = without(mixed, ["size", "source_size", "target", "taken", "passes", "picked"])
-    whole = mixed.filter("passes > 0 AND size > 0").withColumn("__pass", F.explode(F.sequence(F.lit(1), F.col("passes")))).select(*columns)
-    some = mixed.filter(F.size("picked") > 0).select(*columns, "picked")
+    # One row per pass, numbered from 1, and one, numbered 0, for the picked words.
+    uses = F.sequence(F.when(F.size("picked") > 0, F.lit(0)).otherwise(F.lit(1)), F.col("passes"))
+    taken = mixed.filter("taken > 0").select(*columns, "picked", F.explode(uses).alias("__pass"))
 
-    def cut(texts, picks):
+    def cut(texts, picks, numbers):
         out = []
-        for text, ranges in zip(texts, picks):
+        for text, ranges, number in zip(texts, picks, numbers):
+            if number:
+                out.append(text)
+                continue
             spans = [m.span() for m in _WORD.finditer(text)]
             runs: list[list[int]] = []
             for r in ranges:
@@ -164,10 +168,11 @@ def take(mixed: DataFrame) -> DataFrame:
             out.append("\n".join(text[spans[a][0] : spans[b - 1][1]] for a, b in runs))
         return [out]
 
-    excerpts = append_columns(some, ["text", "picked"], "text string", cut)
+    rows = append_columns(taken, ["text", "picked", "__pass"], "text string", cut)
     if "n_chars" in columns:
-        excerpts = excerpts.withColumn("n_chars", F.length("text").cast(mixed.schema["n_chars"].dataType))
-    return whole.unionByName(excerpts.select(*columns))
+        own = F.length("text").cast(mixed.schema["n_chars"].dataType)
+        rows = rows.withColumn("n_chars", F.when(F.col("__pass") == 0, own).otherwise(F.col("n_chars")))
+    return rows.select(*columns)
 
 
 def plan_mix(rows: DataFrame, weights, max_repeat, block_words, shard_words, seed) -> tuple[DataFrame, DataFrame]:
