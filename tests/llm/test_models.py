@@ -114,6 +114,30 @@ def test_large_group_of_near_copies(spark):
     assert kept == [0, *range(100, 140)]
 
 
+def test_scattered_edits_up_to_the_threshold_are_found(spark):
+    """Pairs at edit similarity 0.80 to 0.90, edits anywhere; short texts with every place of one edit."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(8))
+    pairs = []
+    for n, share in itertools.product((10, 14, 15, 20, 40, 41, 100, 400), (0.2, 0.15, 0.1)):
+        for _ in range(8):
+            a = [word() for _ in range(n)]
+            b = list(a)
+            for at in rng.sample(range(n), int(share * n)):
+                b[at] = word()
+            pairs.append((a, b))
+    for n in range(5, 10):
+        for at in range(n):
+            a = [word() for _ in range(n)]
+            pairs += [(a, a[:at] + [word()] + a[at + 1 :])]
+            a = [word() for _ in range(n)]
+            pairs += [(a, a[:at] + a[at + 1 :])]
+    rows = [(2 * i + j, " ".join(text)) for i, pair in enumerate(pairs) for j, text in enumerate(pair)]
+    got = {r.doc_id: r.class_id for r in omh.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    missed = [len(pairs[d // 2][0]) for d in range(1, len(rows), 2) if got[d] != d - 1]
+    assert not missed and len(set(got.values())) == len(pairs)
+
+
 def test_near_duplicates_bear_odd_rows(spark):
     rows = omh.near_duplicates(odd_documents(spark, "CLASS_ID,other"))
     got = rows.toPandas()

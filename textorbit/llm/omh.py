@@ -28,11 +28,15 @@ from textorbit.llm.common import slices, table, text_key, without
 from textorbit.llm.decontaminate import words_of
 from textorbit.session import stage
 
-K = 5
-SKETCHES = 24
-# At five-word similarity 0.8 a sketch of two agrees with probability 0.64, and none of 24 once in
-# 10^10 pairs; at 0.46, as a fifth of the words is edited here and there, once in 200 pairs.
+K = 3
+# With a fifth of the words replaced at random, three-word similarity is 0.34, a sketch of two agrees
+# with probability 0.12, and none of 64 once in 3,000 pairs; with every fifth word replaced, at 0.25, once in 60.
+SKETCHES = 64
 KEPT = 2
+# Texts of up to SHORT words have so many sketches of word pairs besides, and those of up to ONE_EDIT
+# words, which one edit at most keeps similar, are also found by what is left without any one word.
+SHORT, SHORT_SKETCHES, SHORT_K = 40, 48, 2
+ONE_EDIT = 9
 # Sketches whose buckets are compared first, with their least text; the rest compares what these left apart.
 FIRST = 4
 SIMILARITY = 0.8
@@ -111,6 +115,16 @@ def sketch(words: np.ndarray, salt: np.ndarray, k: int = K, kept: int = KEPT) ->
     return out
 
 
+def short_sketches(words: np.ndarray, salt: np.ndarray) -> np.ndarray:
+    """Sketches of word pairs, and hashes of a very short text as it is and without each word."""
+    found = sketch(words, salt, SHORT_K)
+    if len(words) > ONE_EDIT:
+        return found
+    left = [words, *(np.delete(words, i) for i in range(len(words)))]
+    # Without its only word nothing is left, which is no sign of likeness.
+    return np.concatenate([found, np.unique(np.concatenate([kmers(x, len(x)) for x in left if len(x)]))])
+
+
 def bag(words: np.ndarray, bins: int = BINS) -> np.ndarray:
     """Number of words in each bin of their hashes."""
     counts = np.bincount((words % np.uint64(bins)).astype(np.int64), minlength=bins)
@@ -205,11 +219,15 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
 
 
 def text_sketches(docs: DataFrame, sketches: int, kept: int, k: int) -> DataFrame:
-    """One row per different text with words: key, number of words, sketches and bag (packed)."""
+    """One row per different text with words: key, number of words, sketches and bag (packed).
+
+    The first ``sketches`` of each text stand in the order of their salts.
+    """
     source = docs.filter(F.col("text").isNotNull()).select(text_key(F.col("text")).alias("key"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, salt = WordHashes(), seeds(sketches)
+        hashes, salt = WordHashes(), seeds(sketches + SHORT_SKETCHES)
+        salt, short_salt = salt[:sketches], salt[sketches:]
         for batch in batches:
             for part in slices(batch):
                 keys, counts, packed, bags = [], [], [], []
@@ -219,7 +237,8 @@ def text_sketches(docs: DataFrame, sketches: int, kept: int, k: int) -> DataFram
                         keys.append(key)
                         counts.append(len(words))
                         hashed = hashes(words)
-                        packed.append(sketch(hashed, salt, k, kept).tobytes())
+                        own = sketch(hashed, salt, k, kept).tobytes()
+                        packed.append(own + short_sketches(hashed, short_salt).tobytes() if len(words) <= SHORT else own)
                         bags.append(bag(hashed).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys, pa.binary()), pa.array(counts, pa.int32()), pa.array(packed, pa.binary()), pa.array(bags, pa.binary())],
@@ -229,16 +248,17 @@ def text_sketches(docs: DataFrame, sketches: int, kept: int, k: int) -> DataFram
     return source.mapInArrow(run, "key binary, n int, sketches binary, bag binary").dropDuplicates(["key"])
 
 
-def _unpacked(texts: DataFrame, sketches: int, first: int) -> DataFrame:
+def _unpacked(texts: DataFrame, first: int) -> DataFrame:
     """One row per text and sketch: bucket, key, and whether the sketch is one of the ``first``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.num_rows
-            values = b"".join(batch.column(1).to_pylist())
-            buckets = np.frombuffer(values, np.int64)
-            where = pa.array(np.repeat(np.arange(rows), sketches))
-            early = np.tile(np.arange(sketches) < first, rows)
+            values = batch.column(1).to_pylist()
+            sizes = np.array([len(v) // 8 for v in values], np.int64)
+            buckets = np.frombuffer(b"".join(values), np.int64)
+            where = pa.array(np.repeat(np.arange(rows), sizes))
+            early = np.arange(len(buckets)) - np.repeat(np.cumsum(sizes) - sizes, sizes) < first
             yield pa.RecordBatch.from_arrays(
                 [pa.array(buckets), batch.column(0).take(where), pa.array(early)], ["bucket", "key", "early"]
             )
@@ -304,16 +324,17 @@ def _bags(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 def _block_links(similarity: float, sketches: int):
     """Links between a bucket's texts of different classes; two classes are linked once.
 
-    A pair that agrees in several sketches is compared in the bucket of the first only.
+    A pair that agrees in several sketches is compared in the bucket of the first only;
+    in those of short texts, pairs that agree in none of the others are compared.
     """
 
     def run(group: pa.Table) -> pa.Table:
         keys, texts = group.column("key").to_pylist(), group.column("text")
         classes = np.unique(np.array([c.hex() for c in group.column("class").to_pylist()]), return_inverse=True)[1]
         sizes, part, bags = group.column("n").to_numpy(), group.column("part").to_numpy(), _bags(group.column("bag"))
-        matrix = np.frombuffer(b"".join(group.column("sketches").to_pylist()), np.int64).reshape(-1, sketches)
+        matrix = np.frombuffer(b"".join(v[: 8 * sketches] for v in group.column("sketches").to_pylist()), np.int64).reshape(-1, sketches)
         bucket, first, second = (group.column(c)[0].as_py() for c in ("bucket", "i", "j"))
-        place = int(np.flatnonzero(matrix[0] == bucket)[0])
+        place = int(np.append(np.flatnonzero(matrix[0] == bucket), sketches)[0])
         hashes, seen = WordHashes(), {}
 
         def words(at: int) -> np.ndarray:
@@ -366,7 +387,7 @@ def near_links(
 ) -> DataFrame:
     """Verified links between different texts, enough to join each class: a, b (keys of texts), similarity."""
     texts = stage(text_sketches(docs, sketches, kept, k), "sketches")
-    members = _unpacked(texts, sketches, first)
+    members = _unpacked(texts, first)
     buckets = members.groupBy("bucket").agg(F.min("key").alias("least"), F.count("*").alias("size")).filter("size > 1")
     members = stage(members.join(buckets, "bucket"), "shared-buckets")
     originals = docs.filter(F.col("text").isNotNull()).select(text_key(F.col("text")).alias("key"), "text")
@@ -430,7 +451,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, **settings)
     """Append ``class_id`` (least doc_id of the class) and ``class_size`` to every row.
 
     Equal texts are one class, the empty text too; a null text is no copy of anything, so its
-    row is a class of its own. Texts of fewer than five words are one k-mer. A text without
+    row is a class of its own. Texts of fewer words than a k-mer are one k-mer. A text without
     words has copies only. Repeated rows are copies. Texts are sketched and aligned whole; an
     empty table stays empty. Other columns are carried along, and columns named like a result are replaced by it.
     """
