@@ -109,6 +109,23 @@ def test_boilerplate_is_left_out():
     assert text == "Café & tea\n\nFirst bold text, more <b>.\n\nSecond part\n\nquoted\n\none\n\ntwo\n\ncell"
 
 
+def test_wrappers_named_after_other_matter_are_read():
+    side, long = "<div class='sidebar'><p>no, other stories</p></div>", "the text of it. " * 30
+    inner = f"<h1>Head</h1><p>{long}</p><div class='comments'><p>no, a reader</p></div>"
+    want = "Head\n\n" + long.strip()
+    for page in (
+        f"<body class='right-sidebar'><article>{inner}</article>{side}</body>",
+        f"<html class='no-comments'><body><article>{inner}</article>{side}</body></html>",
+        f"<body><div class='content-with-sidebar'><div class='c'>{inner}</div>{side}</div></body>",
+        f"<body><main class='no-comments'>{inner}{side}</main></body>",
+        f"<body><article class='post related-1 share'>{inner}</article>{side}</body>",
+    ):
+        assert hostpaths.Page(page).text([])[0] == want, page
+    # Long comments on a short article are no wrapper.
+    short = f"<body><div class='c'><h1>Head</h1><p>short</p></div><div class='comments'><p>{long}</p></div></body>"
+    assert hostpaths.Page(short).text([])[0] == "Head\n\nshort"
+
+
 def test_hosts_agree_on_a_path(spark):
     def page(long_aside):
         side = "words of another story. " * long_aside

@@ -40,6 +40,8 @@ SKIPPED = frozenset(
 )
 RAW = frozenset("script style textarea title noscript iframe".split())
 CONTAINERS = frozenset("article main section div td body center".split())
+# Containers that words of class, id and role can mark; html, body, main and article are never marked.
+MARKABLE = CONTAINERS - frozenset(["article", "main", "body"])
 CLOSED_BY = {
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "td", "th"]),
     "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]),
@@ -68,7 +70,11 @@ class Page:
         self.names: list[str] = [""]
         self.paths: list[str] = [""]
         self.blocks: list[tuple[int, str, int]] = []
+        self.marked: set[int] = set()  # containers whose class, id or role says other matter
+        self.heads: list[int] = []  # containers that hold an h1
         self._read(text)
+        if self.marked:
+            self._drop_marked()
 
     def _read(self, text: str) -> None:
         stack: list[tuple[str, int, bool]] = [("", 0, False)]  # tag, container, other matter
@@ -81,6 +87,8 @@ class Page:
                 block = " ".join(htmllib.unescape("".join(words)).split())
                 if block:
                     self.blocks.append((stack[-1][1], block, min(linked, len(block))))
+                    if stack[-1][0] == "h1":
+                        self.heads.append(stack[-1][1])
                 words.clear()
             linked = 0
 
@@ -124,7 +132,9 @@ class Page:
                 at = end.end() if end else len(text)
                 continue
             attrs = found[3]
-            other = stack[-1][2] or tag in SKIPPED or (bool(attrs) and self._other(attrs))
+            marked = bool(attrs) and tag not in SKIPPED and self._other(attrs)
+            hides = tag in SKIPPED or (marked and tag not in CONTAINERS and tag != "html")
+            other = stack[-1][2] or hides
             if tag in INLINE:
                 # Inline tags matter only where they hide what is in them.
                 if other and not stack[-1][2]:
@@ -133,10 +143,10 @@ class Page:
             flush()
             if stack[-1][0] == "p" and tag not in ("p",) or tag == "p":
                 self._close(stack, frozenset(["p"]), CONTAINERS)
-                other = stack[-1][2] or tag in SKIPPED or (bool(attrs) and self._other(attrs))
+                other = stack[-1][2] or hides
             elif tag in CLOSED_BY:
                 self._close(stack, CLOSED_BY[tag], frozenset(["ul", "ol", "dl", "table"]))
-                other = stack[-1][2] or tag in SKIPPED or (bool(attrs) and self._other(attrs))
+                other = stack[-1][2] or hides
             if found[3].endswith("/") and tag not in CONTAINERS and tag != "p":
                 continue
             holder = stack[-1][1]
@@ -146,9 +156,31 @@ class Page:
                 self.names.append(name)
                 self.paths.append(f"{self.paths[holder]}>{name}" if self.paths[holder] else name)
                 holder = len(self.parents) - 1
+                if marked and tag in MARKABLE:
+                    self.marked.add(holder)
             stack.append((tag, holder, other))
         flush()
 
+    def _drop_marked(self) -> None:
+        """Drop what stands in marked containers, but not in one that has most of the page's running
+        text and all its h1: that is a wrapper, named after a part of it or of the layout."""
+        under = self._running(1.0)
+        out = [False] * len(self.parents)
+        for node in range(1, len(out)):
+            out[node] = out[self.parents[node]]
+            if node in self.marked and not out[node]:
+                out[node] = not (2 * under[node] > under[0] and all(node in self._above(h) for h in self.heads))
+        self.blocks = [b for b in self.blocks if not out[b[0]]]
+        self.heads = [h for h in self.heads if not out[h]]
+
+    def _above(self, node: int) -> list[int]:
+        """A container and those around it, from within."""
+        found = []
+        while node > 0:
+            found.append(node)
+            node = self.parents[node]
+        return found
+
     @staticmethod
     def _close(stack: list, tags: frozenset, bounds: frozenset) -> None:
         """Close an open element of ``tags`` with all that is in it, but not beyond ``bounds``."""
@@ -180,12 +212,16 @@ class Page:
 
     def scores(self) -> list[float]:
         """Text that stands in a container, links not counted, and half of its children's score."""
+        return self._running(0.5)
+
+    def _running(self, part: float) -> list[float]:
+        """Text that stands in a container, links not counted, and ``part`` of its children's figure."""
         out = [0.0] * len(self.parents)
         for holder, block, linked in self.blocks:
             out[holder] += max(0, len(block) - 2 * linked)
         for node in range(len(out) - 1, 0, -1):
             if self.parents[node] >= 0:
-                out[self.parents[node]] += 0.5 * out[node]
+                out[self.parents[node]] += part * out[node]
         return out
 
     def votes(self) -> dict[str, float]:
