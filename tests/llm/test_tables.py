@@ -109,6 +109,21 @@ def test_boilerplate_is_left_out():
     assert text == "Café & tea\n\nFirst bold text, more <b>.\n\nSecond part\n\nquoted\n\none\n\ntwo\n\ncell"
 
 
+def test_the_whole_article_around_the_winner_is_read():
+    lead, long = "the lead of it. " * 20, "the text of it. " * 60
+    pages = {
+        "nested": (f"<body><div class='x'><article><h1>Head</h1><div class='entry-content'><p>{long}</p></div></article></div></body>", ["Head", long]),
+        "siblings": (f"<article><div class='lead'><p>{lead}</p></div><div class='text'><p>{long}</p></div></article><div><p>no</p></div>", [lead, long]),
+        "main": (f"<main><h1>Head</h1><section class='a'><p>{lead}</p></section><section class='b'><p>{long}</p></section></main>", ["Head", lead, long]),
+        "no article": (f"<body><div id='p'><h1>Head</h1><div class='entry'><p>{long}</p></div></div><div class='s'><p>no</p></div></body>", ["Head", long]),
+    }
+    for name, (page, want) in pages.items():
+        read = hostpaths.Page(page)
+        best = max(read.votes().items(), key=lambda v: v[1])[0]
+        for paths in ([best], []):
+            assert read.text(paths)[0] == "\n\n".join(x.strip() for x in want), name
+
+
 def test_wrappers_named_after_other_matter_are_read():
     side, long = "<div class='sidebar'><p>no, other stories</p></div>", "the text of it. " * 30
     inner = f"<h1>Head</h1><p>{long}</p><div class='comments'><p>no, a reader</p></div>"

@@ -3,7 +3,7 @@
 Pages of a host share a template. Each page's containers are scored by the running text that
 stands in them; every container votes, with its share of its page's score, for its tag-class
 path, where numbers are generalised. Spark adds the votes up per host and path, and each page
-is read again with the paths that its host has chosen. A page that has none of them is read
+is read again with the paths that its host has chosen, widened to the article around them. A page that has none of them is read
 with its own best container. Votes are combined before their shuffle, so a host with a third of
 all pages sends few rows; chosen paths meet pages by host and a salt.
 """
@@ -69,6 +69,7 @@ class Page:
         self.parents: list[int] = [-1]
         self.names: list[str] = [""]
         self.paths: list[str] = [""]
+        self.tags: list[str] = [""]
         self.blocks: list[tuple[int, str, int]] = []
         self.marked: set[int] = set()  # containers whose class, id or role says other matter
         self.heads: list[int] = []  # containers that hold an h1
@@ -153,6 +154,7 @@ class Page:
             if tag in CONTAINERS and not other:
                 name = self._name(tag, attrs)
                 self.parents.append(holder)
+                self.tags.append(tag)
                 self.names.append(name)
                 self.paths.append(f"{self.paths[holder]}>{name}" if self.paths[holder] else name)
                 holder = len(self.parents) - 1
@@ -181,6 +183,16 @@ class Page:
             node = self.parents[node]
         return found
 
+    def _whole(self, node: int) -> int:
+        """The container that holds the whole article of which ``node`` has most text: the outermost
+        article around it, else main, else the next one that has an h1 of its own; body is too wide."""
+        above = self._above(node)
+        for tag in ("article", "main"):
+            around = [a for a in above if self.tags[a] == tag]
+            if around:
+                return around[-1]
+        return next((a for a in above if a in self.heads and self.tags[a] != "body"), node)
+
     @staticmethod
     def _close(stack: list, tags: frozenset, bounds: frozenset) -> None:
         """Close an open element of ``tags`` with all that is in it, but not beyond ``bounds``."""
@@ -234,17 +246,20 @@ class Page:
         return {path: score / total for path, score in out.items()}
 
     def text(self, paths: list[str]) -> tuple[str, str | None]:
-        """Text under the first of ``paths`` that the page has, else under its best container."""
+        """Text of the article around the first of ``paths`` that the page has, else around its best
+        container; and the path of what was read."""
         have = {}
         for node, path in enumerate(self.paths):
             have.setdefault(path, []).append(node)
         for path in paths:
             if path in have:
-                found = self._under(set(have[path]))
+                whole = [self._whole(node) for node in have[path]]
+                found = self._under(set(whole))
                 if found:
-                    return found, path
+                    return found, self.paths[whole[0]]
         scores = self.scores()
         best = max(range(len(scores)), key=lambda i: (scores[i], -i))
+        best = self._whole(best)
         return self._under({best}), self.paths[best] or None
 
     def _under(self, nodes: set[int]) -> str:
