@@ -41,6 +41,22 @@ def test_bands_reject_repetition_and_noise_and_keep_text():
     assert bands.judge(b"ab " * 20, compress)[2] is None  # too short to judge
 
 
+def test_random_strings_are_incompressible_wherever_clean_text_compresses_better():
+    """Base64 in every class; random letters and hex where their ratios leave those of clean text."""
+    compress = zstandard.ZstdCompressor(level=3).compress
+    rng = random.Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    kinds = {letters + letters.upper() + "0123456789+/": 256, letters: 2048, "0123456789abcdef": 16384}
+    for alphabet, least in kinds.items():
+        for n in (256, 300, 383, 447, 511, 512, 1023, 1024, 2047, 2048, 4095, 4096, 8192, 16384, 20000, 100_000):
+            data = " ".join("".join(rng.choice(alphabet) for _ in range(rng.randint(3, 9))) for _ in range(n // 3))[:n].encode()
+            assert n < least or bands.judge(data, compress)[2] == "incompressible", (len(alphabet), n)
+    # Characters of three bytes have limits of their own.
+    han = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(1000)).encode()
+    assert bands.mostly_multi(han) and not bands.mostly_multi("déjà vu à la fête".encode())
+    assert bands.judge(han, compress)[2] is None and bands.judge(han, compress, multi_limits=bands.LIMITS)[2] == "incompressible"
+
+
 def test_bands_over_a_table(spark):
     rows = bands.compression_bands(documents(spark)).toPandas()
     assert len(rows) == documents(spark).count()

@@ -16,8 +16,22 @@ from pyspark.sql import DataFrame, SparkSession
 from textorbit.llm.common import append_columns, table
 
 # Raw bytes from which a limit holds, lowest and highest ratio. Shorter texts are not judged by
-# ratio: the coder's frame and its start-up weigh too much.
+# ratio: the coder's frame and its start-up weigh too much. The highest ratios stand just above those
+# of clean text: of sf0.1, and of licences and dense Markdown, which compress less.
 LIMITS = (
+    (256, 0.30, 0.87),
+    (320, 0.30, 0.845),
+    (384, 0.30, 0.82),
+    (448, 0.30, 0.80),
+    (512, 0.30, 0.75),
+    (1024, 0.28, 0.68),
+    (2048, 0.26, 0.59),
+    (4096, 0.24, 0.57),
+    (8192, 0.22, 0.545),
+    (16384, 0.22, 0.49),
+)
+# The same for texts that are mostly bytes of multi-byte characters, whose coding varies more.
+MULTI_LIMITS = (
     (256, 0.30, 0.95),
     (512, 0.30, 0.88),
     (1024, 0.28, 0.80),
@@ -25,6 +39,8 @@ LIMITS = (
     (4096, 0.24, 0.72),
     (8192, 0.22, 0.70),
 )
+MULTI_SHARE = 0.5
+_ASCII = bytes(range(128))
 CHUNK_BYTES = 4096
 # A rejected document has at least this share of its bytes in chunks outside the limits.
 BAD_SHARE = 0.25
@@ -73,6 +89,12 @@ def duplicate_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
+def mostly_multi(data: bytes) -> bool:
+    """Whether most bytes besides white space belong to multi-byte characters."""
+    multi, spaces = len(data.translate(None, _ASCII)), sum(map(data.count, SPACES.encode()))
+    return multi > MULTI_SHARE * (len(data) - spaces)
+
+
 def limits_for(n_bytes: int, limits=LIMITS) -> tuple[float, float] | None:
     found = None
     for least, low, high in limits:
@@ -81,7 +103,7 @@ def limits_for(n_bytes: int, limits=LIMITS) -> tuple[float, float] | None:
     return found
 
 
-def judge(data: bytes, compress, limits=LIMITS, chunk_bytes: int = CHUNK_BYTES, bad_share: float = BAD_SHARE):
+def judge(data: bytes, compress, limits=LIMITS, multi_limits=MULTI_LIMITS, chunk_bytes: int = CHUNK_BYTES, bad_share: float = BAD_SHARE):
     """Ratio of a text, share of its bytes in bad chunks, and why it is rejected (or None)."""
     if not data:
         return None, 0.0, None
@@ -89,10 +111,10 @@ def judge(data: bytes, compress, limits=LIMITS, chunk_bytes: int = CHUNK_BYTES,
     if len(data) > chunk_bytes:
         for at in range(0, len(data), chunk_bytes):
             part = data[at : at + chunk_bytes]
-            band = limits_for(len(part), limits)
+            band = limits_for(len(part), multi_limits if mostly_multi(part) else limits)
             if band and not band[0] <= len(compress(part)) / len(part) <= band[1]:
                 bad += len(part)
-    band, share = limits_for(len(data), limits), bad / len(data)
+    band, share = limits_for(len(data), multi_limits if mostly_multi(data) else limits), bad / len(data)
     if band and ratio < band[0]:
         return ratio, share, "repetitive"
     if band and ratio > band[1]:
@@ -103,6 +125,7 @@ def judge(data: bytes, compress, limits=LIMITS, chunk_bytes: int = CHUNK_BYTES,
 def compression_bands(
     docs: DataFrame,
     limits=LIMITS,
+    multi_limits=MULTI_LIMITS,
     chunk_bytes: int = CHUNK_BYTES,
     bad_share: float = BAD_SHARE,
     min_words: int = MIN_WORDS,
@@ -127,7 +150,7 @@ def compression_bands(
             n = len(words)
             repeat = repeated_words(words)
             base_failed = n < min_words or 100 * repeat > max_repeat_percent * n
-            ratio, share, reason = judge(data, compress, limits, chunk_bytes, bad_share)
+            ratio, share, reason = judge(data, compress, limits, multi_limits, chunk_bytes, bad_share)
             chars = len(text) - sum(map(text.count, SPACES))
             symbols = sum(map(text.count, SYMBOLS))
             kept = not base_failed and reason is None
