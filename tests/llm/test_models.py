@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 from helpers import LONG, documents, no_documents, odd_documents
 
 from textorbit.llm import mixer, omh, rff
@@ -211,6 +212,30 @@ def plain_base(rows):
     ]
 
 
+def test_mixer_learns_in_small_steps(monkeypatch):
+    """Held-out bits per byte are no more than with steps of 2^12 or 2^18 positions, or three predictors."""
+    rows = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["doc_id", "text"]).to_pylist()[:600]
+    ids, texts = [r["doc_id"] for r in rows], [mixer.coded_text(r["text"]) for r in rows]
+    held = [i % 5 == 1 for i in range(len(rows))]
+
+    def held_bits():
+        counts = mixer.block_counts(texts, held)
+        own = {k: v[0] for k, v in counts.items()}
+        found = mixer.Answers(own[mixer.GRAMS], own, {o: mixer.bit_predictions(*counts[o]) for o in mixer.PREDICTORS})
+        bits, sizes = mixer.score_block(ids, texts, held, found)
+        return bits[held].sum() / sizes[held].sum()
+
+    assert mixer.PREDICTORS == (1, 2, 3, 4, 5) and mixer.STEP <= 1 << 14
+    got = held_bits()
+    monkeypatch.setattr(mixer, "STEP", 1 << 12)
+    assert got < 1.005 * held_bits()
+    monkeypatch.setattr(mixer, "STEP", 1 << 18)
+    assert got < held_bits()
+    monkeypatch.undo()
+    monkeypatch.setattr(mixer, "PREDICTORS", (1, 3, 5))
+    assert got < held_bits()
+
+
 def test_scores_over_a_table(spark):
     docs = documents(spark)
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]

@@ -1,7 +1,7 @@
 """Language-model scoring by online logistic context mixing.
 
 A text is coded byte by byte and each byte bit by bit: its words with one space between them, and
-an end. Each predictor hashes the bytes before (one, three or five of them) and predicts the next bit
+an end. Each predictor hashes the bytes before (one to five of them) and predicts the next bit
 from how often, in the training texts, the bytes that begin with the bits so far went on with
 either. A mixer adds the predictions up in the logistic domain with weights chosen by a gate (how
 long a context is known, and how well), learns these weights online from the training texts as it
@@ -34,11 +34,13 @@ from textorbit.llm.common import table, without
 from textorbit.session import stage
 
 # Predictors by the number of bytes they see, from weak to strong.
-PREDICTORS = (1, 3, 5)
+PREDICTORS = (1, 2, 3, 4, 5)
 # Texts of one block, in bytes. Larger blocks share more of what they ask for.
 BLOCK_BYTES = 16 << 20
 # Positions that are coded between two steps of the mixer's learning, at the start and later.
-FIRST_STEP, STEP = 1 << 12, 1 << 18
+FIRST_STEP, STEP = 1 << 10, 1 << 13
+# Positions whose runs of bytes are looked up together.
+LOOK_UP = 1 << 18
 DELTA = 0.4
 UNIT = 10.0  # predictions travel as hundred-odd steps of this many per logistic unit
 RATE = 0.02
@@ -100,16 +102,13 @@ def context_keys(grams: np.ndarray, order: int) -> np.ndarray:
     return (hashed & ~_LOW) | (grams & _LOW)
 
 
-def runs(texts: list[bytes], size: int, first: int | None = None) -> Iterator[tuple[int, int]]:
-    """Cut documents into runs of about ``size`` bytes, whole documents each.
-
-    With ``first``, runs begin with that size and double until they reach ``size``.
-    """
-    start, held, now = 0, 0, first or size
+def runs(texts: list[bytes], size: int) -> Iterator[tuple[int, int]]:
+    """Cut documents into runs of about ``size`` bytes, whole documents each."""
+    start, held = 0, 0
     for at, text in enumerate(texts):
-        if held >= now:
+        if held >= size:
             yield start, at
-            start, held, now = at, 0, min(2 * now, size)
+            start, held = at, 0
         held += len(text)
     if start < len(texts):
         yield start, len(texts)
@@ -175,7 +174,7 @@ def block_counts(texts: list[bytes], held_out: list[bool], tokens=None) -> dict[
     found = Merged()
     for held in (False, True):
         own = [t for t, h in zip(texts, held_out) if h == held]
-        for start, end in runs(own, STEP):
+        for start, end in runs(own, LOOK_UP):
             grams, counts = _distinct(Coded(own[start:end]).grams())
             found.add(grams, np.zeros_like(counts) if held else counts)
     grams, counts = _added(*found.merge())
@@ -340,19 +339,28 @@ def score_block(ids: list, texts: list[bytes], held_out: list[bool], found: Answ
     order = np.array(sorted(range(len(texts)), key=lambda i: (held_out[i], ids[i] is None, ids[i], texts[i])), np.int64)
     ordered = [texts[i] for i in order]
     n_train = sum(not h for h in held_out)
-    gates = mixer.gate(found.known)
+    gates, step = mixer.gate(found.known), FIRST_STEP
     for low, high in ((0, n_train), (n_train, len(order))):
         part = ordered[low:high]
-        for start, end in runs(part, STEP, None if low else FIRST_STEP):
+        for start, end in runs(part, LOOK_UP):
             coded = Coded(part[start:end])
             grams, costs = coded.grams(), []
-            # A long text takes several steps.
-            for at in range(0, len(grams), STEP):
-                where, which = found.find(grams[at : at + STEP])
-                times = np.bincount(which, minlength=len(where))
-                times[found.grams[where] == NOTHING] = 0
-                own = mixer.code([r[where] for r in found.rows], gates[where], times, learn=low == 0)
-                costs.append(own[which])
+            # A long text takes several look-ups; what is looked up together is learned in small steps.
+            for at in range(0, len(grams), LOOK_UP):
+                where, which = found.find(grams[at : at + LOOK_UP])
+                rows, own_gates, padding = [r[where] for r in found.rows], gates[where], found.grams[where] == NOTHING
+                done = 0
+                while done < len(which):
+                    some = which[done : done + (step if low == 0 else LOOK_UP)]
+                    times = np.bincount(some, minlength=len(where))
+                    here = np.flatnonzero(times)
+                    place = np.empty(len(where), np.int64)
+                    place[here] = np.arange(len(here))
+                    times = np.where(padding[here], 0, times[here])
+                    own = mixer.code([r[here] for r in rows], own_gates[here], times, learn=low == 0)
+                    costs.append(own[place[some]])
+                    done += len(some)
+                    step = min(2 * step, STEP)
             at = order[low + start : low + end]
             bits[at] = np.add.reduceat(np.concatenate(costs), coded.spans.ravel())[::2]
             sizes[at] = coded.sizes
