@@ -232,6 +232,13 @@ def test_mix_comes_near_its_targets_and_repeats(spark):
     assert (written.n_chars == written.text.map(len)).all() and list(written.columns) == documents(spark).columns
 
 
+def test_tiny_sources_come_near_their_targets(spark):
+    rows = [(100 * i + j, "w " * (5 if n >= 5 else n), f"s{i:03}") for i, n in enumerate((10, 20, 5, 90, 3, 400, 40, 1, 70) * 5) for j in range(max(1, n // 5))]
+    got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string")).toPandas()
+    by = got.groupby("source").agg(target=("target", "first"), size=("source_size", "first"), taken=("taken", "sum"))
+    assert len(by) == 45 and ((by.taken - by.target).abs() <= 1.01 + by["size"] / 100).all()
+
+
 def test_mix_bears_odd_rows(spark):
     rows = mixing.mix_sources(odd_documents(spark, "SIZE,other")).toPandas()
     assert len(rows) == 11 and "other" in rows and (rows.taken <= 3 * rows["size"]).all()

@@ -1,10 +1,10 @@
 """Mixing sources to target weights by Sainte-Lague apportionment.
 
-The mix is dealt out in blocks of equal numbers of words. Blocks are seats: sources get them by
-the highest quotients of their targets, and within a source its shards get theirs by the highest
-quotients of their sizes. A shard's documents lie end to end in seeded order, cut into equal
-blocks; a quota of more than all blocks takes whole passes first, and the rest of the quota goes
-to the blocks with the smallest seeded hashes. Shards hold a bounded number of words, so that no
+Words are seats: sources get them by the highest quotients of their targets, and within a source
+its shards get theirs by the highest quotients of their sizes. A shard's documents lie end to end
+in seeded order, cut into equal blocks, which are smaller in small shards, down to one word; a
+quota of more than all words takes whole passes first, and the rest of the quota goes, in whole
+blocks, to those with the smallest seeded hashes. Shards hold a bounded number of words, so that no
 window or sort grows with a source, however much of the data one source has.
 """
 
@@ -21,6 +21,8 @@ from textorbit.llm.common import append_columns, n_words, table, without
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEAT = 3
 BLOCK_WORDS = 64
+# A shard has so many blocks at least, or one of each word.
+LEAST_BLOCKS = 64
 SHARD_WORDS = 200_000
 SEED = 20_240_229
 
@@ -181,7 +183,7 @@ def plan_mix(rows: DataFrame, weights, max_repeat, block_words, shard_words, see
     sources = source_targets(sizes, weights, max_repeat)
     sources = sources.withColumns({
         "n_shards": F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1)).cast("int"),
-        "seats": F.round(F.sum("source_size").over(Window.partitionBy()) / block_words).cast("long"),
+        "seats": F.sum("source_size").over(Window.partitionBy()),
     })
     sources = sainte_lague(sources, [], ["source"], "target", "seats").withColumnRenamed("quota", "source_quota")
     n = sources.select(F.col("source").alias("__n_source"), "n_shards")
@@ -189,11 +191,14 @@ def plan_mix(rows: DataFrame, weights, max_repeat, block_words, shard_words, see
     shards = dealt.groupBy("__source", F.pmod("__deal", "n_shards").cast("int").alias("shard")).agg(F.sum("size").alias("shard_size"))
     shards = shards.join(sources, F.col("__source").eqNullSafe(sources["source"])).drop("__source")
     shards = sainte_lague(shards, ["source"], ["shard"], "shard_size", "source_quota")
-    blocks = F.greatest(F.round(F.col("shard_size") / block_words), F.lit(1)).cast("long")
-    shards = shards.withColumn("n_blocks", blocks)
-    quota = F.least(F.col("quota"), F.col("n_blocks") * max_repeat)
-    shards = shards.withColumn("quota", quota)
-    shards = shards.withColumns({"passes": F.expr("quota div n_blocks"), "extra": F.expr("quota % n_blocks")})
+    least = F.least(F.col("shard_size"), F.lit(LEAST_BLOCKS))
+    blocks = F.greatest(F.round(F.col("shard_size") / block_words), least, F.lit(1)).cast("long")
+    quota = F.least(F.col("quota"), F.col("shard_size") * max_repeat)
+    shards = shards.withColumns({"n_blocks": blocks, "quota": quota})
+    # What whole passes leave, in blocks; a shard without words has no quota.
+    extra = F.expr("CASE WHEN shard_size > 0 THEN CAST(round((quota % shard_size) * n_blocks / shard_size) AS BIGINT) ELSE 0L END")
+    passes = F.expr("CASE WHEN shard_size > 0 THEN quota div shard_size ELSE 0L END")
+    shards = shards.withColumns({"passes": passes, "extra": extra})
     bar = F.expr(
         f"""CASE WHEN extra > 0 AND shard_size > 0 THEN element_at(array_sort(transform(sequence(0L, n_blocks - 1),
         b -> xxhash64({seed + 2}, source, shard, b))), CAST(extra AS INT)) END"""
