@@ -133,6 +133,8 @@ def first_entries(rows: DataFrame, entries: int) -> np.ndarray:
     ids = rows.select("__id").mapInArrow(least, kind).distinct().orderBy("__id").limit(entries)
     ids = [r[0] for r in ids.collect()]
     found = rows.filter(F.col("__id").isin(ids)).groupBy("__id").agg(F.min("__vector").alias("v")).orderBy("__id").collect()
+    if not found:
+        return np.zeros((0, 0))
     if len({len(r.v) for r in found}) > 1:
         raise ValueError("vectors must all have the same number of components")
     return _whole(np.array([r.v for r in found], np.float64).reshape(-1)).reshape(len(found), -1)
