@@ -45,6 +45,7 @@ BLOCK_TEXTS = 512
 BINS, FINE_BINS = 128, 1024
 
 _M1, _M2, _GOLD, _BASE = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15, 0x100000001B3))
+_LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -60,7 +61,7 @@ def seeds(n: int) -> np.ndarray:
 class WordHashes:
     """64-bit hashes of words; words seen before come from a bounded memory."""
 
-    def __init__(self, most: int = 1 << 20):
+    def __init__(self, most: int = 1 << 17):
         self.known: dict[bytes, int] = {}
         self.most = most
 
@@ -102,10 +103,16 @@ def sketch(words: np.ndarray, salt: np.ndarray, k: int = K, kept: int = KEPT) ->
     step = max(1, (1 << 20) // len(grams))
     for at in range(0, len(salt), step):
         part = salt[at : at + step]
-        values = (labelled[None, :] ^ part[:, None]) * _M1
-        values = (values ^ (values >> np.uint64(32))) * _M2
         if len(grams) > kept:
-            where = np.sort(np.argpartition(values, kept - 1, axis=1)[:, :kept], axis=1)
+            values = labelled[None, :] ^ part[:, None]
+            values *= _M1
+            values ^= values >> np.uint64(32)
+            values *= _M2
+            rows, least = np.arange(len(part)), []
+            for _ in range(kept):
+                least.append(values.argmin(axis=1))
+                values[rows, least[-1]] = _LAST
+            where = np.sort(np.stack(least, axis=1), axis=1)
         else:
             where = np.broadcast_to(np.arange(len(grams)), (len(part), len(grams)))
         found = part.copy()
@@ -150,12 +157,19 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int(differ[0]) if len(differ) else n
 
 
+def _places(words: list[int]) -> dict[int, list[int]]:
+    found: dict[int, list[int]] = {}
+    for i, word in enumerate(words):
+        found.setdefault(word, []).append(i)
+    return found
+
+
 def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     """Levenshtein distance of two word sequences, or None if it is over ``most``.
 
-    Only the band of diagonals that ``most`` edits can reach is looked at: for each number of
-    edits, the furthest cell reached on each diagonal. Runs of equal words are passed by
-    comparing hashes of the sequences' parts in halving steps.
+    Only the band of cells at most ``most`` off the main diagonal is looked at. A column of the
+    band is kept as its steps up and down, one bit a cell in whole integers, so a word of ``b``
+    costs a few operations on integers of 2 * most + 1 bits.
     """
     if abs(len(a) - len(b)) > most:
         return None
@@ -169,53 +183,50 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     shared = sum((Counter(a.tolist()) & Counter(b.tolist())).values())
     if max(n, m) - shared > most:
         return None
-
-    powers = np.ones(max(n, m) + 1, np.uint64)
-    powers[1:] = np.cumprod(np.full(max(n, m), _BASE, np.uint64), dtype=np.uint64)
-
-    def prefix(x: np.ndarray) -> np.ndarray:
-        # prefix[i] = sum of x[j] * BASE^j: parts are compared after shifting the lower one up.
-        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(x) * powers[: len(x)], dtype=np.uint64)])
-
-    pa_, pb = prefix(a), prefix(b)
-    longest = 1 << (min(n, m).bit_length() - 1)
-
-    def slide(i: np.ndarray, diagonals: np.ndarray) -> np.ndarray:
-        j = i + diagonals
-        live = np.flatnonzero((i < n) & (j < m) & (i >= 0) & (j >= 0))
-        live = live[a[i[live]] == b[j[live]]]
-        if not len(live):
-            return i
-        x, d = i[live], diagonals[live]
-        up, down = powers[np.maximum(d, 0)], powers[np.maximum(-d, 0)]
-        step = longest
-        while step:
-            y = x + d
-            fits = (x + step <= n) & (y + step <= m)
-            xe, ye = np.minimum(x + step, n), np.minimum(y + step, m)
-            same = fits & ((pa_[xe] - pa_[x]) * up == (pb[ye] - pb[y]) * down)
-            x = x + np.where(same, step, 0)
-            step //= 2
-        # A part may be passed twice at the same step, as lengths are no powers of two.
-        i = i.copy()
-        i[live] = x
-        return slide(i, diagonals) if ((x < n) & (x + d < m) & (a[np.minimum(x, n - 1)] == b[np.minimum(x + d, m - 1)])).any() else i
-
-    goal = m - n
-    reached = slide(np.zeros(1, np.int64), np.zeros(1, np.int64))
-    if goal == 0 and reached[0] >= n:
-        return 0
-    for edits in range(1, most + 1):
-        diagonals = np.arange(-edits, edits + 1)
-        wide = np.full(2 * edits + 3, -(1 << 40), np.int64)
-        wide[2:-2] = reached
-        # From the diagonal below (a word of b inserted), the same (replaced), above (a word of a deleted).
-        here = np.maximum(np.maximum(wide[:-2], wide[1:-1] + 1), wide[2:] + 1)
-        here = np.minimum(here, np.minimum(n, m - diagonals))
-        reached = slide(here, diagonals)
-        if abs(goal) <= edits and reached[goal + edits] >= n:
-            return edits
-    return None
+    if not most:
+        return None  # what is left differs in its first word
+
+    places = _places(a.tolist())
+    # Words in many places keep a bit for each; there are few of these.
+    often = {w: sum(1 << p for p in found) for w, found in places.items() if len(found) > max(16, n >> 9)}
+    width, full = 2 * most + 1, (1 << (2 * most + 1)) - 1
+    # Bit r of column j (from 1) is the cell in row j - most + r; rows before the first are level.
+    up, down = full >> most << most, 0
+    distance = min(most, n)
+    # A path that has left the band's edge behind can win back one for each column to come.
+    hopeless = 2 * most + m - n
+    for j, word in enumerate(b.tolist(), 1):
+        first = j - most - 1  # the word of ``a`` at bit 0
+        if word in often:
+            same = (often[word] >> first if first >= 0 else often[word] << -first) & full
+        else:
+            same, found = 0, places.get(word, ())
+            if len(found) > 16:
+                row = np.zeros(width, np.uint8)
+                inside = np.array(found) - first
+                row[inside[(inside >= 0) & (inside < width)]] = 1
+                same = int.from_bytes(np.packbits(row, bitorder="little").tobytes(), "little")
+            else:
+                for p in found:
+                    if 0 <= p - first < width:
+                        same |= 1 << (p - first)
+        level = (((same & up) + up) ^ up) | same | down
+        level &= full
+        right_up = down | (full & ~(level | up))
+        right_down = level & up
+        if j <= n - most:
+            # Along the lower edge, down the diagonal.
+            distance += not level >> (width - 1)
+            if distance > hopeless:
+                return None
+        else:
+            # Along the last row.
+            bit = n - j + most
+            distance += (right_up >> bit & 1) - (right_down >> bit & 1)
+        shifted = level >> 1
+        up = right_down | (full & ~(shifted | right_up))
+        down = shifted & right_up
+    return distance if distance <= most else None
 
 
 def text_sketches(docs: DataFrame, sketches: int, kept: int, k: int) -> DataFrame:
