@@ -6,11 +6,13 @@ stand in the text; two texts agree in a sketch if both the k-mers and their orde
 which becomes likely as their edit similarity does. Candidates that agree in a sketch, and whose
 word counts allow it, are verified by a banded alignment of their words: a link is an edit similarity of 0.8 or more.
 
-Equal texts are one text from the start. A bucket, that is, the texts which agree in a sketch,
-compares each text with its least one, so a bucket of any size makes as many pairs as it has
-members; a few sketches go first. Buckets of all sketches that still hold several classes are then
-compared fully, in blocks of bounded size; a block sends only links, and no more than it has
-classes. Classes are the connected components of the links.
+Equal texts are one text from the start. Candidates come first and from small rows alone: keys, word counts and bags
+of words. A bucket, that is, the texts which agree in a sketch, offers each text with its least one for a few
+sketches, so a bucket of any size makes as many pairs as it has members; then, for all sketches, one text of each
+of its classes with one of its first class. What is still apart meets in blocks of bounded size, where each
+text offers the nearest texts of other classes that counts and bags allow, more of them in a further round while any
+were left out. Each different pair is then joined with its two texts, once, and aligned. Classes are
+the connected components of the links.
 """
 
 from __future__ import annotations
@@ -40,7 +42,16 @@ ONE_EDIT = 9
 # Sketches whose buckets are compared first, with their least text; the rest compares what these left apart.
 FIRST = 4
 SIMILARITY = 0.8
+# Texts of a block's half; partners that a text offers in a block, by round: the last offers all.
 BLOCK_TEXTS = 512
+OFFERED = (8, 64, BLOCK_TEXTS)
+# Rounds of comparing one text a class in buckets of all sketches.
+CLASS_ROUNDS = 2
+# Joins on a key that many rows may share deal it to so many tasks.
+SALT = 8
+HOT = 10_000
+# Bits of the filter that keeps texts of no candidate from being shuffled: 16 a text, so many at most.
+FILTER_BITS = 1 << 25
 # Words are counted in so many bins, by their hash, to bound the edits between texts from below.
 BINS, FINE_BINS = 128, 1024
 
@@ -277,10 +288,37 @@ def _unpacked(texts: DataFrame, first: int) -> DataFrame:
     return texts.select("key", "sketches").mapInArrow(run, "bucket long, key binary, early boolean")
 
 
-def align_pairs(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Links among ``pairs`` (a, b): edit similarity of their words at least ``similarity``."""
+def texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The text of each of the different ``keys``: key, text.
+
+    A bit map of the keys' hashes, broadcast in cells of 64 bits and of bounded size, drops most
+    other texts before the shuffle.
+    """
+    bits = 1 << 16
+    while bits < min(FILTER_BITS, 16 * keys.count()):
+        bits *= 2
+    place = F.pmod(F.xxhash64("key"), F.lit(bits))
+    # Shifts of a long count modulo 64.
+    marks = keys.select(F.shiftright(place, 6).alias("cell"), F.expr("shiftleft(1L, int(xxhash64(key) & 63))").alias("bit"))
+    cells = F.broadcast(marks.groupBy("cell").agg(F.bit_or("bit").alias("bits")))
+    rows = docs.filter(F.col("text").isNotNull()).select(text_key(F.col("text")).alias("key"), "text")
+    rows = rows.withColumn("cell", F.shiftright(place, 6)).join(cells, "cell")
+    rows = rows.filter(F.expr("bits & shiftleft(1L, int(xxhash64(key) & 63)) <> 0")).select("key", "text")
+    return rows.join(keys.hint("merge"), "key", "left_semi").dropDuplicates(["key"])
+
+
+def align_pairs(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+    """Links among ``pairs`` (a, b; keys of texts of ``docs``): edit similarity of their words at least ``similarity``.
+
+    A text is joined once for each pair; pairs of one ``a`` stand together, so its words are made once.
+    """
+    keys = stage(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "pair-keys")
+    schema = "a binary, b binary, similarity double"
+    if keys.isEmpty():
+        return docs.sparkSession.createDataFrame([], schema)
+    texts = stage(texts_of(docs, keys), "pair-texts")
     a, b = texts.toDF("a", "text_a"), texts.toDF("b", "text_b")
-    rows = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
+    rows = pairs.join(b.hint("merge"), "b").join(a.hint("merge"), "a").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -288,7 +326,7 @@ def align_pairs(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFr
 
         def words(key: bytes, text: str) -> np.ndarray:
             if key not in recent:
-                if len(recent) > 64:
+                if len(recent) > 8:
                     recent.clear()
                 recent[key] = hashes(words_of(text))
             return recent[key]
@@ -297,7 +335,7 @@ def align_pairs(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFr
             for part in slices(batch):
                 found = []
                 for x, y, s, t in zip(*(c.to_pylist() for c in part.columns)):
-                    u, v = words(x, s), words(y, t)
+                    u, v = words(x, s), hashes(words_of(t))
                     longer = max(len(u), len(v))
                     edits = edit_distance(u, v, int((1 - similarity) * longer + 1e-9))
                     if edits is not None:
@@ -306,22 +344,30 @@ def align_pairs(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFr
                 types = (pa.binary(), pa.binary(), pa.float64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["a", "b", "similarity"])
 
-    return rows.mapInArrow(run, "a binary, b binary, similarity double")
+    return rows.mapInArrow(run, schema)
+
+
+def salted_join(rows: DataFrame, keyed: DataFrame, on: str, how: str = "inner", salt: int = SALT) -> DataFrame:
+    """``rows`` joined with ``keyed``, which has each key once, on column ``on``; rows of one key go to ``salt`` tasks."""
+    dealt = rows.withColumn("__salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salt)).cast("int"))
+    copies = keyed.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    return dealt.join(copies, [on, "__salt"], how).drop("__salt")
 
 
 def components(links: DataFrame) -> DataFrame:
     """Least key of each key's connected component: key, least.
 
     Rounds of taking over neighbours' least keys and following them; each is written to the
-    shared folder. The rounds grow with the logarithm of the longest path of a component.
+    shared folder. The rounds grow with the logarithm of the longest path of a component. Joins are
+    salted, as a component's keys meet in its least one.
     """
     both = stage(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
     labels = stage(both.groupBy(F.col("a").alias("key")).agg(F.min("b").alias("b")).select("key", F.least("key", "b").alias("least")), "labels")
     while True:
-        near = both.join(labels, both["b"] == labels["key"]).groupBy("a").agg(F.min("least").alias("near"))
+        near = salted_join(both.select("a", F.col("b").alias("key")), labels, "key").groupBy("a").agg(F.min("least").alias("near"))
         taken = labels.join(near, labels["key"] == near["a"], "left").select("key", F.least("least", "near").alias("new"), F.col("least").alias("old"))
         jump = labels.select(F.col("key").alias("new"), F.col("least").alias("beyond"))
-        taken = taken.join(jump, "new", "left").select("key", F.least("new", "beyond").alias("least"), "old")
+        taken = salted_join(taken, jump, "new", "left").select("key", F.least("new", "beyond").alias("least"), "old")
         taken = stage(taken, "labels")
         labels = taken.select("key", "least")
         if taken.filter("least <> old").isEmpty():
@@ -332,59 +378,98 @@ def _bags(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, BINS)
 
 
-def _block_links(similarity: float, sketches: int):
-    """Links between a bucket's texts of different classes; two classes are linked once.
+def _pairs_of_blocks(block: np.ndarray, part: np.ndarray, split: np.ndarray, classes: np.ndarray, sizes: np.ndarray, bags: np.ndarray, similarity: float):
+    """Places of rows (r, s) of one block and different classes that counts and bags allow, and their least edits.
 
-    A pair that agrees in several sketches is compared in the bucket of the first only;
-    in those of short texts, pairs that agree in none of the others are compared.
+    Rows are sorted by ``block``. Row r is compared with those that follow it in its block, all blocks at once: at a
+    distance of one row, then of two, until no block is that long. A ``split`` block holds two parts and
+    compares texts of different parts only.
     """
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    left, step = np.arange(len(block)), 0
+    while len(left):
+        step += 1
+        left = left[left + step < len(block)]
+        left = left[block[left] == block[left + step]]
+        r, s = left, left + step
+        ok = (classes[r] != classes[s]) & (~split[r] | (part[r] != part[s]))
+        r, s = r[ok], s[ok]
+        most = np.floor((1 - similarity) * np.maximum(sizes[r], sizes[s]) + 1e-9)
+        ok = np.abs(sizes[r] - sizes[s]) <= most
+        r, s, most = r[ok], s[ok], most[ok]
+        for at in range(0, len(r), 4096):
+            x, y = r[at : at + 4096], s[at : at + 4096]
+            edits = least_edits(bags[x], bags[y])
+            ok = edits <= most[at : at + 4096]
+            if ok.any():
+                found.append((x[ok], y[ok], edits[ok]))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def _offered(r: np.ndarray, edits: np.ndarray, most: int) -> np.ndarray:
+    """Which pairs are among the ``most`` with least edits of their row ``r``."""
+    order = np.lexsort((edits, r))
+    ordered = r[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    rank = np.arange(len(r)) - np.repeat(first, np.diff(np.concatenate([first, [len(r)]])))
+    out = np.empty(len(r), bool)
+    out[order] = rank < most
+    return out
+
+
+def block_candidates(rows: DataFrame, similarity: float, most: int) -> DataFrame:
+    """Pairs (a, b) that blocks (bucket, i, j) offer, and rows without a pair for blocks that left some out."""
+    schema = "bucket long, i int, j int, a binary, b binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def pairs(rows: pa.Table) -> pa.RecordBatch:
+            place = [rows.column(c).to_numpy() for c in ("bucket", "i", "j")]
+            change = np.zeros(rows.num_rows, bool)
+            for c in place:
+                change[1:] |= c[1:] != c[:-1]
+            block = np.cumsum(change)
+            classes = np.unique(np.array([c.hex() for c in rows.column("class").to_pylist()]), return_inverse=True)[1]
+            r, s, edits = _pairs_of_blocks(
+                block, rows.column("part").to_numpy(), place[1] != place[2], classes, rows.column("n").to_numpy(), _bags(rows.column("bag")), similarity
+            )
+            taken = _offered(r, edits, most) if len(r) else np.zeros(0, bool)
+            cut = np.unique(block[r[~taken]])
+            cut = np.searchsorted(block, cut)
+            r, s = r[taken], s[taken]
+            keys = rows.column("key").combine_chunks()
+            x, y = keys.take(pa.array(r)), keys.take(pa.array(s))
+            where = np.concatenate([r, cut])
+            nothing = pa.nulls(len(cut), pa.binary())
+            # Rows stand in the order of their keys within a block, so x is the lesser one.
+            columns = [*(pa.array(c[where]) for c in place), pa.concat_arrays([_plain(x), nothing]), pa.concat_arrays([_plain(y), nothing])]
+            return pa.RecordBatch.from_arrays(columns, ["bucket", "i", "j", "a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            last = [held.column(c)[-1].as_py() for c in ("bucket", "i", "j")]
+            open_ = np.ones(held.num_rows, bool)
+            for c, v in zip(("bucket", "i", "j"), last):
+                open_ &= held.column(c).to_numpy() == v
+            ready = held.num_rows - int(open_.sum())
+            if ready:
+                yield pairs(held.slice(0, ready))
+                held = held.slice(ready).combine_chunks()
+        if held is not None:
+            yield pairs(held)
+
+    ordered = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "key")
+    return ordered.mapInArrow(run, schema)
 
-    def run(group: pa.Table) -> pa.Table:
-        keys, texts = group.column("key").to_pylist(), group.column("text")
-        classes = np.unique(np.array([c.hex() for c in group.column("class").to_pylist()]), return_inverse=True)[1]
-        sizes, part, bags = group.column("n").to_numpy(), group.column("part").to_numpy(), _bags(group.column("bag"))
-        matrix = np.frombuffer(b"".join(v[: 8 * sketches] for v in group.column("sketches").to_pylist()), np.int64).reshape(-1, sketches)
-        bucket, first, second = (group.column(c)[0].as_py() for c in ("bucket", "i", "j"))
-        place = int(np.append(np.flatnonzero(matrix[0] == bucket), sketches)[0])
-        hashes, seen = WordHashes(), {}
-
-        def words(at: int) -> np.ndarray:
-            if at not in seen:
-                hashed = hashes(words_of(texts[at].as_py()))
-                seen[at] = (hashed, bag(hashed, FINE_BINS))
-            return seen[at][0]
-
-        def nearest_first(r: int, others: np.ndarray) -> np.ndarray:
-            """Those of ``others`` that finer bags allow, the most promising first."""
-            for at in (r, *others.tolist()):
-                words(at)
-            edits = least_edits(np.stack([seen[o][1] for o in others.tolist()]), seen[r][1])
-            possible = edits <= np.floor((1 - similarity) * np.maximum(sizes[others], sizes[r]) + 1e-9)
-            return others[possible][np.argsort(edits[possible], kind="stable")]
-
-        found: tuple[list, list, list] = ([], [], [])
-        rows, columns = np.flatnonzero(part == first), np.flatnonzero(part == second)
-        for r in rows.tolist():
-            others = columns if first != second else columns[columns > r]
-            others = others[classes[others] != classes[r]]
-            others = others[allowed(sizes[others], sizes[r], bags[others], bags[r], similarity)]
-            others = others[~(matrix[others, :place] == matrix[r, :place]).any(axis=1)]
-            if len(others) > 2:
-                others = nearest_first(r, others)
-            while len(others):
-                o, others = int(others[0]), others[1:]
-                longer = max(int(sizes[r]), int(sizes[o]))
-                edits = edit_distance(words(r), words(o), int((1 - similarity) * longer + 1e-9))
-                if edits is not None:
-                    found[0].append(min(keys[r], keys[o]))
-                    found[1].append(max(keys[r], keys[o]))
-                    found[2].append(1 - edits / longer)
-                    classes[classes == classes[o]] = classes[r]
-                    others = others[classes[others] != classes[r]]
-        types = (pa.binary(), pa.binary(), pa.float64())
-        return pa.table([pa.array(f, t) for f, t in zip(found, types)], ["a", "b", "similarity"])
-
-    return run
+
+def _plain(column: pa.Array | pa.ChunkedArray) -> pa.Array:
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
 def near_links(
@@ -395,41 +480,65 @@ def near_links(
     kept: int = KEPT,
     first: int = FIRST,
     block: int = BLOCK_TEXTS,
+    offered: tuple[int, ...] = OFFERED,
 ) -> DataFrame:
     """Verified links between different texts, enough to join each class: a, b (keys of texts), similarity."""
     texts = stage(text_sketches(docs, sketches, kept, k), "sketches")
     members = _unpacked(texts, first)
     buckets = members.groupBy("bucket").agg(F.min("key").alias("least"), F.count("*").alias("size")).filter("size > 1")
     members = stage(members.join(buckets, "bucket"), "shared-buckets")
-    originals = docs.filter(F.col("text").isNotNull()).select(text_key(F.col("text")).alias("key"), "text")
-    # The text of each member, once; a join by key at every size, as the texts are the large side.
-    shared = members.select("key").distinct().hint("merge")
-    originals = stage(originals.join(shared, "key").dropDuplicates(["key"]), "shared-texts")
     counts = texts.select("key", "n", "bag")
 
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        return stage(align_pairs(stage(_allowed_pairs(pairs, counts, similarity), f"{name}-pairs"), docs, similarity), f"{name}-links")
+
     # Each member with its bucket's least, for the first sketches; these join most copies.
     stars = members.filter("early AND key <> least").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct()
-    stars = stars.join(counts.toDF("a", "n_a", "bag_a"), "a").join(counts.toDF("b", "n_b", "bag_b"), "b")
-    links = stage(align_pairs(stage(_allowed_pairs(stars, similarity), "stars"), originals, similarity), "star-links")
-
-    # Buckets that still hold texts of more than one class: their texts meet in blocks.
-    labels = components(links)
-    left_over = members.join(labels.toDF("key", "root"), "key", "left").select(
-        "bucket", "key", "size", F.coalesce("root", "key").alias("class")
-    )
-    torn = left_over.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x <> y").select("bucket")
-    rows = left_over.join(torn, "bucket").join(texts, "key").join(originals.hint("merge"), "key")
-    parts = F.ceil(F.col("size") / block).cast("int")
-    rows = rows.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
-    rows = rows.select("bucket", "i", "j", "part", "key", "class", "n", "bag", "sketches", "text")
-    more = rows.groupBy("bucket", "i", "j").applyInArrow(_block_links(similarity, sketches), "a binary, b binary, similarity double")
-    return links.unionByName(stage(more, "block-links"))
-
-
-def _allowed_pairs(pairs: DataFrame, similarity: float) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose word counts allow the similarity."""
+    links = verified(stars, "star")
+
+    def left_over() -> DataFrame:
+        """Members of buckets that hold texts of more than one class, with their classes."""
+        labels = components(links)
+        rows = salted_join(members.select("bucket", "key", "size"), labels, "key", "left").select(
+            "bucket", "key", "size", F.coalesce("least", "key").alias("class")
+        )
+        torn = rows.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x <> y").select("bucket")
+        return stage(rows.join(torn, "bucket"), "torn-buckets")
+
+    # One text of each class of a bucket with one of its first class, the least ones, then the greatest.
+    for extreme in (F.min, F.max)[:CLASS_ROUNDS]:
+        heads = left_over().groupBy("bucket", "class").agg(extreme("key").alias("key"))
+        lead = heads.groupBy("bucket").agg(F.min(F.struct("class", "key")).alias("lead")).select("bucket", F.col("lead.key").alias("lead"))
+        pairs = salted_join(heads, lead, "bucket").filter("key <> lead")
+        pairs = pairs.select(F.col("lead").alias("a"), F.col("key").alias("b")).distinct()
+        more = verified(pairs, "class")
+        links = links.unionByName(more)
+        if more.isEmpty():
+            break
+
+    # What is still apart meets in blocks.
+    cut: DataFrame | None = None
+    for most in offered:
+        rows = left_over().join(counts, "key")
+        parts = F.ceil(F.col("size") / block).cast("int")
+        rows = rows.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        rows = rows.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
+        rows = rows.select("bucket", "i", "j", "part", "key", "class", "n", "bag")
+        if cut is not None:
+            rows = rows.join(cut, ["bucket", "i", "j"], "left_semi")
+        found = stage(block_candidates(rows, similarity, most), "block-pairs")
+        pairs = found.filter("a IS NOT NULL").select("a", "b").distinct()
+        links = links.unionByName(stage(align_pairs(stage(pairs, "different-pairs"), docs, similarity), "block-links"))
+        cut = stage(found.filter("a IS NULL").select("bucket", "i", "j").distinct(), "cut-blocks")
+        if cut.isEmpty():
+            break
+    return links
+
+
+def _allowed_pairs(pairs: DataFrame, counts: DataFrame, similarity: float) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose word counts and bags allow the similarity."""
+    pairs = salted_join(pairs, counts.toDF("a", "n_a", "bag_a"), "a").join(counts.toDF("b", "n_b", "bag_b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -442,20 +551,40 @@ def _allowed_pairs(pairs: DataFrame, similarity: float) -> DataFrame:
 
 
 def _text_classes(docs: DataFrame, similarity: float, settings: dict) -> DataFrame:
-    """One row per different text: __key, class_id, class_size, and whether it is its class's first text."""
+    """One row per different text: __key, class_id, class_size, whether it is its class's first text, and its copies.
+
+    Only texts with a link are grouped and joined; each other text is a class of its own.
+    """
     labels = components(near_links(docs, similarity, **settings))
     ids = docs.filter(F.col("text").isNotNull()).select("doc_id", text_key(F.col("text")).alias("key"))
-    ids = ids.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
-    ids = ids.join(labels, "key", "left").withColumn("root", F.coalesce("least", "key"))
-    classes = ids.groupBy("root").agg(
+    ids = stage(ids.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")).join(labels, "key", "left"), "texts")
+    linked = ids.filter("least IS NOT NULL").withColumnRenamed("least", "root")
+    classes = linked.groupBy("root").agg(
         F.min("first").alias("class_id"),
         F.sum("copies").alias("class_size"),
         F.min(F.struct(F.col("first").isNull(), "first", "key"))["key"].alias("first_key"),
     )
-    found = ids.join(classes, "root").select(
-        F.col("key").alias("__key"), "class_id", "class_size", (F.col("key") == F.col("first_key")).alias("__first"), "first"
-    )
-    return stage(found, "classes")
+    columns = [F.col("key").alias("__key"), "class_id", "class_size", (F.col("key") == F.col("first_key")).alias("__first"), "first", "copies"]
+    found = salted_join(linked, classes, "root").select(*columns)
+    alone = ids.filter("least IS NULL").withColumns({"class_id": F.col("first"), "class_size": F.col("copies"), "first_key": F.col("key")})
+    return stage(found.unionByName(alone.select(*columns)), "classes")
+
+
+def _with_classes(rows: DataFrame, classes: DataFrame, hot: int = HOT) -> DataFrame:
+    """``rows`` (with __key) with their text's class; null keys have none.
+
+    Texts with more than 1/``hot`` of all copies, at most ``hot`` of them, meet their rows by broadcast.
+    """
+    total = classes.agg(F.sum("copies")).first()[0] or 0
+    often = classes.filter(F.col("copies") * hot > total).select("__key", "class_id", "class_size")
+    rest = classes.filter(F.col("copies") * hot <= total).select("__key", F.col("class_id").alias("__id"), F.col("class_size").alias("__size"))
+    found = rows.join(F.broadcast(often), "__key", "left")
+    # Rows that have their class already go to other tasks than those of their key.
+    key = F.when(F.col("class_size").isNull(), F.col("__key"))
+    found = found.withColumn("__rest", F.coalesce(key, F.unhex(F.md5(F.concat(F.lit("none"), F.xxhash64("doc_id").cast("string"))))))
+    found = found.join(rest.withColumnRenamed("__key", "__rest"), "__rest", "left").drop("__rest")
+    out = {"class_id": F.coalesce("class_id", "__id"), "class_size": F.coalesce("class_size", "__size")}
+    return found.withColumns(out).drop("__id", "__size")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, **settings) -> DataFrame:
@@ -468,7 +597,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, **settings)
     """
     keep = without(docs, ["class_id", "class_size"])
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], text_key(F.col("text")).alias("__key"))
-    rows = rows.join(_text_classes(docs, similarity, settings).drop("__first", "first"), "__key", "left")
+    rows = _with_classes(rows, _text_classes(docs, similarity, settings))
     return rows.select(
         *[F.col(f"`{c}`") for c in keep],
         F.when(F.col("__key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
