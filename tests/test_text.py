@@ -77,7 +77,9 @@ def test_terms_equal_python(spark, n_parts):
     for n, text in enumerate(texts):
         toks = re.findall(r"\b[a-zA-Z][a-zA-Z0-9\-]{2,}\b", bare(text))
         assert got[n] == (bare(text), toks + [f"{a} {b}" for a, b in zip(toks, toks[1:])])
-    counted = tm.counted_terms(tm.with_terms(frame, "text"), "terms", ["n"])
+    counted = tm.term_counts(frame, "text", "n")
+    totals = {r.term: (r.df, r.total) for r in tm.term_totals(frame.union(frame), "text").collect()}
+    assert totals["two"] == (2, 8) and totals["two two"] == (2, 4) and totals["naive"] == (2, 2)
     assert {(r.term, r.tf) for r in counted.filter("n = 4").collect()} == {
         ("one", 2), ("two", 4), ("one two", 2), ("two two", 2), ("two one", 1),
     }

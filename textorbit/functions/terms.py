@@ -1,17 +1,21 @@
 """From text to counted terms: accents, tokens, n-grams, term frequencies.
 
-All steps are row-local, so counting the terms of a document needs no shuffle.
+Folding and tokens are JVM expressions; pairs of tokens and counts are Arrow steps over many rows at once. All
+are row-local, so counting the terms of a document needs no shuffle.
 """
 
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 # Fixed value: a term starts with a letter and has three or more characters.
 # (?U) makes the word boundary a Unicode one, so "straße" yields no token.
@@ -25,6 +29,27 @@ def _bare(text: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
 
 
+# Terms are counted for so many tokens at a time.
+TOKENS_AT_ONCE = 1 << 18
+
+
+@lru_cache(maxsize=1)
+def _marks() -> str:
+    """Pattern of the characters that combine with the one before them."""
+    return "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in _runs(c for c in range(0x300, 0x20000) if unicodedata.combining(chr(c)))) + "]"
+
+
+def _runs(codes) -> list[list[int]]:
+    """Ascending numbers as runs of neighbours (first, last)."""
+    runs: list[list[int]] = []
+    for code in codes:
+        if runs and runs[-1][1] == code - 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    return runs
+
+
 @lru_cache(maxsize=1)
 def _accent_rules() -> tuple[str, str, str]:
     """Source and target of ``translate``, and the class of characters it cannot settle.
@@ -36,19 +61,15 @@ def _accent_rules() -> tuple[str, str, str]:
     settled = [c for c in bare if len(bare[c]) < 2]
     kept = [c for c in settled if bare[c] not in ("", c)]
     dropped = [c for c in settled if bare[c] == ""]
-    runs: list[list[int]] = []
-    for code in map(ord, settled):
-        if runs and runs[-1][1] == code - 1:
-            runs[-1][1] = code
-        else:
-            runs.append([code, code])
-    safe = "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in runs)
+    safe = "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in _runs(map(ord, settled)))
     return "".join(kept + dropped), "".join(bare[c] for c in kept), rf"[^\x00-\x7f{safe}]"
 
 
 @F.arrow_udf(StringType())
 def _bare_udf(texts: pa.Array) -> pa.Array:
-    return pa.array([None if t is None else _bare(t) for t in texts.to_pylist()], pa.string())
+    if texts.null_count == len(texts):
+        return texts.cast(pa.string())
+    return pc.replace_substring_regex(pc.utf8_normalize(texts.cast(pa.string()), "NFKD"), _marks(), "")
 
 
 def with_folded(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -79,49 +100,87 @@ def with_folded(df: DataFrame, text: str, out: str) -> DataFrame:
     )
 
 
-def with_terms(df: DataFrame, text: str, out: str = "terms") -> DataFrame:
-    """Add ``out``: tokens of ``text``, then blank-joined pairs of neighbouring tokens.
+def with_tokens(df: DataFrame, text: str, out: str = "tokens") -> DataFrame:
+    """Add ``out``: the tokens of ``text``, in order."""
+    found = F.regexp_extract_all("_folded", F.lit(TOKEN), F.lit(0))
+    return with_folded(df, text, "_folded").withColumn(out, found).drop("_folded")
+
+
+def terms_of(tokens: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, pa.Array]:
+    """All terms of rows of tokens, and the row of each: the tokens, then blank-joined neighbouring tokens.
 
     A pair bridges whatever the token pattern skipped between its two tokens.
     """
-    toks = F.col("_toks")
-    rest = F.greatest(F.size(toks) - 1, F.lit(0))
-    pairs = F.zip_with(
-        F.slice(toks, F.lit(1), rest),
-        F.slice(toks, F.lit(2), rest),
-        lambda a, b: F.concat_ws(" ", a, b),
-    )
-    return (
-        with_folded(df, text, "_folded")
-        .withColumn("_toks", F.regexp_extract_all("_folded", F.lit(TOKEN), F.lit(0)))
-        .withColumn(out, F.concat(toks, pairs))
-        .drop("_folded", "_toks")
-    )
+    if isinstance(tokens, pa.ChunkedArray):
+        tokens = tokens.combine_chunks()
+    sizes = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy()
+    row, flat = np.repeat(np.arange(len(tokens)), sizes), tokens.flatten()
+    first = np.flatnonzero(row[1:] == row[:-1])
+    pairs = pc.binary_join_element_wise(flat.take(pa.array(first)), flat.take(pa.array(first + 1)), " ")
+    return np.concatenate([row, row[first]]), pa.concat_arrays([flat, pairs])
 
 
-def counted_terms(df: DataFrame, terms: str, keep: list[str]) -> DataFrame:
-    """Long table ``(*keep, term, tf)`` from an array column of terms.
+@F.arrow_udf(ArrayType(StringType()))
+def _terms_udf(tokens: pa.Array) -> pa.Array:
+    row, terms = terms_of(tokens)
+    order = np.argsort(row, kind="stable")
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(tokens)))]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, terms.take(pa.array(order)))
 
-    Sorting the row's own array puts equal terms next to each other, and each run's
-    length is a count: no row leaves its partition. ``explode_outer`` keeps the
-    optimizer from evaluating the whole array expression a second time in a filter.
-    """
-    arr, starts = F.col("_sorted"), F.col("_starts")
-    n = F.size(arr)
 
-    def starts_run(i):
-        return (i == 1) | (F.element_at(arr, i) != F.element_at(arr, F.greatest(i - 1, F.lit(1))))
+def with_terms(df: DataFrame, text: str, out: str = "terms") -> DataFrame:
+    """Add ``out``: the terms of ``text`` as an array, tokens first."""
+    return with_tokens(df, text, "_tokens").withColumn(out, _terms_udf("_tokens")).drop("_tokens")
+
 
-    def run(i, j):
-        length = F.coalesce(F.get(starts, j + 1), n + 1) - i
-        return F.struct(F.element_at(arr, i).alias("term"), length.alias("tf"))
+def _slices(batch: pa.RecordBatch, tokens: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``TOKENS_AT_ONCE`` tokens in column ``tokens``, one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(tokens)), 0).to_numpy())
+    lo = 0
+    while lo < batch.num_rows:
+        done = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, done + TOKENS_AT_ONCE, side="right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
 
-    positions = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
-    return (
-        df.select(*keep, F.sort_array(terms).alias("_sorted"))
-        .withColumn("_starts", F.filter(positions, starts_run))
-        .select(*keep, F.transform(starts, run).alias("_runs"))
-        .select(*keep, F.explode_outer("_runs").alias("_run"))
-        .select(*keep, "_run.term", "_run.tf")
-        .filter(F.col("term").isNotNull())
-    )
+
+def _counted(tokens: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Rows, places in the distinct terms, and numbers of each row's terms; the distinct terms."""
+    row, terms = terms_of(tokens)
+    coded = terms.dictionary_encode()
+    n = max(len(coded.dictionary), 1)
+    cell, tf = np.unique(row * n + coded.indices.to_numpy(), return_counts=True)
+    return cell // n, cell % n, tf, coded.dictionary
+
+
+def term_counts(df: DataFrame, text: str, key: str) -> DataFrame:
+    """``(key, term, tf)``; no row leaves its partition."""
+    rows = with_tokens(df.select(key, text), text, "_tokens").select(key, "_tokens")
+    out = StructType([rows.schema[key], StructField("term", StringType()), StructField("tf", IntegerType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _slices(batch, 1):
+                row, term, tf, names = _counted(part.column(1))
+                columns = [part.column(0).take(pa.array(row)), names.take(pa.array(term)), pa.array(tf, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, out.names)
+
+    return rows.mapInArrow(run, out)
+
+
+def term_totals(df: DataFrame, text: str) -> DataFrame:
+    """``(term, df, total)``: in how many rows and how often each term occurs.
+
+    Terms are counted for many rows at a time before they are shuffled.
+    """
+    rows = with_tokens(df.select(text), text, "_tokens").select("_tokens")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _slices(batch, 0):
+                _, term, tf, names = _counted(part.column(0))
+                often = [np.bincount(term, minlength=len(names)), np.bincount(term, tf, len(names)).astype(np.int64)]
+                yield pa.RecordBatch.from_arrays([names, *map(pa.array, often)], ["term", "df", "total"])
+
+    partial = rows.mapInArrow(run, "term string, df long, total long")
+    return partial.groupBy("term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -55,27 +56,25 @@ SCRIPT_STARTS = [
 SCRIPTS = sorted({name for _, name in SCRIPT_STARTS})
 
 _P1, _P2, _P3 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D)
-_TABLES: list[np.ndarray] = []
 
 
+@lru_cache(maxsize=1)
 def _characters() -> tuple[np.ndarray, np.ndarray]:
     """For each code point: its script's number plus one if it is a letter or mark (negative for marks), else 0; and its lower case."""
-    if not _TABLES:
-        size = 0x32400
-        kinds, lower = np.zeros(size + 1, np.int8), np.arange(size + 1, dtype=np.uint32)
-        starts = [s for s, _ in SCRIPT_STARTS]
-        numbers = np.array([SCRIPTS.index(name) + 1 for _, name in SCRIPT_STARTS], np.int8)
-        script = numbers[np.searchsorted(starts, np.arange(size + 1), side="right") - 1]
-        for point in range(size):
-            char = chr(point)
-            if char.isalpha():
-                kinds[point] = script[point]
-                if len(small := char.lower()) == 1:
-                    lower[point] = ord(small)
-            elif point >= 0x300 and unicodedata.category(char)[0] == "M":
-                kinds[point] = -script[point]
-        _TABLES.extend([kinds, lower])
-    return _TABLES[0], _TABLES[1]
+    size = 0x32400
+    kinds, lower = np.zeros(size + 1, np.int8), np.arange(size + 1, dtype=np.uint32)
+    starts = [s for s, _ in SCRIPT_STARTS]
+    numbers = np.array([SCRIPTS.index(name) + 1 for _, name in SCRIPT_STARTS], np.int8)
+    script = numbers[np.searchsorted(starts, np.arange(size + 1), side="right") - 1]
+    for point in range(size):
+        char = chr(point)
+        if char.isalpha():
+            kinds[point] = script[point]
+            if len(small := char.lower()) == 1:
+                lower[point] = ord(small)
+        elif point >= 0x300 and unicodedata.category(char)[0] == "M":
+            kinds[point] = -script[point]
+    return kinds, lower
 
 
 class Words:
@@ -85,8 +84,8 @@ class Words:
     are the hashes of all words' triples, ``first`` is where each word's begin.
     """
 
-    def __init__(self, texts: list[str | None]):
-        kinds, lower = _characters()
+    def __init__(self, texts: list[str | None], characters: tuple[np.ndarray, np.ndarray] | None = None):
+        kinds, lower = characters or _characters()
         whole = [t or "" for t in texts]
         lengths = np.array([len(t) for t in whole], np.int64)
         # One separator after each text keeps words apart.
@@ -151,6 +150,8 @@ class LanguageModel:
     def __init__(self, languages: list[str], triples: np.ndarray, scripts: np.ndarray):
         """``triples`` (languages x 2^16) and ``scripts`` (languages x scripts) are counts."""
         self.languages = languages
+        # Made once, here, and not by each task.
+        self.characters = _characters()
         if not languages:
             return
         share = triples / np.maximum(triples.sum(axis=1, keepdims=True), 1)
@@ -221,7 +222,7 @@ def decode(model: LanguageModel, texts: list[str | None], switch: float = SWITCH
     """For each text: its language, a score from 0 to 1, and its spans (start, end, language)."""
     for start, end in chunks(texts):
         part = texts[start:end]
-        words = Words(part)
+        words = Words(part, model.characters)
         if not len(words) or not model.languages:
             yield from ((UNKNOWN, 0.0, []) for _ in part)
             continue
@@ -260,6 +261,8 @@ def learn(texts: DataFrame, table_bytes: int = TABLE_BYTES) -> LanguageModel:
     Every text counts, whole. Languages whose scores together exceed ``table_bytes`` are refused.
     """
 
+    characters = texts.sparkSession.sparkContext.broadcast(_characters())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
         size = 1 << BITS
@@ -278,7 +281,7 @@ def learn(texts: DataFrame, table_bytes: int = TABLE_BYTES) -> LanguageModel:
         for batch in batches:
             found_texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for start, end in chunks(found_texts):
-                words = Words(found_texts[start:end])
+                words = Words(found_texts[start:end], characters.value)
                 if not len(words):
                     continue
                 part = langs[start:end]

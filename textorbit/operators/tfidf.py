@@ -10,7 +10,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from textorbit.functions.terms import counted_terms, with_terms
+from textorbit.functions.terms import term_counts as counted_terms
+from textorbit.functions.terms import term_totals, terms_of, with_tokens
 
 MAX_FEATURES, MIN_DF, MAX_DF = 50_000, 3, 0.85
 
@@ -24,13 +25,12 @@ SPARSE_ROW = StructType(
 
 def term_counts(docs: DataFrame, text: str = "text", key: str = "id") -> DataFrame:
     """``(key, term, tf)``; row-local, no shuffle."""
-    return counted_terms(with_terms(docs.select(key, text), text), "terms", [key])
+    return counted_terms(docs, text, key)
 
 
 def fit_vocab(
     docs: DataFrame,
     text: str = "text",
-    key: str = "id",
     max_features: int = MAX_FEATURES,
     min_df: int = MIN_DF,
     max_df: float = MAX_DF,
@@ -42,9 +42,7 @@ def fit_vocab(
     ``max_features`` rows; ``term_id`` follows the alphabet.
     """
     n_docs = docs.agg(F.count("*").cast("double")).scalar()
-    counts = term_counts(docs, text, key).groupBy("term").agg(
-        F.count("*").alias("df"), F.sum("tf").alias("total")
-    )
+    counts = term_totals(docs, text)
     kept = counts.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n_docs))
     top = kept.orderBy(F.desc("total"), "term").limit(max_features)
     return top.select(
@@ -61,8 +59,8 @@ def collect_vocab(vocab: DataFrame) -> pa.Table:
     return vocab.select("term", "term_id", "df", "total", "idf").orderBy("term_id").toArrow()
 
 
-def sparse_row(terms: Column | str, vocab: pa.Table) -> Column:
-    """Unit-length TF-IDF weights of a row's terms: ``(1 + ln tf) * idf``, then L2.
+def sparse_row(tokens: Column | str, vocab: pa.Table) -> Column:
+    """Unit-length TF-IDF weights of the terms of a row's tokens: ``(1 + ln tf) * idf``, then L2.
 
     Looks the terms up where the row is, in the shipped vocabulary, so no row per
     (document, term) is shuffled. Unknown terms drop out; a row without known terms
@@ -75,15 +73,15 @@ def sparse_row(terms: Column | str, vocab: pa.Table) -> Column:
     def weigh(arrays: pa.Array) -> pa.Array:
         return _weigh(arrays, names, idf)
 
-    return weigh(terms)
+    return weigh(tokens)
 
 
 def _weigh(arrays: pa.Array, names: pa.Array, idf: np.ndarray) -> pa.Array:
     n_rows, n_terms = len(arrays), max(len(names), 1)
-    row = pc.list_parent_indices(arrays).to_numpy()
-    term = pc.fill_null(pc.index_in(arrays.flatten(), value_set=names), -1).to_numpy()
+    row, terms = terms_of(arrays)
+    term = pc.fill_null(pc.index_in(terms, value_set=names), -1).to_numpy()
     known = term >= 0
-    cell, tf = np.unique(row[known].astype(np.int64) * n_terms + term[known], return_counts=True)
+    cell, tf = np.unique(row[known] * n_terms + term[known], return_counts=True)
     row, term = cell // n_terms, (cell % n_terms).astype(np.int32)
     weight = (1.0 + np.log(tf)) * idf[term]
     norm = np.sqrt(np.bincount(row, weight * weight, minlength=n_rows))
@@ -103,7 +101,7 @@ def sparse_rows(
     docs: DataFrame, vocab: pa.Table, text: str = "text", keep: tuple[str, ...] = ("id",)
 ) -> DataFrame:
     """``(*keep, term_ids, weights)``, one row per document."""
-    rows = with_terms(docs.select(*keep, text), text).select(*keep, sparse_row("terms", vocab).alias("r"))
+    rows = with_tokens(docs.select(*keep, text), text).select(*keep, sparse_row("tokens", vocab).alias("r"))
     return rows.select(*keep, "r.term_ids", "r.weights")
 
 
