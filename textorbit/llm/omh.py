@@ -481,8 +481,11 @@ def near_links(
     first: int = FIRST,
     block: int = BLOCK_TEXTS,
     offered: tuple[int, ...] = OFFERED,
-) -> DataFrame:
-    """Verified links between different texts, enough to join each class: a, b (keys of texts), similarity."""
+) -> tuple[DataFrame, DataFrame]:
+    """Verified links between different texts, enough to join each class: a, b (keys of texts), similarity.
+
+    Also the classes that they make: key, least (``components``); texts without a link have none.
+    """
     texts = stage(text_sketches(docs, sketches, kept, k), "sketches")
     members = _unpacked(texts, first)
     buckets = members.groupBy("bucket").agg(F.min("key").alias("least"), F.count("*").alias("size")).filter("size > 1")
@@ -492,34 +495,40 @@ def near_links(
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         return stage(align_pairs(stage(_allowed_pairs(pairs, counts, similarity), f"{name}-pairs"), docs, similarity), f"{name}-links")
 
-    # Each member with its bucket's least, for the first sketches; these join most copies.
-    stars = members.filter("early AND key <> least").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct()
-    links = verified(stars, "star")
+    def torn(members: DataFrame, labels: DataFrame) -> DataFrame:
+        """Those of ``members`` (bucket, key, size) whose bucket holds texts of more than one class, with their classes.
 
-    def left_over() -> DataFrame:
-        """Members of buckets that hold texts of more than one class, with their classes."""
-        labels = components(links)
+        Classes only grow, so a bucket of one class is done with for good.
+        """
         rows = salted_join(members.select("bucket", "key", "size"), labels, "key", "left").select(
             "bucket", "key", "size", F.coalesce("least", "key").alias("class")
         )
-        torn = rows.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x <> y").select("bucket")
-        return stage(rows.join(torn, "bucket"), "torn-buckets")
+        apart = rows.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x <> y").select("bucket")
+        return stage(rows.join(apart, "bucket"), "torn-buckets")
+
+    # Each member with its bucket's least, for the first sketches; these join most copies.
+    stars = members.filter("early AND key <> least").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct()
+    links = verified(stars, "star")
+    labels = components(links)
+    members = torn(members, labels)
 
     # One text of each class of a bucket with one of its first class, the least ones, then the greatest.
     for extreme in (F.min, F.max)[:CLASS_ROUNDS]:
-        heads = left_over().groupBy("bucket", "class").agg(extreme("key").alias("key"))
+        heads = members.groupBy("bucket", "class").agg(extreme("key").alias("key"))
         lead = heads.groupBy("bucket").agg(F.min(F.struct("class", "key")).alias("lead")).select("bucket", F.col("lead.key").alias("lead"))
         pairs = salted_join(heads, lead, "bucket").filter("key <> lead")
         pairs = pairs.select(F.col("lead").alias("a"), F.col("key").alias("b")).distinct()
         more = verified(pairs, "class")
-        links = links.unionByName(more)
         if more.isEmpty():
             break
+        links = links.unionByName(more)
+        labels = components(links)
+        members = torn(members, labels)
 
     # What is still apart meets in blocks.
     cut: DataFrame | None = None
     for most in offered:
-        rows = left_over().join(counts, "key")
+        rows = members.join(counts, "key")
         parts = F.ceil(F.col("size") / block).cast("int")
         rows = rows.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -529,16 +538,20 @@ def near_links(
             rows = rows.join(cut, ["bucket", "i", "j"], "left_semi")
         found = stage(block_candidates(rows, similarity, most), "block-pairs")
         pairs = found.filter("a IS NOT NULL").select("a", "b").distinct()
-        links = links.unionByName(stage(align_pairs(stage(pairs, "different-pairs"), docs, similarity), "block-links"))
+        more = stage(align_pairs(stage(pairs, "different-pairs"), docs, similarity), "block-links")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            labels = components(links)
+            members = torn(members, labels)
         cut = stage(found.filter("a IS NULL").select("bucket", "i", "j").distinct(), "cut-blocks")
         if cut.isEmpty():
             break
-    return links
+    return links, labels
 
 
 def _allowed_pairs(pairs: DataFrame, counts: DataFrame, similarity: float) -> DataFrame:
     """Those of ``pairs`` (a, b) whose word counts and bags allow the similarity."""
-    pairs = salted_join(pairs, counts.toDF("a", "n_a", "bag_a"), "a").join(counts.toDF("b", "n_b", "bag_b"), "b")
+    pairs = pairs.join(counts.toDF("a", "n_a", "bag_a"), "a").join(counts.toDF("b", "n_b", "bag_b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -555,7 +568,7 @@ def _text_classes(docs: DataFrame, similarity: float, settings: dict) -> DataFra
 
     Only texts with a link are grouped and joined; each other text is a class of its own.
     """
-    labels = components(near_links(docs, similarity, **settings))
+    _, labels = near_links(docs, similarity, **settings)
     ids = docs.filter(F.col("text").isNotNull()).select("doc_id", text_key(F.col("text")).alias("key"))
     ids = stage(ids.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")).join(labels, "key", "left"), "texts")
     linked = ids.filter("least IS NOT NULL").withColumnRenamed("least", "root")
