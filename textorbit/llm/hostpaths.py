@@ -10,8 +10,11 @@ all pages sends few rows; chosen paths meet pages by host and a salt.
 
 from __future__ import annotations
 
+import hashlib
 import html as htmllib
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -53,13 +56,77 @@ OTHER_WORDS = frozenset(
     "toolbar topbar widget widgets".split()
 )
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>|<[!?/][^>]*>", re.DOTALL
-)
+# A tag up to its end, quoted values whole; nothing is given back, so a failure looks at a character once.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>\"']*+(?:\"[^\"]*+\"[^>\"']*+|'[^']*+'[^>\"']*+)*+)>")
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_STOP = re.compile(r"[>\"']")
 _ATTR = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 _RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.IGNORECASE) for t in RAW}
 _DIGITS = re.compile(r"[0-9]+")
 _WORD = re.compile(r"[a-z]+")
+# Longer paths stand as a digest, so that deep nesting stays small.
+PATH_CHARS = 2000
+
+
+class Tags:
+    """The tags of a page, forward only.
+
+    A ``<`` that no ``>`` outside quotes ends is text. Such a search runs over the rest of the page; where
+    one has passed, from the end of one quoted value to that of the next, no other goes again, so
+    that a page full of broken tags is read in time that grows with its length.
+    """
+
+    def __init__(self, text: str):
+        self.text, self.last = text, text.rfind(">")
+        self.stops: list[int] | None = None
+        self.failed: set[int] = set()
+
+    def next(self, at: int) -> tuple[int, int, bool, str | None, str] | None:
+        """Start and end of the next tag from ``at``, whether it closes, its name (None: comment or
+        declaration) and attributes."""
+        text = self.text
+        while True:
+            start = text.find("<", at)
+            if start < 0:
+                return None
+            if text.startswith("<!--", start):
+                end = text.find("-->", start + 4)
+                return start, len(text) if end < 0 else end + 3, False, None, ""
+            if start > self.last:
+                # Without another end only a comment can follow.
+                start = text.find("<!--", start)
+                return None if start < 0 else self.next(start)
+            if self.stops is None:
+                found = _TAG.match(text, start)
+                if found:
+                    return start, found.end(), bool(found[1]), found[2].lower(), found[3]
+            name = _NAME.match(text, start)
+            end = self._end(name.end()) if name else None
+            if end is not None:
+                return start, end + 1, bool(name[1]), name[2].lower(), text[name.end() : end]
+            if text[start + 1 : start + 2] in ("!", "?", "/"):
+                return start, text.index(">", start) + 1, False, None, ""
+            at = start + 1
+
+    def _end(self, at: int) -> int | None:
+        """The next ``>`` outside quotes, looked up among the places of ends and quotes."""
+        if self.stops is None:
+            found = [m.start() for m in _STOP.finditer(self.text)]
+            self.stops, self.next_same, later = found, [-1] * len(found), {}
+            for i in range(len(found) - 1, -1, -1):
+                sign = self.text[found[i]]
+                self.next_same[i] = later.get(sign, -1)
+                later[sign] = i
+        i, passed = bisect_left(self.stops, at), []
+        while i < len(self.stops) and i not in self.failed:
+            if self.text[self.stops[i]] == ">":
+                return self.stops[i]
+            passed.append(i)
+            if self.next_same[i] < 0:
+                break
+            i = self.next_same[i] + 1
+        self.failed.update(passed)
+        return None
 
 
 class Page:
@@ -81,6 +148,23 @@ class Page:
         stack: list[tuple[str, int, bool]] = [("", 0, False)]  # tag, container, other matter
         words: list[str] = []
         linked, in_link, at = 0, 0, 0
+        tags, last = Tags(text), text.rfind(">")
+        open_: Counter[str] = Counter()  # tags on the stack
+
+        def pop() -> None:
+            open_[stack.pop()[0]] -= 1
+
+        def close(names: frozenset, bounds: frozenset) -> None:
+            """Close an open element of ``names`` with all that is in it, but not beyond ``bounds``."""
+            if not any(open_[n] for n in names):
+                return
+            for place in range(len(stack) - 1, 0, -1):
+                if stack[place][0] in names:
+                    while len(stack) > place:
+                        pop()
+                    return
+                if stack[place][0] in bounds or stack[place][0] in SKIPPED:
+                    return
 
         def flush() -> None:
             nonlocal linked
@@ -94,18 +178,17 @@ class Page:
             linked = 0
 
         while True:
-            found = _TAG.search(text, at)
-            piece = text[at : found.start() if found else len(text)]
+            found = tags.next(at)
+            piece = text[at : found[0] if found else len(text)]
             if piece and not stack[-1][2]:
                 words.append(piece)
                 if in_link:
                     linked += len(piece)
             if not found:
                 break
-            at = found.end()
-            if found[2] is None:
+            _, at, closing, tag, attrs = found
+            if tag is None:
                 continue
-            tag, closing = found[2].lower(), bool(found[1])
             if tag == "a":
                 in_link = 0 if closing else 1
             if tag == "br":
@@ -119,20 +202,19 @@ class Page:
             if closing:
                 if tag in INLINE and not any(s[0] == tag for s in stack[-3:]):
                     continue
-                if any(s[0] == tag for s in stack):
+                if open_[tag]:
                     if tag not in INLINE:
                         flush()
                     while stack[-1][0] != tag:
-                        stack.pop()
-                    stack.pop()
+                        pop()
+                    pop()
                 elif tag == "p":
                     flush()
                 continue
             if tag in RAW:
-                end = _RAW_END[tag].search(text, at)
+                end = _RAW_END[tag].search(text, at, last + 1) if at <= last else None
                 at = end.end() if end else len(text)
                 continue
-            attrs = found[3]
             marked = bool(attrs) and tag not in SKIPPED and self._other(attrs)
             hides = tag in SKIPPED or (marked and tag not in CONTAINERS and tag != "html")
             other = stack[-1][2] or hides
@@ -140,15 +222,16 @@ class Page:
                 # Inline tags matter only where they hide what is in them.
                 if other and not stack[-1][2]:
                     stack.append((tag, stack[-1][1], True))
+                    open_[tag] += 1
                 continue
             flush()
             if stack[-1][0] == "p" and tag not in ("p",) or tag == "p":
-                self._close(stack, frozenset(["p"]), CONTAINERS)
+                close(frozenset(["p"]), CONTAINERS)
                 other = stack[-1][2] or hides
             elif tag in CLOSED_BY:
-                self._close(stack, CLOSED_BY[tag], frozenset(["ul", "ol", "dl", "table"]))
+                close(CLOSED_BY[tag], frozenset(["ul", "ol", "dl", "table"]))
                 other = stack[-1][2] or hides
-            if found[3].endswith("/") and tag not in CONTAINERS and tag != "p":
+            if attrs.endswith("/") and tag not in CONTAINERS and tag != "p":
                 continue
             holder = stack[-1][1]
             if tag in CONTAINERS and not other:
@@ -156,22 +239,31 @@ class Page:
                 self.parents.append(holder)
                 self.tags.append(tag)
                 self.names.append(name)
-                self.paths.append(f"{self.paths[holder]}>{name}" if self.paths[holder] else name)
+                path = f"{self.paths[holder]}>{name}" if self.paths[holder] else name
+                if len(path) > PATH_CHARS:
+                    path = "#" + hashlib.sha256(path.encode("utf-8", "surrogatepass")).hexdigest()
+                self.paths.append(path)
                 holder = len(self.parents) - 1
                 if marked and tag in MARKABLE:
                     self.marked.add(holder)
             stack.append((tag, holder, other))
+            open_[tag] += 1
         flush()
 
     def _drop_marked(self) -> None:
         """Drop what stands in marked containers, but not in one that has most of the page's running
         text and all its h1: that is a wrapper, named after a part of it or of the layout."""
         under = self._running(1.0)
+        heads = [0] * len(self.parents)
+        for node in self.heads:
+            heads[node] += 1
+        for node in range(len(heads) - 1, 0, -1):
+            heads[self.parents[node]] += heads[node]
         out = [False] * len(self.parents)
         for node in range(1, len(out)):
             out[node] = out[self.parents[node]]
             if node in self.marked and not out[node]:
-                out[node] = not (2 * under[node] > under[0] and all(node in self._above(h) for h in self.heads))
+                out[node] = not (2 * under[node] > under[0] and heads[node] == len(self.heads))
         self.blocks = [b for b in self.blocks if not out[b[0]]]
         self.heads = [h for h in self.heads if not out[h]]
 
@@ -193,16 +285,6 @@ class Page:
                 return around[-1]
         return next((a for a in above if a in self.heads and self.tags[a] != "body"), node)
 
-    @staticmethod
-    def _close(stack: list, tags: frozenset, bounds: frozenset) -> None:
-        """Close an open element of ``tags`` with all that is in it, but not beyond ``bounds``."""
-        for at in range(len(stack) - 1, 0, -1):
-            if stack[at][0] in tags:
-                del stack[at:]
-                return
-            if stack[at][0] in bounds or stack[at][0] in SKIPPED:
-                return
-
     @staticmethod
     def _attributes(attrs: str) -> Iterator[tuple[str, str]]:
         for found in _ATTR.finditer(attrs):
