@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from textorbit.llm.common import slices, table, text_key, without
 from textorbit.llm.decontaminate import words_of
-from textorbit.session import stage
+from textorbit.session import stage, unstage
 
 K = 3
 # With a fifth of the words replaced at random, three-word similarity is 0.34, a sketch of two agrees
@@ -297,18 +297,20 @@ def texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
     bits = 1 << 16
     while bits < min(FILTER_BITS, 16 * keys.count()):
         bits *= 2
-    place = F.pmod(F.xxhash64("key"), F.lit(bits))
+    # Neither key nor place can be null, and Spark is told so: it would test both beforehand, hashing texts again.
+    place = F.coalesce(F.pmod(F.xxhash64("key"), F.lit(bits)), F.lit(0))
     # Shifts of a long count modulo 64.
     marks = keys.select(F.shiftright(place, 6).alias("cell"), F.expr("shiftleft(1L, int(xxhash64(key) & 63))").alias("bit"))
     cells = F.broadcast(marks.groupBy("cell").agg(F.bit_or("bit").alias("bits")))
-    rows = docs.filter(F.col("text").isNotNull()).select(text_key(F.col("text")).alias("key"), "text")
+    rows = docs.filter(F.col("text").isNotNull()).select(F.coalesce(text_key(F.col("text")), F.lit(b"")).alias("key"), "text")
     rows = rows.withColumn("cell", F.shiftright(place, 6)).join(cells, "cell")
     rows = rows.filter(F.expr("bits & shiftleft(1L, int(xxhash64(key) & 63)) <> 0")).select("key", "text")
-    return rows.join(keys.hint("merge"), "key", "left_semi").dropDuplicates(["key"])
+    # An inner join: a semi join would be pushed below that with the bit map.
+    return rows.join(keys.hint("merge"), "key").dropDuplicates(["key"])
 
 
 def align_pairs(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """Links among ``pairs`` (a, b; keys of texts of ``docs``): edit similarity of their words at least ``similarity``.
+    """Links among ``pairs`` (a, b; keys of texts of ``docs``): edit similarity of their words at least ``similarity``; staged.
 
     A text is joined once for each pair; pairs of one ``a`` stand together, so its words are made once.
     """
@@ -344,7 +346,9 @@ def align_pairs(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFra
                 types = (pa.binary(), pa.binary(), pa.float64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["a", "b", "similarity"])
 
-    return rows.mapInArrow(run, schema)
+    links = stage(rows.mapInArrow(run, schema), "aligned")
+    unstage(keys, texts)
+    return links
 
 
 def salted_join(rows: DataFrame, keyed: DataFrame, on: str, how: str = "inner", salt: int = SALT) -> DataFrame:
@@ -363,14 +367,17 @@ def components(links: DataFrame) -> DataFrame:
     """
     both = stage(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
     labels = stage(both.groupBy(F.col("a").alias("key")).agg(F.min("b").alias("b")).select("key", F.least("key", "b").alias("least")), "labels")
+    before = labels
     while True:
         near = salted_join(both.select("a", F.col("b").alias("key")), labels, "key").groupBy("a").agg(F.min("least").alias("near"))
         taken = labels.join(near, labels["key"] == near["a"], "left").select("key", F.least("least", "near").alias("new"), F.col("least").alias("old"))
         jump = labels.select(F.col("key").alias("new"), F.col("least").alias("beyond"))
         taken = salted_join(taken, jump, "new", "left").select("key", F.least("new", "beyond").alias("least"), "old")
         taken = stage(taken, "labels")
-        labels = taken.select("key", "least")
+        unstage(before)
+        before, labels = taken, taken.select("key", "least")
         if taken.filter("least <> old").isEmpty():
+            unstage(both)
             return labels
 
 
@@ -493,7 +500,7 @@ def near_links(
     counts = texts.select("key", "n", "bag")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        return stage(align_pairs(stage(_allowed_pairs(pairs, counts, similarity), f"{name}-pairs"), docs, similarity), f"{name}-links")
+        return align_pairs(stage(_allowed_pairs(pairs, counts, similarity), f"{name}-pairs"), docs, similarity)
 
     def torn(members: DataFrame, labels: DataFrame) -> DataFrame:
         """Those of ``members`` (bucket, key, size) whose bucket holds texts of more than one class, with their classes.
@@ -504,7 +511,9 @@ def near_links(
             "bucket", "key", "size", F.coalesce("least", "key").alias("class")
         )
         apart = rows.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x <> y").select("bucket")
-        return stage(rows.join(apart, "bucket"), "torn-buckets")
+        found = stage(rows.join(apart, "bucket"), "torn-buckets")
+        unstage(members)
+        return found
 
     # Each member with its bucket's least, for the first sketches; these join most copies.
     stars = members.filter("early AND key <> least").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct()
@@ -538,7 +547,7 @@ def near_links(
             rows = rows.join(cut, ["bucket", "i", "j"], "left_semi")
         found = stage(block_candidates(rows, similarity, most), "block-pairs")
         pairs = found.filter("a IS NOT NULL").select("a", "b").distinct()
-        more = stage(align_pairs(stage(pairs, "different-pairs"), docs, similarity), "block-links")
+        more = align_pairs(stage(pairs, "different-pairs"), docs, similarity)
         if not more.isEmpty():
             links = links.unionByName(more)
             labels = components(links)
