@@ -1,6 +1,6 @@
 """Near-duplicate documents by Order MinHash.
 
-A text's k-mers are runs of five words, labelled with their number of occurrence. Each of several
+A text's k-mers are runs of three words, labelled with their number of occurrence. Each of several
 sketches takes the few k-mers with the smallest hashes and keeps them in the order in which they
 stand in the text; two texts agree in a sketch if both the k-mers and their order are the same,
 which becomes likely as their edit similarity does. Candidates that agree in a sketch, and whose
@@ -8,8 +8,8 @@ word counts allow it, are verified by a banded alignment of their words: a link
 
 Equal texts are one text from the start. Candidates come first and from small rows alone: keys, word counts and bags
 of words. A bucket, that is, the texts which agree in a sketch, offers each text with its least one for a few
-sketches, so a bucket of any size makes as many pairs as it has members; then, for all sketches, one text of each
-of its classes with one of its first class. What is still apart meets in blocks of bounded size, where each
+sketches, so a bucket of any size makes as many pairs as it has members; then, for all sketches, the least and
+the greatest text of each of its classes with those of its first class. What is still apart meets in blocks of bounded size, where each
 text offers the nearest texts of other classes that counts and bags allow, more of them in a further round while any
 were left out. Each different pair is then joined with its two texts, once, and aligned. Classes are
 the connected components of the links.
@@ -45,8 +45,6 @@ SIMILARITY = 0.8
 # Texts of a block's half; partners that a text offers in a block, by round: the last offers all.
 BLOCK_TEXTS = 512
 OFFERED = (8, 64, BLOCK_TEXTS)
-# Rounds of comparing one text a class in buckets of all sketches.
-CLASS_ROUNDS = 2
 # Joins on a key that many rows may share deal it to so many tasks.
 SALT = 8
 HOT = 10_000
@@ -521,15 +519,14 @@ def near_links(
     labels = components(links)
     members = torn(members, labels)
 
-    # One text of each class of a bucket with one of its first class, the least ones, then the greatest.
-    for extreme in (F.min, F.max)[:CLASS_ROUNDS]:
-        heads = members.groupBy("bucket", "class").agg(extreme("key").alias("key"))
-        lead = heads.groupBy("bucket").agg(F.min(F.struct("class", "key")).alias("lead")).select("bucket", F.col("lead.key").alias("lead"))
-        pairs = salted_join(heads, lead, "bucket").filter("key <> lead")
-        pairs = pairs.select(F.col("lead").alias("a"), F.col("key").alias("b")).distinct()
-        more = verified(pairs, "class")
-        if more.isEmpty():
-            break
+    # The least and the greatest text of each class of a bucket with those of its first class.
+    heads = members.groupBy("bucket", "class").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    lead = heads.groupBy("bucket").agg(F.min(F.struct("class", "low", "high")).alias("lead"))
+    lead = lead.select("bucket", F.col("lead.class").alias("first"), F.col("lead.low").alias("low_lead"), F.col("lead.high").alias("high_lead"))
+    pairs = salted_join(heads, lead, "bucket").filter("class <> first")
+    ends = F.explode(F.array(F.struct(F.col("low_lead").alias("a"), F.col("low").alias("b")), F.struct(F.col("high_lead").alias("a"), F.col("high").alias("b"))))
+    more = verified(pairs.select(ends.alias("p")).select("p.a", "p.b").distinct(), "class")
+    if not more.isEmpty():
         links = links.unionByName(more)
         labels = components(links)
         members = torn(members, labels)
@@ -548,12 +545,13 @@ def near_links(
         found = stage(block_candidates(rows, similarity, most), "block-pairs")
         pairs = found.filter("a IS NOT NULL").select("a", "b").distinct()
         more = align_pairs(stage(pairs, "different-pairs"), docs, similarity)
+        cut = stage(found.filter("a IS NULL").select("bucket", "i", "j").distinct(), "cut-blocks")
+        done = cut.isEmpty()
         if not more.isEmpty():
             links = links.unionByName(more)
             labels = components(links)
-            members = torn(members, labels)
-        cut = stage(found.filter("a IS NULL").select("bucket", "i", "j").distinct(), "cut-blocks")
-        if cut.isEmpty():
+            members = members if done else torn(members, labels)
+        if done:
             break
     return links, labels
 
