@@ -46,8 +46,10 @@ SIMILARITY = 0.8
 BLOCK_TEXTS = 512
 OFFERED = (8, 64, BLOCK_TEXTS)
 # Joins on a key that many rows may share deal it to so many tasks.
-SALT = 8
+SALT = 4
 HOT = 10_000
+# Tables of keys of at most so many rows, some 50 bytes each, are broadcast to what they are joined with.
+FEW = 100_000
 # Bits of the filter that keeps texts of no candidate from being shuffled: 16 a text, so many at most.
 FILTER_BITS = 1 << 25
 # Words are counted in so many bins, by their hash, to bound the edits between texts from below.
@@ -289,9 +291,12 @@ def _unpacked(texts: DataFrame, first: int) -> DataFrame:
 def texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """The text of each of the different ``keys``: key, text.
 
-    A bit map of the keys' hashes, broadcast in cells of 64 bits and of bounded size, drops most
-    other texts before the shuffle.
+    Few keys are broadcast. Of more, a bit map of their hashes, broadcast in cells of 64 bits and of bounded
+    size, drops most other texts before the shuffle.
     """
+    rows = docs.filter(F.col("text").isNotNull()).select(F.coalesce(text_key(F.col("text")), F.lit(b"")).alias("key"), "text")
+    if few(keys):
+        return rows.join(F.broadcast(keys), "key").dropDuplicates(["key"])
     bits = 1 << 16
     while bits < min(FILTER_BITS, 16 * keys.count()):
         bits *= 2
@@ -300,7 +305,6 @@ def texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
     # Shifts of a long count modulo 64.
     marks = keys.select(F.shiftright(place, 6).alias("cell"), F.expr("shiftleft(1L, int(xxhash64(key) & 63))").alias("bit"))
     cells = F.broadcast(marks.groupBy("cell").agg(F.bit_or("bit").alias("bits")))
-    rows = docs.filter(F.col("text").isNotNull()).select(F.coalesce(text_key(F.col("text")), F.lit(b"")).alias("key"), "text")
     rows = rows.withColumn("cell", F.shiftright(place, 6)).join(cells, "cell")
     rows = rows.filter(F.expr("bits & shiftleft(1L, int(xxhash64(key) & 63)) <> 0")).select("key", "text")
     # An inner join: a semi join would be pushed below that with the bit map.
@@ -318,7 +322,8 @@ def align_pairs(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFra
         return docs.sparkSession.createDataFrame([], schema)
     texts = stage(texts_of(docs, keys), "pair-texts")
     a, b = texts.toDF("a", "text_a"), texts.toDF("b", "text_b")
-    rows = pairs.join(b.hint("merge"), "b").join(a.hint("merge"), "a").select("a", "b", "text_a", "text_b")
+    with_b = b.join(F.broadcast(pairs), "b") if few(pairs) else pairs.join(b.hint("merge"), "b")
+    rows = with_b.join(a.hint("merge"), "a").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -349,8 +354,18 @@ def align_pairs(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFra
     return links
 
 
+def few(keys: DataFrame, most: int = FEW) -> bool:
+    """Whether a table of keys, staged, may be broadcast."""
+    return keys.limit(most + 1).count() <= most
+
+
 def salted_join(rows: DataFrame, keyed: DataFrame, on: str, how: str = "inner", salt: int = SALT) -> DataFrame:
-    """``rows`` joined with ``keyed``, which has each key once, on column ``on``; rows of one key go to ``salt`` tasks."""
+    """``rows`` joined with ``keyed``, a staged table that has each key once, on column ``on``.
+
+    A small table is broadcast; with a larger one, rows of one key go to ``salt`` tasks.
+    """
+    if few(keyed):
+        return rows.join(F.broadcast(keyed), on, how)
     dealt = rows.withColumn("__salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salt)).cast("int"))
     copies = keyed.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     return dealt.join(copies, [on, "__salt"], how).drop("__salt")
@@ -493,8 +508,14 @@ def near_links(
     """
     texts = stage(text_sketches(docs, sketches, kept, k), "sketches")
     members = _unpacked(texts, first)
-    buckets = members.groupBy("bucket").agg(F.min("key").alias("least"), F.count("*").alias("size")).filter("size > 1")
-    members = stage(members.join(buckets, "bucket"), "shared-buckets")
+    buckets = members.groupBy("bucket").agg(
+        F.min("key").alias("least"), F.count("*").alias("size"), F.bool_or("early").alias("early"),
+        F.bit_xor(F.xxhash64("key")).alias("h1"), F.bit_xor(F.xxhash64("key", F.lit(7))).alias("h2"),
+    )
+    # Buckets of the same texts, as copies share most of theirs, are one: an early one if there is any.
+    one = F.min(F.struct(~F.col("early"), "bucket", "least", "early")).alias("one")
+    buckets = buckets.filter("size > 1").groupBy("h1", "h2", "size").agg(one).select("one.bucket", "one.least", "size", "one.early")
+    members = stage(members.drop("early").join(buckets, "bucket"), "shared-buckets")
     counts = texts.select("key", "n", "bag")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
@@ -523,7 +544,7 @@ def near_links(
     heads = members.groupBy("bucket", "class").agg(F.min("key").alias("low"), F.max("key").alias("high"))
     lead = heads.groupBy("bucket").agg(F.min(F.struct("class", "low", "high")).alias("lead"))
     lead = lead.select("bucket", F.col("lead.class").alias("first"), F.col("lead.low").alias("low_lead"), F.col("lead.high").alias("high_lead"))
-    pairs = salted_join(heads, lead, "bucket").filter("class <> first")
+    pairs = heads.join(lead, "bucket").filter("class <> first")
     ends = F.explode(F.array(F.struct(F.col("low_lead").alias("a"), F.col("low").alias("b")), F.struct(F.col("high_lead").alias("a"), F.col("high").alias("b"))))
     more = verified(pairs.select(ends.alias("p")).select("p.a", "p.b").distinct(), "class")
     if not more.isEmpty():
@@ -584,6 +605,7 @@ def _text_classes(docs: DataFrame, similarity: float, settings: dict) -> DataFra
         F.sum("copies").alias("class_size"),
         F.min(F.struct(F.col("first").isNull(), "first", "key"))["key"].alias("first_key"),
     )
+    classes = stage(classes, "class-sums")
     columns = [F.col("key").alias("__key"), "class_id", "class_size", (F.col("key") == F.col("first_key")).alias("__first"), "first", "copies"]
     found = salted_join(linked, classes, "root").select(*columns)
     alone = ids.filter("least IS NULL").withColumns({"class_id": F.col("first"), "class_size": F.col("copies"), "first_key": F.col("key")})
