@@ -81,7 +81,8 @@ def check(cache, x, centers, max_size, cuts=()):
 @pytest.mark.parametrize("max_size,rows,cuts", [(500, 4096, [80]), (7, 9, [80]), (10, 4096, [1, 30, 80])])
 def test_equals_the_loop(spark, monkeypatch, max_size, rows, cuts):
     """One block or many, with and without eviction, in one batch or several."""
-    monkeypatch.setattr(ca.matches, "__defaults__", (None, False, rows))
+    monkeypatch.setattr(ca.matches, "__defaults__", (False, rows))
+    monkeypatch.setattr(ca.neighbours, "__defaults__", (2 if rows < 10 else ca.EDGES, rows))
     centers, x = make_log(80, max_size)
     cache = ca.SemanticCache(spark, centers, kappa=KAPPA, threshold=THETA, max_size=max_size)
     start = 0
@@ -91,6 +92,37 @@ def test_equals_the_loop(spark, monkeypatch, max_size, rows, cuts):
     check(cache, x, centers, max_size, cuts)
 
 
+@pytest.mark.parametrize("edges", [1, 64])
+def test_chain_of_queries(spark, monkeypatch, edges):
+    """Each of 50 queries is close to the one before only: every second is a hit; then a ball whose edges do not fit."""
+    monkeypatch.setattr(ca.neighbours, "__defaults__", (edges, ca.BLOCK_ROWS))
+    angle = np.arange(50) * 0.6
+    chain = np.zeros((50, D))
+    # A slow climb keeps far turns apart.
+    chain[:, 0], chain[:, 1], chain[:, 2] = np.cos(angle), np.sin(angle), 0.02 * np.arange(50)
+    ball = np.zeros((20, D))
+    ball[:, 4], ball[:, 5] = 1.0, 0.3 * np.random.default_rng(5).standard_normal(20)
+    x = unit_rows(np.concatenate([chain, ball])).astype(np.float32)
+    # No query is nearer to one centre than to another: all lie in the first cluster.
+    centers = np.zeros((K, D))
+    centers[:, 7] = 1.0
+    cache = ca.SemanticCache(spark, centers, kappa=KAPPA, threshold=THETA)
+    cache.process(log_frame(spark, x))
+    check(cache, x, centers, 2048)
+
+
+def test_edges_are_the_oldest_and_say_when_they_are_cut(spark):
+    x = unit_rows(np.ones((9, D))).astype(np.float32)
+    rows = log_frame(spark, x).select(F.col("query_id").alias("seq"), "embedding", F.array(F.lit(0)).alias("clusters"))
+    entries = rows.select(F.col("seq").cast("string").alias("entry_id"), "embedding", F.lit(0).alias("hard_cluster"), F.col("seq").alias("born_seq"))
+    for block in (2, 100):
+        found = {r.seq: (r.earlier, r.cut) for r in ca.neighbours(rows, entries, 0.9, 3, block).collect()}
+        assert found == {n: (list(range(min(n, 3))), n > 3) for n in range(1, 9)}
+    # Clusters have their own cuts: of 9 queries and 9 entries in blocks of 2, five meet five.
+    left = ca._blocks(rows, entries, 2)
+    assert left._gd1._df.count() == left._gd2._df.count() == 45
+
+
 def test_stream_repeat_and_reopen(spark, tmp_path):
     centers, x = make_log(60, 1)
     for part, (a, b) in enumerate([(0, 25), (25, 60)]):

@@ -13,8 +13,9 @@ SF = "/root/testdata/sf0.001"
 COMPARED = [
     "clean_posts", "load_report", "dedup_first", "tfidf_weights", "valid_queries", "rejected_queries",
     "add_documents_dedup", "vector_topk_filtered", "doc_clusters", "kappa_select", "vmf_em_step", "cluster_profile",
-    "core_docs", "boundary_cases", "centroid_pairs", "silhouette", "gap_rule", "threshold_explore", "cache_lookup",
-    "cache_evicting", "cache_stream", "cache_peek",
+    "core_docs", "boundary_cases", "centroid_pairs", "silhouette", "gap_curve", "gap_rule", "threshold_explore", "cache_lookup",
+    "cache_evicting", "cache_stream", "cache_peek", "vmf_em_rounds", "kmeans_rounds", "profile_cells", "vector_topk_blocks",
+    "store_append", "lsa_axes", "lsa_axes_embeddings", "lsa_axes_search",
 ]
 
 

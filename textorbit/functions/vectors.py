@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 
 def to_matrix(vectors: pa.Array | pa.ChunkedArray, dims: int, dtype=np.float64) -> np.ndarray:
@@ -65,6 +66,36 @@ def from_bytes(column: pa.Array | pa.ChunkedArray, dims: int, dtype=np.float64)
     return np.frombuffer(data, dtype, len(column) * dims, first).reshape(-1, dims)
 
 
+def label_cells(rows: DataFrame, label: str, vector: str = "embedding") -> DataFrame:
+    """``(label, pos, n, s, q)``: count, sum and sum of squares of each label's vectors by dimension.
+
+    Vectors are added up for a batch of rows at a time, so what is shuffled is a row per label and
+    dimension of a batch, not one per number of every vector.
+    """
+    rows = with_vector(rows, vector).select(label, vector)
+    numbers = [StructField("pos", IntegerType()), StructField("n", LongType()), StructField("s", DoubleType()), StructField("q", DoubleType())]
+    out = StructType([rows.schema[label], *numbers])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            coded = batch.column(0).dictionary_encode(null_encoding="encode")
+            x = to_matrix(batch.column(1), len(batch.column(1)[0]))
+            codes = coded.indices.to_numpy()
+            order = np.argsort(codes, kind="stable")
+            x, codes = x[order], codes[order]
+            first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+            sums, squares = np.add.reduceat(x, first, axis=0), np.add.reduceat(x * x, first, axis=0)
+            dims, sizes = x.shape[1], np.diff(np.append(first, len(x)))
+            names = coded.dictionary.take(pa.array(np.repeat(codes[first], dims)))
+            columns = [np.tile(np.arange(dims, dtype=np.int32), len(first)), np.repeat(sizes, dims), sums.ravel(), squares.ravel()]
+            yield pa.RecordBatch.from_arrays([names, *map(pa.array, columns)], out.names)
+
+    cells = rows.mapInArrow(run, out).groupBy(label, "pos")
+    return cells.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"))
+
+
 SUMS = "key int, vec binary"
 
 MAX_DIRECT_BYTES = 16 << 20

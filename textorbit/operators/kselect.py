@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from textorbit.functions.vectors import SUMS, collect_sums, keyed_sums, to_lists, to_matrix, with_vector
+from textorbit.functions.vectors import SUMS, collect_sums, keyed_sums, label_cells, to_lists, to_matrix, with_vector
 from textorbit.operators.kmeans import Fit, best_fits, fit_many, lloyd_totals, seeded_sample
 from textorbit.session import stage
 
@@ -20,12 +20,7 @@ def calinski_harabasz(labelled: DataFrame, label: str = "label") -> DataFrame:
 
     Per-dimension sums per label are enough; they combine before the shuffle.
     """
-    cells = labelled.select(label, F.posexplode("embedding").alias("pos", "x")).withColumn(
-        "x", F.col("x").cast("double")
-    )
-    per_cell = cells.groupBy(label, "pos").agg(
-        F.count("*").alias("n"), F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q")
-    )
+    per_cell = label_cells(labelled, label)
     per_dim = per_cell.groupBy("pos").agg(
         F.sum("n").alias("n"),
         F.count("*").alias("k"),
@@ -182,12 +177,16 @@ def gap_table(
     points = sample.select("id", "embedding", F.lit(0).alias("dataset")).unionByName(references)
     fits = [Fit(k, seed + i, 100) for k in ks for i in range(3)]
     fits += [Fit(k, b, 50, dataset=b + 1) for k in ks for b in range(n_refs)]
-    best = best_fits(fit_many(points, fits))
+    return gap_rows(spark, best_fits(fit_many(points, fits)), ks, n_refs)
+
+
+def gap_rows(spark: SparkSession, fits: dict[tuple[int, int], Fit], ks, n_refs: int) -> DataFrame:
+    """``(k, gap, sk)`` from the inertia of each k on the vectors (data set 0) and on ``n_refs`` references."""
     rows = []
     for k in ks:
         # Fixed value: 1e-10 keeps the logarithm finite.
-        own = np.log(best[(0, k)].inertia + 1e-10)
-        refs = np.array([np.log(best[(b + 1, k)].inertia + 1e-10) for b in range(n_refs)])
+        own = np.log(fits[(0, k)].inertia + 1e-10)
+        refs = np.array([np.log(fits[(b + 1, k)].inertia + 1e-10) for b in range(n_refs)])
         rows.append((int(k), float(refs.mean() - own), float(np.sqrt(1 + 1 / n_refs) * refs.std())))
     return spark.createDataFrame(rows, "k int, gap double, sk double")
 

@@ -14,6 +14,7 @@ from textorbit.functions.vectors import (
     SUMS,
     collect_sums,
     keyed_sums,
+    label_cells,
     to_lists,
     to_matrix,
     unit_rows,
@@ -23,7 +24,9 @@ from textorbit.operators.kmeans import fit_kmeans
 from textorbit.operators.medians import exact_medians
 from textorbit.session import stage
 
+# Fixed value: the concentrations that are compared.
 KAPPAS = (5, 10, 15, 20, 30, 40, 50)
+MAX_LABELS = 1 << 16
 
 
 def softmax_rows(cosines: np.ndarray, kappa: float) -> np.ndarray:
@@ -97,19 +100,20 @@ def doc_clusters(assigned: DataFrame) -> DataFrame:
 def mean_directions(embeddings: DataFrame, label: str) -> tuple[list, np.ndarray]:
     """Sorted labels and the unit mean vector of each.
 
-    Summed per dimension in the JVM, combined before the shuffle, so one label may hold
-    most rows.
+    Summed for a batch of rows at a time and combined before the shuffle, so one label may hold
+    most rows. One vector a label reaches the driver, of at most ``MAX_LABELS`` labels.
     """
     sums = (
-        embeddings.select(label, F.posexplode("embedding"))
-        .groupBy(label, "pos")
-        .agg(F.sum(F.col("col").cast("double")).alias("s"))
+        label_cells(embeddings, label)
         .groupBy(label)
         .agg(F.array_sort(F.collect_list(F.struct("pos", "s"))).alias("v"))
         .select(label, F.transform("v", lambda x: x["s"]).alias("v"))
         .orderBy(label)
+        .limit(MAX_LABELS + 1)
         .toArrow()
     )
+    if sums.num_rows > MAX_LABELS:
+        raise ValueError(f"over {MAX_LABELS} labels")
     labels = sums.column(0).to_pylist()
     return labels, unit_rows(to_matrix(sums.column(1), len(sums.column(1)[0])))
 

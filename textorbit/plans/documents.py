@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textorbit.operators import corpus as co
+from textorbit.operators.lsa import LsaModel, fit_lsa
 from textorbit.operators import search as se
 from textorbit.operators import tfidf as ti
-from textorbit.plans import inputs
-from textorbit.session import spread, stage
+from textorbit.plans import engine, inputs
+from textorbit.session import new_path, spread, stage
+from textorbit.sources.store import append_documents
 
 
 def clean_posts(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,6 +124,29 @@ def add_documents_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return se.add_documents(docs, passages, None, dedup=True).select("id", "doc_id", "category", "n_tokens")
 
 
+def _stored(spark: SparkSession, sf: str, append: bool) -> DataFrame:
+    """Documents of a store written with a small model and read back, perhaps after an append, with all that is stored of them."""
+    path = new_path(spark, "store")
+    store = engine.build_store(spark, inputs.plain_posts(spark, sf), path, dims=8, n_iter=1)
+    if append:
+        passages = inputs.table(spark, sf, "benchmark").select("text", F.lit("benchmark").alias("category"))
+        store = append_documents(store, passages)
+    sizes = store.embeddings.select("id", "category", F.size("embedding").alias("dims")).distinct()
+    texts = store.texts.distinct().select("id", F.length("text").cast("long").alias("n_chars"))
+    index = store.category_index.select("id", "doc_id", "category")
+    rows = store.corpus.join(index, ["id", "doc_id", "category"], "left_semi").join(texts, "id").join(sizes, ["id", "category"])
+    return rows.select("id", "doc_id", "category", F.col("n_tokens").cast("long").alias("n_tokens"), "n_chars", F.col("dims").cast("long").alias("dims"))
+
+
+def store_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    return _stored(spark, sf, False)
+
+
+def store_append(spark: SparkSession, sf: str) -> DataFrame:
+    """The same after the benchmark's passages were appended to the store."""
+    return _stored(spark, sf, True)
+
+
 def lsa_fit(spark: SparkSession, sf: str) -> DataFrame:
     """Build corpus and space afresh; later queries of the session use the result."""
     space = inputs.text_space(spark, sf, refit=True)
@@ -154,12 +179,46 @@ def lsa_search_category(spark: SparkSession, sf: str) -> DataFrame:
     return se.search(queries, space.model, space.embeddings, space.docs, space.docs.select("id", "text"))
 
 
+# A space that SQL can repeat: so many terms and axes, and as many directions as terms, so nothing is left to chance.
+AXES_TERMS, AXES = 20, 3
+
+
+def _axes(spark: SparkSession, sf: str) -> tuple[DataFrame, LsaModel, DataFrame]:
+    docs = spread(stage(inputs.corpus(spark, sf), "corpus"))
+    model, embeddings = fit_lsa(docs, AXES, 1, keep=("id", "category"), oversamples=AXES_TERMS, max_features=AXES_TERMS)
+    return docs, model, embeddings
+
+
+def lsa_axes(spark: SparkSession, sf: str) -> DataFrame:
+    """The first axes over the twenty commonest terms, and the variance they explain."""
+    _, model, _ = _axes(spark, sf)
+    terms = model.vocab_frame(spark).select("term", "term_id").join(model.basis_frame(spark), "term_id")
+    return terms.select("term", F.posexplode("v").alias("axis", "x")).select(
+        "term", F.col("axis").cast("long").alias("axis"), F.round("x", 4).alias("x"),
+        F.lit(round(model.explained_variance, 4)).alias("explained_variance"),
+    )
+
+
+def lsa_axes_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's unit vector along these axes."""
+    rows = _axes(spark, sf)[2].select("id", F.posexplode("embedding").alias("axis", "x"))
+    return rows.select("id", F.col("axis").cast("long").alias("axis"), F.round(F.col("x").cast("double"), 4).alias("x"))
+
+
+def lsa_axes_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of the five documents nearest to each benchmark passage along these axes."""
+    docs, model, embeddings = _axes(spark, sf)
+    queries = inputs.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"), F.lit(5).alias("top_k"))
+    hits = se.search(queries, model, stage(embeddings, "axes-embeddings"), docs)
+    return hits.select("query_id", F.col("rank").cast("long").alias("rank"), F.round("score", 4).alias("score"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         clean_posts, post_subject, load_report, dedup_first, corpus_stats, category_index, category_counts,
         category_list, term_counts, doc_freq_vocab, tfidf_weights, valid_queries, rejected_queries, doc_lookup,
-        add_documents, add_documents_dedup, lsa_fit, lsa_embeddings, lsa_search, lsa_search_category,
+        add_documents, add_documents_dedup, store_round_trip, store_append, lsa_axes, lsa_axes_embeddings, lsa_axes_search, lsa_fit, lsa_embeddings, lsa_search, lsa_search_category,
     )
 }
 
@@ -224,12 +283,57 @@ grams AS (SELECT id, unnest(list_concat(t,
   list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) AS term FROM toks),
 tf AS (SELECT id, term, count(*) AS tf FROM grams GROUP BY ALL)"""
 
-_VOCAB = f"""{_TERMS},
+
+
+def _vocab(terms: int = 50_000) -> str:
+    return f"""{_TERMS},
 vocab AS (SELECT *, row_number() OVER (ORDER BY term) - 1 AS term_id,
   ln((1 + (SELECT count(*) FROM corpus)) / (1 + df)) + 1 AS idf FROM (
   SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS total FROM tf GROUP BY term
   HAVING count(*) >= 3 AND count(*) <= 0.85 * (SELECT count(*) FROM corpus)
-  ORDER BY total DESC, term LIMIT 50000))"""
+  ORDER BY total DESC, term LIMIT {terms}))"""
+
+
+_VOCAB = _vocab()
+
+
+def _space() -> str:
+    """The axes by squaring the terms' cross products ten times, taking each axis out before the next."""
+    out = [f"""{_vocab(AXES_TERMS)},
+raw AS (SELECT id, term_id AS i, (1 + ln(tf)) * idf AS w FROM tf JOIN vocab USING (term)),
+w AS (SELECT id, i, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM raw),
+cross_ AS (SELECT a.i, b.i AS j, sum(a.w * b.w) AS x FROM w a JOIN w b USING (id) GROUP BY ALL),
+m0 AS (SELECT a.term_id AS i, b.term_id AS j, coalesce(x, 0) AS x FROM vocab a CROSS JOIN vocab b
+  LEFT JOIN cross_ ON cross_.i = a.term_id AND cross_.j = b.term_id)"""]
+    for axis in range(AXES):
+        last = f"m{axis}"
+        for power in range(10):
+            name = f"q{axis}_{power}"
+            out.append(f"""{name}x AS (SELECT a.i, b.j, sum(a.x * b.x) AS x FROM {last} a JOIN {last} b ON a.j = b.i GROUP BY ALL),
+{name} AS (SELECT i, j, x / (SELECT sqrt(sum(x * x)) FROM {name}x) AS x FROM {name}x)""")
+            last = name
+        out.append(f"""v{axis}x AS (SELECT i, x / sqrt(sum(x * x) OVER ()) AS x FROM {last}
+  WHERE j = (SELECT i FROM {last} WHERE i = j ORDER BY x DESC, i LIMIT 1)),
+v{axis} AS (SELECT i, x * (SELECT sign(x) FROM v{axis}x ORDER BY abs(x) DESC LIMIT 1) AS x FROM v{axis}x),
+m{axis + 1} AS (SELECT m.i, m.j, m.x - a.x * b.x * (SELECT sum(c.x * n.x * d.x) FROM m{axis} n JOIN v{axis} c ON c.i = n.i
+  JOIN v{axis} d ON d.i = n.j) AS x FROM m{axis} m JOIN v{axis} a ON a.i = m.i JOIN v{axis} b ON b.i = m.j)""")
+    axes = " UNION ALL ".join(f"SELECT i, {a} AS axis, x FROM v{a}" for a in range(AXES))
+    out.append(f"""axes AS ({axes}),
+place AS (SELECT id, axis, sum(w * x) AS s FROM w JOIN axes USING (i) GROUP BY ALL),
+unit AS (SELECT id, axis, s / sqrt(sum(s * s) OVER (PARTITION BY id)) AS x FROM place)""")
+    return ",\n".join(out)
+
+
+_SPACE_AXES = _space()
+
+# Passages as the space places them: no cleaning, unknown terms dropped.
+_PASSAGES = rf"""
+ptoks AS (SELECT item_id, regexp_extract_all(regexp_replace(strip_accents(lower(text)), '[^\x00-\x7f]', '_', 'g'),
+  '\b[a-zA-Z][a-zA-Z0-9\-]{{2,}}\b') AS t FROM benchmark),
+ptf AS (SELECT item_id, term, count(*) AS tf FROM (SELECT item_id, unnest(list_concat(t,
+  list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) AS term FROM ptoks) GROUP BY ALL),
+praw AS (SELECT item_id, axis, sum((1 + ln(tf)) * idf * x) AS s FROM ptf JOIN vocab USING (term) JOIN axes ON axes.i = term_id GROUP BY ALL),
+punit AS (SELECT item_id, axis, s / sqrt(sum(s * s) OVER (PARTITION BY item_id)) AS x FROM praw)"""
 
 _REQUESTS = f"""
 turns AS (SELECT conv_id * 1000 + turn AS query_id, text AS query, conv_id, turn
@@ -276,6 +380,25 @@ SELECT id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY id)), 6) AS weight
     FROM (SELECT DISTINCT source FROM documents)) END AS valid_categories
   FROM judged WHERE reason IS NOT NULL""",
     "doc_lookup": f"WITH {_CORPUS} SELECT id, doc_id, category, n_tokens, text FROM corpus",
+    "lsa_axes": f"""WITH {_SPACE_AXES},
+n AS (SELECT count(*) AS n FROM corpus),
+kept AS (SELECT sum(v) AS v FROM (SELECT axis, sum(s * s) / n - (sum(s) / n) ** 2 AS v FROM place, n GROUP BY axis, n)),
+whole AS (SELECT sum(v) AS v FROM (SELECT i, sum(w * w) / n - (sum(w) / n) ** 2 AS v FROM w, n GROUP BY i, n))
+SELECT term, CAST(axis AS BIGINT) AS axis, round(x, 4) AS x, round((SELECT v FROM kept) / (SELECT v FROM whole), 4) AS explained_variance
+FROM axes JOIN vocab ON term_id = i""",
+    "lsa_axes_embeddings": f"""WITH {_SPACE_AXES}
+SELECT id, CAST(axis AS BIGINT) AS axis, round(coalesce(x, 0), 4) AS x FROM corpus CROSS JOIN (SELECT DISTINCT axis FROM axes)
+LEFT JOIN unit USING (id, axis)""",
+    "lsa_axes_search": f"""WITH {_SPACE_AXES}, {_PASSAGES},
+score AS (SELECT item_id AS query_id, c.id, coalesce(sum(p.x * u.x), 0) AS score FROM benchmark CROSS JOIN corpus c
+  LEFT JOIN punit p USING (item_id) LEFT JOIN unit u ON u.id = c.id AND u.axis = p.axis GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC) AS rank FROM score)
+SELECT query_id, rank, round(score, 4) AS score FROM ranked WHERE rank <= 5""",
+    "store_round_trip": f"""WITH {_CORPUS} SELECT id, doc_id, category, n_tokens, length(text) AS n_chars,
+  CAST(8 AS BIGINT) AS dims FROM corpus""",
+    "store_append": f"""WITH {_CORPUS} SELECT id, doc_id, category, n_tokens, length(text) AS n_chars,
+  CAST(8 AS BIGINT) AS dims FROM corpus
+  UNION ALL SELECT left(sha256(text), 16), 'custom', 'benchmark', {_tokens("text")}, length(text), 8 FROM benchmark""",
     "add_documents": f"""WITH {_CORPUS} SELECT id, doc_id, category, n_tokens FROM corpus
   UNION ALL SELECT left(sha256(text), 16), 'custom', 'benchmark', {_tokens("text")} FROM benchmark""",
     "add_documents_dedup": f"""WITH {_CORPUS} SELECT id, doc_id, category, n_tokens FROM corpus

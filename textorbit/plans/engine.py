@@ -1,18 +1,19 @@
-"""The three workflows end to end: build a store, cluster it, answer queries."""
+"""The workflows end to end: build a store, append to it, cluster it, answer queries, calibrate the cache."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textorbit.functions.vectors import dot
 from textorbit.operators import kselect, profile, search, vmf
 from textorbit.operators.corpus import build_corpus
 from textorbit.operators.kmeans import fit_kmeans
 from textorbit.operators.lsa import fit_lsa
-from textorbit.session import spread, stage
+from textorbit.session import spread, stage, staging
 from textorbit.sources.posts import read_posts
 from textorbit.sources.store import Store, read_centroids, read_store, write_clusters, write_store
-from textorbit.streaming.cache import SemanticCache
+from textorbit.streaming.cache import THETAS, SemanticCache, explore_threshold
 
 N_CLUSTERS = 17
 
@@ -20,9 +21,10 @@ N_CLUSTERS = 17
 def build_store(spark: SparkSession, posts: str | DataFrame, path: str, **lsa_args) -> Store:
     """From a directory of posts (or a ``category, doc_id, raw`` table) to a written store."""
     raw = read_posts(spark, posts) if isinstance(posts, str) else posts
-    docs = spread(stage(build_corpus(raw), "corpus"))
-    model, embeddings = fit_lsa(docs, **lsa_args)
-    write_store(path, docs, model, embeddings)
+    with staging(spark):
+        docs = spread(stage(build_corpus(raw), "corpus"))
+        model, embeddings = fit_lsa(docs, keep=("id", "category"), **lsa_args)
+        write_store(path, docs, model, embeddings)
     return read_store(spark, path)
 
 
@@ -41,8 +43,8 @@ def build_clusters(
     the one selected on a k-means solution.
     """
     spark = store.corpus.sparkSession
-    docs = store.embeddings.join(store.corpus.select("id", "doc_id"), "id").persist()
-    try:
+    with staging(spark):
+        docs = stage(store.embeddings.join(store.corpus.select("id", "doc_id"), "id"), "points")
         points = docs.select("id", "embedding")
         sweep = kselect.k_sweep(points, ks)
         gaps = kselect.gap_table(points, gap_ks, n_refs)
@@ -50,8 +52,9 @@ def build_clusters(
         kappas = vmf.kappa_table(docs, start)
         kappa = float(vmf.select_kappa(kappas, k))
         centroids = vmf.fit_vmf(points, k, kappa, start=start)
-        write_clusters(path, docs, centroids, kappa)
+        # Memberships are computed once; all findings read them.
         assigned = stage(vmf.assign(docs, centroids, kappa).drop("embedding"), "assigned")
+        write_clusters(path, assigned, centroids, kappa)
         profiles = profile.cluster_profile(assigned)
         pairs = profile.centroid_pairs(vmf.centroid_frame(spark, centroids), profiles)
         votes = kselect.sweep_votes(sweep).select("*", kselect.gap_choice(gaps).scalar().alias("gap"))
@@ -67,8 +70,6 @@ def build_clusters(
         }
         for name, table in tables.items():
             table.write.mode("overwrite").parquet(f"{path}/{name}")
-    finally:
-        docs.unpersist()
 
 
 def open_cache(store: Store, clusters: str, path: str | None = None, **settings) -> SemanticCache:
@@ -95,5 +96,13 @@ def answer(requests: DataFrame, store: Store, cache: SemanticCache) -> tuple[Dat
     Returns decisions with results, and the rejected requests with their reason.
     """
     valid, rejected = search.validate_queries(requests, store.corpus)
-    timed = valid.join(requests.select("query_id", "ts"), "query_id")
-    return cache.process(search.embed_queries(timed, store.model)), rejected
+    return cache.process(search.embed_queries(valid, store.model)), rejected
+
+
+def explore_text_pairs(pairs: DataFrame, store: Store, thetas=THETAS) -> DataFrame:
+    """Judge cache thresholds on labelled pairs of texts ``(query_a, query_b, should_hit)``.
+
+    Both texts are embedded where the pair is; nothing is shuffled but the counts.
+    """
+    both = store.model.embed(store.model.embed(pairs, "query_a", "_a"), "query_b", "_b")
+    return explore_threshold(both.select("should_hit", dot("_a", "_b").alias("sim")), thetas)

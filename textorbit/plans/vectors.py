@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,10 +10,14 @@ from textorbit.operators import kselect as ks
 from textorbit.operators import profile as pr
 from textorbit.operators import search as se
 from textorbit.operators import vmf
-from textorbit.operators.kmeans import Fit
+from textorbit.operators.kmeans import Fit, fit_many, lloyd_totals
 from textorbit.plans import inputs
 
 KAPPA = inputs.KAPPA
+# Steps of the fits that SQL repeats.
+STEPS = 3
+# Uniform references of the gaps that SQL repeats.
+REFERENCES = 3
 
 
 def vector_topk(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,6 +93,54 @@ def vmf_em(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _cells(spark: SparkSession, centers: np.ndarray) -> DataFrame:
+    cells = vmf.centroid_frame(spark, centers).select("cluster", F.posexplode("centroid").alias("dim", "x"))
+    return cells.select(
+        F.col("cluster").cast("long").alias("cluster"), F.col("dim").cast("long").alias("dim"), F.round("x", 6).alias("x")
+    )
+
+
+def vmf_em_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Centroids after three soft EM steps from the label centroids."""
+    start = inputs.label_centroids(spark, sf)
+    docs = inputs.vectors(spark, sf).select("id", "embedding")
+    return _cells(spark, vmf.fit_vmf(docs, len(start), KAPPA, n_iter=STEPS, start=start))
+
+
+def kmeans_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Centres after three k-means steps from the label centroids, with their members."""
+    start = inputs.label_centroids(spark, sf)
+    docs = inputs.vectors(spark, sf).select("id", "embedding")
+    (fit,) = fit_many(docs, [Fit(len(start), max_iter=STEPS, tol=-1.0, centers=start)])
+    sizes = [(i, int(n)) for i, n in enumerate(fit.sizes)]
+    return _cells(spark, fit.centers).join(spark.createDataFrame(sizes, "cluster long, n_docs long"), "cluster")
+
+
+def profile_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """The nested profiles as rows: categories, core and boundary documents of each cluster."""
+    nested = pr.nested_profiles(_assigned(spark, sf), _texts(spark, sf))
+
+    def cells(part: str, column: str, name: str, value: str) -> DataFrame:
+        rows = nested.select("cluster", "n_docs", "purity", "entropy_median", F.posexplode(column).alias("place", "x"))
+        return rows.select(
+            F.col("cluster").cast("long").alias("cluster"), "n_docs", "purity", "entropy_median", F.lit(part).alias("part"),
+            (F.col("place") + 1).cast("long").alias("place"), F.col("x")[name].alias("name"), F.col("x")[value].cast("double").alias("value"),
+        )
+
+    core = cells("core", "core_docs", "doc_id", "conf_in_cluster")
+    boundary = cells("boundary", "boundary_docs", "doc_id", "entropy")
+    return core.unionByName(boundary).unionByName(cells("category", "category_breakdown", "category", "n"))
+
+
+def vector_topk_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Five nearest vectors of every vector, within its category for two of three, with queries in blocks of 100."""
+    docs = inputs.vectors(spark, sf)
+    category = F.when(F.col("vec_id") % 3 != 0, F.col("category"))
+    queries = docs.select(F.col("vec_id").alias("query_id"), "embedding", F.lit(5).alias("top_k"), category.alias("category"))
+    hits = se.top_k(queries, docs.select("id", "category", "embedding"), max_block=100, shard_docs=150)
+    return hits.select("query_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"), "id")
+
+
 def cluster_profile(spark: SparkSession, sf: str) -> DataFrame:
     return pr.cluster_profile(_assigned(spark, sf)).withColumn("cluster", F.col("cluster").cast("long"))
 
@@ -155,28 +208,44 @@ def silhouette(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def gap_rule(spark: SparkSession, sf: str) -> DataFrame:
-    """The gap rule on a curve read off the vectors, one candidate per label."""
-    first = F.get("embedding", F.lit(0)).cast("double")
-    second = F.get("embedding", F.lit(1)).cast("double")
-    curve = inputs.vectors(spark, sf).groupBy(F.col("label").cast("long").alias("k")).agg(
-        F.avg(first).alias("gap"), F.abs(F.avg(second)).alias("sk")
+def _gap_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Gaps of the first 2 to 10 label centroids as centres, against uniform references drawn by hash."""
+    centers = inputs.label_centroids(spark, sf)
+    vectors = inputs.vectors(spark, sf).select("id", F.col("embedding").cast("array<double>").alias("embedding"))
+    cells = vectors.select(F.posexplode("embedding").alias("pos", "x")).groupBy("pos").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    box = cells.orderBy("pos").collect()  # one row per dimension
+
+    def draw(p):
+        name = F.concat_ws("|", F.col("dataset").cast("string"), "id", p.cast("string"))
+        u = F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("double") / 4294967296.0
+        lo, hi = (F.element_at(F.array(*[F.lit(r[c]) for r in box]), p + 1) for c in ("lo", "hi"))
+        return lo + u * (hi - lo)
+
+    drawn = vectors.select("id", F.explode(F.sequence(F.lit(1), F.lit(REFERENCES))).alias("dataset")).select(
+        F.transform(F.sequence(F.lit(0), F.lit(len(box) - 1)), draw).alias("embedding"), "dataset"
     )
-    return ks.gap_choice(curve)
+    points = vectors.select("embedding", F.lit(0).alias("dataset")).unionByName(drawn)
+    ks_ = range(2, len(centers) + 1)
+    fits = [Fit(k, dataset=b, centers=centers[:k]) for k in ks_ for b in range(REFERENCES + 1)]
+    lloyd_totals(points, fits)
+    return ks.gap_rows(spark, {(f.dataset, f.k): f for f in fits}, ks_, REFERENCES)
+
 
+def gap_curve(spark: SparkSession, sf: str) -> DataFrame:
+    return _gap_table(spark, sf).select(F.col("k").cast("long").alias("k"), F.round("gap", 6).alias("gap"), F.round("sk", 6).alias("sk"))
 
-_sweeps: dict[tuple[str, str], DataFrame] = {}
+
+def gap_rule(spark: SparkSession, sf: str) -> DataFrame:
+    """The gap rule on these gaps."""
+    return ks.gap_choice(_gap_table(spark, sf)).select(F.col("optimal_k").cast("long").alias("optimal_k"))
 
 
 def kmeans_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    sweep = ks.k_sweep(inputs.vectors(spark, sf))
-    _sweeps[(spark.sparkContext.applicationId, sf)] = sweep
-    return sweep
+    return ks.k_sweep(inputs.vectors(spark, sf))
 
 
 def k_votes(spark: SparkSession, sf: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf)
-    return ks.sweep_votes(_sweeps[key] if key in _sweeps else kmeans_sweep(spark, sf))
+    return ks.sweep_votes(kmeans_sweep(spark, sf))
 
 
 def gap_statistic(spark: SparkSession, sf: str) -> DataFrame:
@@ -187,8 +256,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         vector_topk, vector_topk_filtered, vmf_memberships, doc_clusters, confidence_bands, kappa_select, vmf_em_step,
-        vmf_em, cluster_profile, category_breakdown, cluster_report, core_docs, boundary_docs, nested_profiles,
-        boundary_cases, centroid_pairs, calinski_harabasz, silhouette, gap_rule, kmeans_sweep, k_votes, gap_statistic,
+        vmf_em, vmf_em_rounds, kmeans_rounds, profile_cells, vector_topk_blocks, cluster_profile, category_breakdown, cluster_report, core_docs, boundary_docs, nested_profiles,
+        boundary_cases, centroid_pairs, calinski_harabasz, silhouette, gap_curve, gap_rule, kmeans_sweep, k_votes, gap_statistic,
     )
 }
 
@@ -241,7 +310,61 @@ _TOPK = """SELECT q.vec_id AS query_id, d.id, d.category, d.doc_id, round(list_d
   row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_dot_product(q.e, d.e), 12) DESC, d.id) AS rank
   FROM v q JOIN v d ON"""
 
+def _em_rounds() -> str:
+    """Soft EM: memberships by kappa times cosine, centroids as unit vectors of the weighted sums."""
+    out = [f"WITH {CENTROIDS}", "x AS (SELECT id, unnest(e) AS x, generate_subscripts(e, 1) AS pos FROM v)", "c0 AS (SELECT cluster, c FROM cent)"]
+    for r in range(STEPS):
+        out.append(f"""l{r} AS (SELECT v.id, cluster, {KAPPA} * list_dot_product(e, c) AS z FROM v, c{r}),
+p{r} AS (SELECT id, cluster, exp(z - max(z) OVER (PARTITION BY id)) AS w FROM l{r}),
+u{r} AS (SELECT id, cluster, w / sum(w) OVER (PARTITION BY id) AS u FROM p{r}),
+s{r} AS (SELECT cluster, pos, sum(u * x) AS s FROM u{r} JOIN x USING (id) GROUP BY ALL),
+n{r} AS (SELECT cluster, pos, s / sqrt(sum(s * s) OVER (PARTITION BY cluster)) AS s FROM s{r}),
+c{r + 1} AS (SELECT cluster, list(s ORDER BY pos) AS c FROM n{r} GROUP BY cluster)""")
+    return ",\n".join(out) + f"\nSELECT cluster, CAST(pos - 1 AS BIGINT) AS dim, round(s, 6) AS x FROM n{STEPS - 1}"
+
+
+def _lloyd_rounds() -> str:
+    """K-means: the nearest centre, lowest first; means of members; a centre without members stays."""
+    out = [f"WITH {CENTROIDS}", "x AS (SELECT id, unnest(e) AS x, generate_subscripts(e, 1) AS pos FROM v)", "c0 AS (SELECT cluster, c FROM cent)"]
+    for r in range(STEPS + 1):
+        out.append(f"""g{r} AS (SELECT v.id, cluster, list_dot_product(e, c) - 0.5 * list_dot_product(c, c) AS g FROM v, c{r}),
+a{r} AS (SELECT id, cluster FROM g{r} QUALIFY row_number() OVER (PARTITION BY id ORDER BY g DESC, cluster) = 1)""")
+        if r < STEPS:
+            out.append(f"""m{r} AS (SELECT cluster, pos, avg(x) AS m FROM a{r} JOIN x USING (id) GROUP BY ALL),
+k{r} AS (SELECT cluster, list(m ORDER BY pos) AS c FROM m{r} GROUP BY cluster),
+c{r + 1} AS (SELECT c{r}.cluster, coalesce(k{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN k{r} USING (cluster))""")
+    return ",\n".join(out) + f"""
+SELECT cluster, CAST(pos - 1 AS BIGINT) AS dim, round(x, 6) AS x, coalesce(n, 0) AS n_docs
+FROM (SELECT cluster, unnest(c) AS x, generate_subscripts(c, 1) AS pos FROM c{STEPS})
+LEFT JOIN (SELECT cluster, count(*) AS n FROM a{STEPS} GROUP BY cluster) USING (cluster)"""
+
+
+_GAPS = f"""{CENTROIDS},
+box AS (SELECT pos, min(x) AS lo, max(x) AS hi FROM cells GROUP BY pos),
+refs AS (SELECT b, id, list(lo + u * (hi - lo) ORDER BY pos) AS e FROM (
+  SELECT b, id, pos, lo, hi, CAST('0x' || substr(md5(b || '|' || id || '|' || (pos - 1)), 1, 8) AS BIGINT) / 4294967296.0 AS u
+  FROM v, box, range(1, {REFERENCES + 1}) t(b)) GROUP BY b, id),
+pts AS (SELECT 0 AS b, id, e FROM v UNION ALL SELECT b, id, e FROM refs),
+near AS (SELECT b, id, k, min(list_dot_product(e, e) - 2 * list_dot_product(e, c) + list_dot_product(c, c)) AS d
+  FROM pts, cent, range(2, 11) t(k) WHERE cluster < k AND k <= (SELECT count(*) FROM cent) GROUP BY ALL),
+w AS (SELECT b, k, ln(sum(d) + 1e-10) AS lw FROM near GROUP BY b, k),
+curve AS (SELECT k, avg(lw) FILTER (b > 0) - max(lw) FILTER (b = 0) AS gap,
+  sqrt(1 + 1 / {REFERENCES}) * stddev_pop(lw) FILTER (b > 0) AS sk FROM w GROUP BY k)"""
+
 ORACLES = {
+    "vmf_em_rounds": _em_rounds(),
+    "kmeans_rounds": _lloyd_rounds(),
+    "profile_cells": f"""WITH {ASSIGNED},
+places_ AS (
+  SELECT cluster, 'core' AS part, row_number() OVER (PARTITION BY cluster ORDER BY top_conf DESC, id) AS place,
+    doc_id AS name, round(top_conf, 4) AS value FROM a QUALIFY place <= 3
+  UNION ALL SELECT cluster, 'boundary', row_number() OVER (PARTITION BY cluster ORDER BY entropy DESC, id) AS place,
+    doc_id, round(entropy, 4) FROM a QUALIFY place <= 3
+  UNION ALL SELECT cluster, 'category', row_number() OVER (PARTITION BY cluster ORDER BY n DESC, category), category,
+    CAST(n AS DOUBLE) FROM breakdown)
+SELECT cluster, n_docs, purity, entropy_median, part, place, name, value FROM places_ JOIN profile USING (cluster)""",
+    "vector_topk_blocks": f"""WITH {VECTORS} SELECT query_id, rank, score, id
+  FROM ({_TOPK} q.vec_id % 3 = 0 OR q.category = d.category) WHERE rank <= 5""",
     "vector_topk": f"WITH {VECTORS} SELECT query_id, rank, score, id FROM ({_TOPK} true) WHERE rank <= 10",
     "vector_topk_filtered": f"""WITH {VECTORS} SELECT query_id, rank, score, id, category, doc_id
   FROM ({_TOPK} q.category = d.category) WHERE rank <= 5""",
@@ -304,8 +427,8 @@ ab AS (SELECT id, max(total / n) FILTER (cluster = own) AS a, min(total / n) FIL
   FROM near GROUP BY id)
 SELECT (SELECT count(*) FROM cent) AS k,
   round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 5) AS silhouette FROM ab""",
-    "gap_rule": f"""WITH {VECTORS},
-curve AS (SELECT CAST(label AS BIGINT) AS k, avg(e[1]) AS gap, abs(avg(e[2])) AS sk FROM v GROUP BY label),
+    "gap_curve": f"WITH {_GAPS} SELECT k, round(gap, 6) AS gap, round(sk, 6) AS sk FROM curve",
+    "gap_rule": f"""WITH {_GAPS},
 n AS (SELECT *, lead(gap) OVER (ORDER BY k) - lead(sk) OVER (ORDER BY k) AS bar FROM curve)
 SELECT coalesce(min(k) FILTER (gap >= bar), max(k)) AS optimal_k FROM n""",
 }
