@@ -19,7 +19,7 @@ from textorbit.operators.corpus import category_index, corpus_stats
 from textorbit.operators.lsa import LsaModel
 from textorbit.operators.search import new_documents
 from textorbit.operators.tfidf import collect_vocab
-from textorbit.operators.vmf import centroid_frame, centroid_matrix, doc_clusters
+from textorbit.operators.vmf import assign, centroid_frame, centroid_matrix, doc_clusters
 from textorbit.session import stage, unstage
 
 # Tables in parts, and those of the model.
@@ -133,8 +133,12 @@ def append_documents(store: Store, texts: DataFrame, dedup: bool = False) -> Sto
     return read_store(spark, store.path)
 
 
-def write_clusters(path: str, assigned: DataFrame, centroids: np.ndarray, kappa: float) -> None:
-    """Write centroids with their concentration, memberships and per-document records of ``assigned`` rows."""
+def write_clusters(path: str, embeddings: DataFrame, centroids: np.ndarray, kappa: float) -> None:
+    """Write centroids with their concentration, memberships and per-document records.
+
+    Memberships are computed once: rows that do not come with theirs are assigned and staged.
+    """
+    assigned = embeddings if "u" in embeddings.columns else stage(assign(embeddings, centroids, kappa).drop("embedding"), "assigned")
     frame = centroid_frame(assigned.sparkSession, centroids).withColumn("kappa", F.lit(float(kappa)))
     frame.coalesce(1).write.parquet(f"{path}/centroids")
     assigned.select("id", "u", "hard_cluster").write.parquet(f"{path}/memberships")
