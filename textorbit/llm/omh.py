@@ -43,8 +43,8 @@ ONE_EDIT = 9
 FIRST = 4
 SIMILARITY = 0.8
 # Texts of a block's half; partners that a text offers in a block, by round: the last offers all.
-BLOCK_TEXTS = 512
-OFFERED = (8, 64, BLOCK_TEXTS)
+BLOCK_TEXTS = 1024
+OFFERED = (64, 1 << 30)
 # Joins on a key that many rows may share deal it to so many tasks.
 SALT = 4
 HOT = 10_000
@@ -394,6 +394,21 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def grown(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Classes (``labels``: key, least) after more links: only the links between classes are followed."""
+    ends = links.select("a", "b")
+    for side in ("a", "b"):
+        roots = labels.select(F.col("key").alias(side), F.col("least").alias("root"))
+        ends = salted_join(ends, roots, side, "left").withColumn(side, F.coalesce("root", side)).drop("root")
+    between = stage(ends.filter("a <> b").distinct(), "class-links")
+    joined = stage(components(between), "joined-classes")
+    # Texts that had no link before are classes of their own until now.
+    fresh = joined.join(labels.select("key"), "key", "left_anti")
+    moved = joined.select(F.col("key").alias("least"), F.col("least").alias("to"))
+    old = salted_join(labels, moved, "least", "left").select("key", F.coalesce("to", "least").alias("least"))
+    return stage(old.unionByName(fresh.select("key", "least")), "labels")
+
+
 def _bags(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, BINS)
 
@@ -549,7 +564,7 @@ def near_links(
     more = verified(pairs.select(ends.alias("p")).select("p.a", "p.b").distinct(), "class")
     if not more.isEmpty():
         links = links.unionByName(more)
-        labels = components(links)
+        labels = grown(labels, more)
         members = torn(members, labels)
 
     # What is still apart meets in blocks.
@@ -570,7 +585,7 @@ def near_links(
         done = cut.isEmpty()
         if not more.isEmpty():
             links = links.unionByName(more)
-            labels = components(links)
+            labels = grown(labels, more)
             members = members if done else torn(members, labels)
         if done:
             break
