@@ -22,6 +22,19 @@ def test_stream_reads_a_folder_of_files(spark, tmp_path):
     assert streamed == entry.queries()["cache_replay"](spark, str(tmp_path)).select(columns).orderBy("query_id").collect()
 
 
+def test_partial_sums_of_a_pass_are_added_by_tasks(spark, monkeypatch):
+    asked = []
+    added = vectors.sum_by_key
+    monkeypatch.setattr(vectors, "sum_by_key", lambda *args: asked.append(args[-1]) or added(*args))
+
+    def partial(batches):
+        rows = sum(batch.num_rows for batch in batches)
+        yield from vectors.keyed_sums(np.arange(500), np.full((500, 60), float(rows)))
+
+    total = vectors.collect_sums(spark.range(0, 40, 1, 4).mapInArrow(partial, vectors.SUMS), 500, 60)
+    assert asked == [1] and (total == 40).all()
+
+
 def test_blocks_ask_for_every_hundredth_vector(spark):
     asked = entry.queries()["vector_topk_blocks"](spark, SF).groupBy("query_id").count().collect()
     ids = [r.vec_id for r in spark.read.parquet(f"{SF}/embeddings.parquet").filter("vec_id % 100 = 0").collect()]
