@@ -35,6 +35,18 @@ def test_partial_sums_of_a_pass_are_added_by_tasks(spark, monkeypatch):
     assert asked == [1] and (total == 40).all()
 
 
+def test_rounds_of_the_cache_broadcast_no_rows(spark):
+    state = spark.createDataFrame([(0, True), (1, None), (2, None)], "seq long, miss boolean")
+    edges = spark.createDataFrame([(1, [0], False), (2, [1], False)], "seq long, earlier array<long>, cut boolean")
+    settled = ca.settle(state, edges)
+    assert sorted(map(tuple, settled.collect())) == [(0, True), (1, False), (2, None)]
+    assert "Broadcast" not in settled._jdf.queryExecution().executedPlan().toString()
+    rows, entries = spark.range(3).select(F.col("id").alias("query_id"), F.lit("a").alias("entry_id")), spark.createDataFrame([("a", 1)], "entry_id string, n int")
+    joined = ca.SemanticCache._with_entry(rows, entries)
+    assert [r.n for r in joined.collect()] == [1, 1, 1]
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_blocks_ask_for_every_hundredth_vector(spark):
     asked = entry.queries()["vector_topk_blocks"](spark, SF).groupBy("query_id").count().collect()
     ids = [r.vec_id for r in spark.read.parquet(f"{SF}/embeddings.parquet").filter("vec_id % 100 = 0").collect()]
