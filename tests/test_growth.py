@@ -51,3 +51,10 @@ def test_blocks_ask_for_every_hundredth_vector(spark):
     asked = entry.queries()["vector_topk_blocks"](spark, SF).groupBy("query_id").count().collect()
     ids = [r.vec_id for r in spark.read.parquet(f"{SF}/embeddings.parquet").filter("vec_id % 100 = 0").collect()]
     assert sorted(r.query_id for r in asked) == sorted(ids) and all(r["count"] == 5 for r in asked)
+
+
+def test_lookup_cleans_posts_once(spark, monkeypatch):
+    calls = []
+    clean = corpus.clean_posts
+    monkeypatch.setattr(corpus, "clean_posts", lambda *args, **more: calls.append(1) or clean(*args, **more))
+    assert entry.queries()["doc_lookup"](spark, SF).count() > 0 and calls == [1]
