@@ -58,3 +58,15 @@ def test_lookup_cleans_posts_once(spark, monkeypatch):
     clean = corpus.clean_posts
     monkeypatch.setattr(corpus, "clean_posts", lambda *args, **more: calls.append(1) or clean(*args, **more))
     assert entry.queries()["doc_lookup"](spark, SF).count() > 0 and calls == [1]
+
+
+def test_weights_are_made_for_a_few_rows_at_a_time(monkeypatch):
+    tokens = pa.array([["aa", "bb", "aa"], [], None, ["bb", "cc"], ["cc", "aa", "bb", "zz"]])
+    names, idf = pa.array(["aa", "aa bb", "bb", "cc"]), np.array([1.0, 2.0, 1.5, 3.0])
+    whole, sizes, made = tfidf._weigh(tokens, names, idf), [], tfidf._weigh
+    monkeypatch.setattr(terms, "TOKENS_AT_ONCE", 3)
+    monkeypatch.setattr(tfidf, "_weigh", lambda part, *more: sizes.append(len(part)) or made(part, *more))
+    got = tfidf._weigh_parts(tokens, names, idf)
+    assert max(sizes) < len(tokens) and sum(sizes) == len(tokens)
+    for a, b in zip(got.to_pylist(), whole.to_pylist()):
+        assert a["term_ids"] == b["term_ids"] and a["weights"] == pytest.approx(b["weights"])
