@@ -12,6 +12,7 @@ from helpers import LONG, documents, no_documents, odd_documents
 
 from textorbit.llm import mixer, omh, rff
 from textorbit.llm.decontaminate import words_of
+from textorbit.session import stage
 
 SF = "/root/testdata/sf0.001"
 
@@ -321,3 +322,32 @@ def test_quality_bears_odd_rows(spark):
     none = rff.quality_scores(odd_documents(spark), labels.limit(0)).toPandas()
     assert (none.score - 0.5).abs().max() < 1e-2
     assert rff.quality_scores(no_documents(spark), labels).count() == 0
+
+
+def test_fine_bags_never_dismiss_a_similar_pair():
+    rng = random.Random(9)
+    for _ in range(200):
+        a = [rng.randrange(3000) for _ in range(rng.randint(1, 60))]
+        b = [x if rng.random() > 0.2 else rng.randrange(3000) for x in a] + [1] * rng.randint(0, 5)
+        x, y = omh.fine_bag(np.array(a * 9, np.uint64)), omh.fine_bag(np.array(b * 9, np.uint64))
+        assert omh.least_edits(x, y) <= plain_distance(a, b) * 9
+
+
+def test_texts_of_a_common_passage_are_not_paired_in_blocks(spark, monkeypatch):
+    rng, blocks, offered = random.Random(3), omh.block_candidates, []
+
+    def counted(*args):
+        found = stage(blocks(*args), "test-blocks")
+        offered.append(found.filter("a IS NOT NULL").count())
+        return found
+
+    monkeypatch.setattr(omh, "block_candidates", counted)
+    # A quarter of each text is its own, so none are similar, but three in four runs of words are the same.
+    passage = [f"p{i}" for i in range(300)]
+    texts = [[f"w{rng.randrange(10**9)}" for _ in range(100)] + passage for _ in range(60)]
+    texts += [[*t[:50], "new", *t[51:]] for t in texts[:5]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    for block in (16, 1024):
+        found = {r.doc_id: r.class_id for r in omh.near_duplicates(docs, block=block).collect()}
+        assert found == {i: i % 60 for i in range(65)}
+    assert offered and sum(offered) < 60

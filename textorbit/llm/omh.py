@@ -10,8 +10,8 @@ Equal texts are one text from the start. Candidates come first and from small ro
 of words. A bucket, that is, the texts which agree in a sketch, offers each text with its least one for a few
 sketches, so a bucket of any size makes as many pairs as it has members; then, for all sketches, the least and
 the greatest text of each of its classes with those of its first class. What is still apart meets in blocks of bounded size, where each
-text offers the nearest texts of other classes that counts and bags allow, more of them in a further round while any
-were left out. Each different pair is then joined with its two texts, once, and aligned. Classes are
+text offers the nearest texts of other classes that counts and finer bags allow, more of them in a further round while any
+were left out. Texts that share a passage share many large buckets; those with the same least text are one there. Each different pair is then joined with its two texts, once, and aligned. Classes are
 the connected components of the links.
 """
 
@@ -52,8 +52,9 @@ HOT = 10_000
 FEW = 100_000
 # Bits of the filter that keeps texts of no candidate from being shuffled: 16 a text, so many at most.
 FILTER_BITS = 1 << 25
-# Words are counted in so many bins, by their hash, to bound the edits between texts from below.
-BINS, FINE_BINS = 128, 1024
+# Words are counted in so many bins, by their hash, to bound the edits between texts from below; in blocks, where texts
+# that share most of their words meet, in the fine ones besides.
+BINS, FINE_BINS = 128, 2048
 
 _M1, _M2, _GOLD, _BASE = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15, 0x100000001B3))
 _LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -149,6 +150,11 @@ def bag(words: np.ndarray, bins: int = BINS) -> np.ndarray:
     return np.minimum(counts, 0xFFFF).astype(np.uint16)
 
 
+def fine_bag(words: np.ndarray, bins: int = FINE_BINS) -> np.ndarray:
+    """``bag`` in one byte a bin: larger counts are cut to 255, which only brings bags nearer."""
+    return np.minimum(bag(words, bins), 0xFF).astype(np.uint8)
+
+
 def least_edits(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Edits between texts with bags ``x`` and ``y`` at least: each word too many costs one."""
     difference = x.astype(np.int32) - y.astype(np.int32)
@@ -413,14 +419,21 @@ def _bags(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, BINS)
 
 
-def _pairs_of_blocks(block: np.ndarray, part: np.ndarray, split: np.ndarray, classes: np.ndarray, sizes: np.ndarray, bags: np.ndarray, similarity: float):
+def _fine_bags(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, FINE_BINS)
+
+
+def _pairs_of_blocks(block: np.ndarray, part: np.ndarray, split: np.ndarray, classes: np.ndarray, sizes: np.ndarray, fine: np.ndarray, similarity: float):
     """Places of rows (r, s) of one block and different classes that counts and bags allow, and their least edits.
 
+    Bags are compared in ``BINS`` bins first, into which the ``fine`` ones fold.
+
     Rows are sorted by ``block``. Row r is compared with those that follow it in its block, all blocks at once: at a
     distance of one row, then of two, until no block is that long. A ``split`` block holds two parts and
     compares texts of different parts only.
     """
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    bags = fine.reshape(len(fine), -1, BINS).sum(axis=1, dtype=np.int32)
     left, step = np.arange(len(block)), 0
     while len(left):
         step += 1
@@ -433,11 +446,15 @@ def _pairs_of_blocks(block: np.ndarray, part: np.ndarray, split: np.ndarray, cla
         ok = np.abs(sizes[r] - sizes[s]) <= most
         r, s, most = r[ok], s[ok], most[ok]
         for at in range(0, len(r), 4096):
-            x, y = r[at : at + 4096], s[at : at + 4096]
-            edits = least_edits(bags[x], bags[y])
-            ok = edits <= most[at : at + 4096]
-            if ok.any():
-                found.append((x[ok], y[ok], edits[ok]))
+            x, y, limit = r[at : at + 4096], s[at : at + 4096], most[at : at + 4096]
+            ok = least_edits(bags[x], bags[y]) <= limit
+            x, y, limit = x[ok], y[ok], limit[ok]
+            for low in range(0, len(x), 512):
+                part_x, part_y = x[low : low + 512], y[low : low + 512]
+                edits = least_edits(fine[part_x], fine[part_y])
+                ok = edits <= limit[low : low + 512]
+                if ok.any():
+                    found.append((part_x[ok], part_y[ok], edits[ok]))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     return tuple(np.concatenate(c) for c in zip(*found))
@@ -469,7 +486,7 @@ def block_candidates(rows: DataFrame, similarity: float, most: int) -> DataFrame
             block = np.cumsum(change)
             classes = np.unique(np.array([c.hex() for c in rows.column("class").to_pylist()]), return_inverse=True)[1]
             r, s, edits = _pairs_of_blocks(
-                block, rows.column("part").to_numpy(), place[1] != place[2], classes, rows.column("n").to_numpy(), _bags(rows.column("bag")), similarity
+                block, rows.column("part").to_numpy(), place[1] != place[2], classes, rows.column("n").to_numpy(), _fine_bags(rows.column("bag")), similarity
             )
             taken = _offered(r, edits, most) if len(r) else np.zeros(0, bool)
             cut = np.unique(block[r[~taken]])
@@ -503,6 +520,37 @@ def block_candidates(rows: DataFrame, similarity: float, most: int) -> DataFrame
     return ordered.mapInArrow(run, schema)
 
 
+def fine_bags(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Number of words and fine bag of the text of each of the different ``keys``, staged: key, n, bag."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            for part in slices(batch):
+                words = [hashes(words_of(t)) for t in part.column(1).to_pylist()]
+                bags = pa.array([fine_bag(w).tobytes() for w in words], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(w) for w in words], pa.int32()), bags], ["key", "n", "bag"])
+
+    return stage(texts_of(docs, keys).select("key", "text").mapInArrow(run, "key binary, n int, bag binary"), "fine-bags")
+
+
+def fewer_buckets(members: DataFrame, block: int) -> DataFrame:
+    """``members`` (bucket, key, size, class), with buckets of over ``block`` texts that have the same least text as one.
+
+    Texts with a common passage meet in a bucket for most sketches. Two such buckets have their least text in common
+    as often as they have any other, so a few buckets stay of each passage, and no two texts that met are parted.
+    """
+    large = members.filter(F.col("size") > block)
+    least = stage(large.groupBy("bucket").agg(F.xxhash64(F.min("key")).alias("to")), "large-buckets")
+    if least.isEmpty():
+        return members
+    one = salted_join(large.select("bucket", "key", "class"), least, "bucket").select(F.col("to").alias("bucket"), "key", "class").distinct()
+    one = stage(one, "joined-buckets")
+    sizes = stage(one.groupBy("bucket").agg(F.count("*").alias("size")), "bucket-sizes")
+    joined = salted_join(one, sizes, "bucket").select("bucket", "key", "size", "class")
+    return members.filter(F.col("size") <= block).select(*joined.columns).unionByName(joined)
+
+
 def _plain(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
@@ -569,8 +617,12 @@ def near_links(
 
     # What is still apart meets in blocks.
     cut: DataFrame | None = None
+    tried: DataFrame | None = None
+    keys = stage(members.select("key").distinct(), "torn-keys")
+    fine = fine_bags(docs, keys)
+    members = fewer_buckets(members, block)
     for most in offered:
-        rows = members.join(counts, "key")
+        rows = members.join(fine, "key")
         parts = F.ceil(F.col("size") / block).cast("int")
         rows = rows.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -580,7 +632,10 @@ def near_links(
             rows = rows.join(cut, ["bucket", "i", "j"], "left_semi")
         found = stage(block_candidates(rows, similarity, most), "block-pairs")
         pairs = found.filter("a IS NOT NULL").select("a", "b").distinct()
-        more = align_pairs(stage(pairs, "different-pairs"), docs, similarity)
+        # Pairs of the round before were aligned there.
+        pairs = stage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "different-pairs")
+        more = align_pairs(pairs, docs, similarity)
+        tried = pairs if tried is None else tried.unionByName(pairs)
         cut = stage(found.filter("a IS NULL").select("bucket", "i", "j").distinct(), "cut-blocks")
         done = cut.isEmpty()
         if not more.isEmpty():
