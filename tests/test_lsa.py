@@ -84,3 +84,15 @@ def test_vocabulary_bounds_and_ties(spark):
     # alpha (total 4, df 3) leads; beta, delta, gamma and zeta tie at 3: the alphabet decides.
     assert [(r.term, r.term_id, r.df, r.total) for r in vocab] == [("alpha", 0, 3, 4), ("beta", 1, 3, 3)]
     assert to_lists(np.eye(2)).to_pylist() == [[1.0, 0.0], [0.0, 1.0]]
+
+
+def test_rows_are_added_piece_by_piece():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 256, 700):
+        total = rng.standard_normal((900, 6))
+        rows, values, last = rng.permutation(900)[:n], rng.standard_normal((n, 5)).astype(np.float32), rng.standard_normal(n)
+        want = total.copy()
+        want[rows, :5] += values
+        want[rows, 5] += last
+        lsa._add_rows(total, rows, values, last)
+        assert (total == want).all()
