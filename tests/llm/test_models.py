@@ -351,3 +351,18 @@ def test_texts_of_a_common_passage_are_not_paired_in_blocks(spark, monkeypatch):
         found = {r.doc_id: r.class_id for r in omh.near_duplicates(docs, block=block).collect()}
         assert found == {i: i % 60 for i in range(65)}
     assert offered and sum(offered) < 60
+
+
+def test_a_block_gets_its_runs_back_and_needs_no_second_count():
+    texts = [mixer.coded_text(t) for t in ("the cat sat on the mat", "the dog ate the cat", "a mat")] * 5
+    counts = mixer.block_counts(texts, [False] * len(texts))
+    grams = counts[mixer.GRAMS][0]
+    (back,) = mixer.answers([3], [mixer.GRAMS], [mixer.pack_keys(grams)], [b""])
+    assert back[:2] == (3, mixer.GRAMS) and back[3:] == (0, 0)
+    back = mixer.unpack_keys(back[2])
+    told = {o: mixer.bit_predictions(*counts[o]) for o in mixer.PREDICTORS}
+    a, b = mixer.Answers(back, None, told), mixer.Answers(grams, {k: v[0] for k, v in counts.items()}, told)
+    assert (a.grams == b.grams).all()
+    assert all((x == y).all() for x, y in zip(a.rows + a.known, b.rows + b.known))
+    words, places = mixer.word_places(texts)
+    assert [[words[p] for p in own] for own in places] == [[*t.split(), mixer.END] for t in texts]
