@@ -366,3 +366,29 @@ def test_a_block_gets_its_runs_back_and_needs_no_second_count():
     assert all((x == y).all() for x, y in zip(a.rows + a.known, b.rows + b.known))
     words, places = mixer.word_places(texts)
     assert [[words[p] for p in own] for own in places] == [[*t.split(), mixer.END] for t in texts]
+
+
+def test_members_of_buckets_are_joined_few_times(spark, monkeypatch):
+    """Members meet their classes' buckets once before the blocks, and after them only where a block left some out."""
+    staged, put = [], omh.stage
+
+    def counted(df, name):
+        out = put(df, name)
+        staged.append((name, out.count() if name == "torn-buckets" else 0))
+        return out
+
+    monkeypatch.setattr(omh, "stage", counted)
+    rng = random.Random(4)
+    passage = [f"p{i}" for i in range(300)]
+    texts = [[f"w{rng.randrange(10**9)}" for _ in range(100)] + passage for _ in range(60)]
+    texts += [[*t[:50], "new", *t[51:]] for t in texts[:5]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in omh.near_duplicates(docs).collect()}
+    assert found == {i: i % 60 for i in range(65)}
+    names = [name for name, _ in staged]
+    assert names.count("torn-buckets") == 1 and names.index("torn-buckets") > names.index("class-pairs")
+    staged.clear()
+    # Texts of which each block offers one at a time: the second round is of the buckets cut in the first.
+    found = {r.doc_id: r.class_id for r in omh.near_duplicates(docs, offered=(0, 1 << 30)).collect()}
+    assert found == {i: i % 60 for i in range(65)}
+    assert [name for name, _ in staged].count("torn-buckets") <= 2

@@ -584,14 +584,16 @@ def near_links(
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         return align_pairs(stage(_allowed_pairs(pairs, counts, similarity), f"{name}-pairs"), docs, similarity)
 
+    def with_classes(members: DataFrame, labels: DataFrame) -> DataFrame:
+        rows = salted_join(members.select("bucket", "key", "size"), labels, "key", "left")
+        return rows.select("bucket", "key", "size", F.coalesce("least", "key").alias("class"))
+
     def torn(members: DataFrame, labels: DataFrame) -> DataFrame:
         """Those of ``members`` (bucket, key, size) whose bucket holds texts of more than one class, with their classes.
 
         Classes only grow, so a bucket of one class is done with for good.
         """
-        rows = salted_join(members.select("bucket", "key", "size"), labels, "key", "left").select(
-            "bucket", "key", "size", F.coalesce("least", "key").alias("class")
-        )
+        rows = with_classes(members, labels)
         apart = rows.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x <> y").select("bucket")
         found = stage(rows.join(apart, "bucket"), "torn-buckets")
         unstage(members)
@@ -601,10 +603,9 @@ def near_links(
     stars = members.filter("early AND key <> least").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct()
     links = verified(stars, "star")
     labels = components(links)
-    members = torn(members, labels)
 
-    # The least and the greatest text of each class of a bucket with those of its first class.
-    heads = members.groupBy("bucket", "class").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    # The least and the greatest text of each class of a bucket with those of its first class, of which there may be no other.
+    heads = with_classes(members, labels).groupBy("bucket", "class").agg(F.min("key").alias("low"), F.max("key").alias("high"))
     lead = heads.groupBy("bucket").agg(F.min(F.struct("class", "low", "high")).alias("lead"))
     lead = lead.select("bucket", F.col("lead.class").alias("first"), F.col("lead.low").alias("low_lead"), F.col("lead.high").alias("high_lead"))
     pairs = heads.join(lead, "bucket").filter("class <> first")
@@ -613,7 +614,7 @@ def near_links(
     if not more.isEmpty():
         links = links.unionByName(more)
         labels = grown(labels, more)
-        members = torn(members, labels)
+    members = torn(members, labels)
 
     # What is still apart meets in blocks.
     cut: DataFrame | None = None
@@ -641,9 +642,13 @@ def near_links(
         if not more.isEmpty():
             links = links.unionByName(more)
             labels = grown(labels, more)
-            members = members if done else torn(members, labels)
         if done:
             break
+        # Only buckets with a block that left some out are looked at again.
+        again = stage(cut.select("bucket").distinct(), "cut-buckets")
+        members = salted_join(members, again, "bucket", "left_semi")
+        if not more.isEmpty():
+            members = torn(members, labels)
     return links, labels
 
 
