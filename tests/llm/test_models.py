@@ -7,12 +7,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 from helpers import LONG, documents, no_documents, odd_documents
 
 from textorbit.llm import mixer, omh, rff
 from textorbit.llm.decontaminate import words_of
-from textorbit.session import stage
+from textorbit.session import arrow_batches, stage
 
 SF = "/root/testdata/sf0.001"
 
@@ -392,3 +393,26 @@ def test_members_of_buckets_are_joined_few_times(spark, monkeypatch):
     found = {r.doc_id: r.class_id for r in omh.near_duplicates(docs, offered=(0, 1 << 30)).collect()}
     assert found == {i: i % 60 for i in range(65)}
     assert [name for name, _ in staged].count("torn-buckets") <= 2
+
+
+def test_texts_reach_python_in_batches_of_bounded_bytes(spark, monkeypatch):
+    name, seen, put = "spark.sql.execution.arrow.maxBytesPerBatch", [], omh.stage
+    before = spark.conf.get(name)
+
+    def noted(df, what):
+        seen.append(spark.conf.get(name))
+        return put(df, what)
+
+    monkeypatch.setattr(omh, "stage", noted)
+    assert omh.keep_one(documents(spark)).count()
+    # All but the last, of a few keys.
+    assert len(seen) > 5 and {int(s) for s in seen[:-1]} == {omh.BATCH_BYTES}
+    assert spark.conf.get(name) == before
+    docs = spark.range(0, 9000, 1, 1).selectExpr("repeat('x', 3000) AS text")
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    with arrow_batches(spark, omh.BATCH_BYTES):
+        assert max(r.n for r in docs.mapInArrow(sizes, "n long").collect()) <= omh.BATCH_BYTES * 1.1

@@ -86,3 +86,15 @@ def test_all_queries_are_registered():
     names = entry.queries()
     assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
     assert names["pipeline"] is corpus_pipeline.run
+
+
+def test_stages_hand_small_batches_to_python(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for _, function in corpus_pipeline.STAGES:
+            spark.conf.set(name, str(1 << 30))
+            function(spark, no_documents(spark), SF)
+            assert int(spark.conf.get(name)) <= 8 << 20
+    finally:
+        spark.conf.set(name, before)

@@ -26,9 +26,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textorbit.llm.common import slices, table, text_key, without
+from textorbit.llm.common import BATCH_BYTES, slices, table, text_key, without
 from textorbit.llm.decontaminate import words_of
-from textorbit.session import stage, unstage
+from textorbit.session import arrow_batches, stage, unstage
 
 K = 3
 # With a fifth of the words replaced at random, three-word similarity is 0.34, a sketch of two agrees
@@ -112,7 +112,7 @@ def sketch(words: np.ndarray, salt: np.ndarray, k: int = K, kept: int = KEPT) ->
     grams = kmers(words, k)
     labelled = _mix(grams + occurrence(grams) * _GOLD)
     out = np.empty(len(salt), np.uint64)
-    step = max(1, (1 << 20) // len(grams))
+    step = max(1, (1 << 18) // len(grams))
     for at in range(0, len(salt), step):
         part = salt[at : at + step]
         if len(grams) > kept:
@@ -669,8 +669,14 @@ def _allowed_pairs(pairs: DataFrame, counts: DataFrame, similarity: float) -> Da
 def _text_classes(docs: DataFrame, similarity: float, settings: dict) -> DataFrame:
     """One row per different text: __key, class_id, class_size, whether it is its class's first text, and its copies.
 
-    Only texts with a link are grouped and joined; each other text is a class of its own.
+    Only texts with a link are grouped and joined; each other text is a class of its own. All is staged here, and texts
+    reach Python in batches of bounded bytes, as a batch is held by both sides of each core.
     """
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        return _staged_classes(docs, similarity, settings)
+
+
+def _staged_classes(docs: DataFrame, similarity: float, settings: dict) -> DataFrame:
     _, labels = near_links(docs, similarity, **settings)
     ids = docs.filter(F.col("text").isNotNull()).select("doc_id", text_key(F.col("text")).alias("key"))
     ids = stage(ids.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")).join(labels, "key", "left"), "texts")
