@@ -395,6 +395,60 @@ def test_members_of_buckets_are_joined_few_times(spark, monkeypatch):
     assert [name for name, _ in staged].count("torn-buckets") <= 2
 
 
+def test_blocks_make_no_more_pairs_than_rows(spark, monkeypatch):
+    """Texts that share a passage and all words, in another order, meet in many buckets and are no copies."""
+    rng, blocks, links, made, linked = random.Random(6), omh.block_candidates, omh.block_links, [], []
+
+    def counted(*args):
+        found = stage(blocks(*args), "test-blocks")
+        pairs = found.filter("a IS NOT NULL").select("a", "b")
+        assert pairs.distinct().count() == pairs.count()
+        made.append((args[0].count(), found.count()))
+        return found
+
+    def joined(*args):
+        found = stage(links(*args), "test-links")
+        linked.append((args[0].count(), found.count()))
+        return found
+
+    monkeypatch.setattr(omh, "block_candidates", counted)
+    monkeypatch.setattr(omh, "block_links", joined)
+    passage, rest = [f"p{i}" for i in range(200)], [f"r{i}" for i in range(120)]
+    texts = [passage + rng.sample(rest, len(rest)) for _ in range(60)]
+    texts += [[*t[:150], "new", *t[151:]] for t in texts[:5]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    docs, want = spark.createDataFrame(rows, "doc_id long, text string"), plain_classes(rows)
+    assert want == {i: i % 60 for i in range(65)}
+    for settings in ({}, {"offered": (1,)}, {"offered": (0, 2)}, {"offered": (), "block": 16}):
+        made.clear()
+        linked.clear()
+        assert {r.doc_id: r.class_id for r in omh.near_duplicates(docs, **settings).collect()} == want
+        assert len(made) == len(settings.get("offered", omh.OFFERED)) and all(n >= m for n, m in made + linked)
+        assert linked and linked[0][0]
+    # Blocks of few words, as of long texts.
+    monkeypatch.setattr(omh, "BLOCK_WORDS", 3000)
+    assert {r.doc_id: r.class_id for r in omh.near_duplicates(docs).collect()} == want
+
+
+def test_near_copies_left_out_by_blocks_are_joined_there(spark):
+    """Edits of one text that the first sketches are kept from joining: blocks offer nothing and align all."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(90)]
+    texts = []
+    for _ in range(40):
+        words = list(base)
+        for at in rng.sample(range(90), 7):
+            words[at] = f"x{rng.randrange(10**9)}"
+        texts.append(words)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    rows += [(100 + i, " ".join([f"y{rng.randrange(10**9)}" for _ in range(60)] + base[:30])) for i in range(10)]
+    docs, want = spark.createDataFrame(rows, "doc_id long, text string"), plain_classes(rows)
+    assert set(want.values()) == {0, *range(100, 110)}
+    for block in (4, 1024):
+        got = {r.doc_id: r.class_id for r in omh.near_duplicates(docs, first=0, offered=(), block=block).collect()}
+        assert got == want
+
+
 def test_texts_reach_python_in_batches_of_bounded_bytes(spark, monkeypatch):
     name, seen, put = "spark.sql.execution.arrow.maxBytesPerBatch", [], omh.stage
     before = spark.conf.get(name)

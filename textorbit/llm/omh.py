@@ -10,8 +10,9 @@ Equal texts are one text from the start. Candidates come first and from small ro
 of words. A bucket, that is, the texts which agree in a sketch, offers each text with its least one for a few
 sketches, so a bucket of any size makes as many pairs as it has members; then, for all sketches, the least and
 the greatest text of each of its classes with those of its first class. What is still apart meets in blocks of bounded size, where each
-text offers the nearest texts of other classes that counts and finer bags allow, more of them in a further round while any
-were left out. Texts that share a passage share many large buckets; those with the same least text are one there. Each different pair is then joined with its two texts, once, and aligned. Classes are
+text offers the nearest texts of other classes that counts and finer bags allow; a pair that meets in several blocks is
+offered in one of them. Texts that share a passage share many large buckets; those with the same least text are one there. Each different pair is then joined with its two texts, once, and aligned. A block offers fewer
+pairs than it has texts; those that it left out are aligned in the block itself, which gives no more links than join its classes. Classes are
 the connected components of the links.
 """
 
@@ -42,9 +43,12 @@ ONE_EDIT = 9
 # Sketches whose buckets are compared first, with their least text; the rest compares what these left apart.
 FIRST = 4
 SIMILARITY = 0.8
-# Texts of a block's half; partners that a text offers in a block, by round: the last offers all.
+# Texts and words of a block's half; partners that a text offers in a block, by round: the rest is aligned in the blocks.
 BLOCK_TEXTS = 1024
-OFFERED = (64, 1 << 30)
+BLOCK_WORDS = 1 << 20
+OFFERED = (64,)
+# Place of pairs that are not offered in any round.
+NEVER = 1 << 40
 # Joins on a key that many rows may share deal it to so many tasks.
 SALT = 4
 HOT = 10_000
@@ -460,64 +464,159 @@ def _pairs_of_blocks(block: np.ndarray, part: np.ndarray, split: np.ndarray, cla
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
-def _offered(r: np.ndarray, edits: np.ndarray, most: int) -> np.ndarray:
-    """Which pairs are among the ``most`` with least edits of their row ``r``."""
-    order = np.lexsort((edits, r))
-    ordered = r[order]
+def _order_in(groups: np.ndarray, by: np.ndarray) -> np.ndarray:
+    """Place of each element in its group, from 0, by least ``by``."""
+    order = np.lexsort((by, groups))
+    ordered = groups[order]
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    rank = np.arange(len(r)) - np.repeat(first, np.diff(np.concatenate([first, [len(r)]])))
-    out = np.empty(len(r), bool)
-    out[order] = rank < most
+    out = np.empty(len(groups), np.int64)
+    out[order] = np.arange(len(groups)) - np.repeat(first, np.diff(np.concatenate([first, [len(groups)]])))
     return out
 
 
-def block_candidates(rows: DataFrame, similarity: float, most: int) -> DataFrame:
-    """Pairs (a, b) that blocks (bucket, i, j) offer, and rows without a pair for blocks that left some out."""
+def _ranks(r: np.ndarray, edits: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Place of each pair among those of its row ``r``, by least edits; ``NEVER`` where a block has as many pairs as rows before it."""
+    if not len(r):
+        return r
+    ranks = _order_in(r, edits)
+    return np.where(_order_in(block[r], ranks) < np.bincount(block)[block[r]] - 1, ranks, NEVER)
+
+
+def _met_here(r: np.ndarray, s: np.ndarray, bucket: np.ndarray, keys: pa.Array, buckets: pa.Array) -> np.ndarray:
+    """Which pairs belong to the block where they stand: of the ``buckets`` that both texts are in, the keys pick one."""
+    rows, back = np.unique(np.concatenate([r, s]), return_inverse=True)
+    own = [frozenset(x) for x in buckets.take(pa.array(rows)).to_pylist()]
+    named = [int.from_bytes(x[:8], "little") for x in keys.take(pa.array(rows)).to_pylist()]
+    found = []
+    for x, y, here in zip(back[: len(r)].tolist(), back[len(r) :].tolist(), bucket[r].tolist()):
+        common = sorted(own[x] & own[y])
+        found.append(common[(named[x] ^ named[y]) % len(common)] == here)
+    return np.array(found, bool)
+
+
+def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows in the order of their blocks (bucket, i, j), some blocks at a time, each whole."""
+    held: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        held = rows if held is None else pa.concat_tables([held, rows])
+        open_ = np.ones(held.num_rows, bool)
+        for c in ("bucket", "i", "j"):
+            open_ &= held.column(c).to_numpy() == held.column(c)[-1].as_py()
+        ready = held.num_rows - int(open_.sum())
+        if ready:
+            yield held.slice(0, ready)
+            held = held.slice(ready).combine_chunks()
+    if held is not None:
+        yield held
+
+
+def _numbered(column: pa.ChunkedArray) -> np.ndarray:
+    return np.unique(np.array([c.hex() for c in column.to_pylist()]), return_inverse=True)[1]
+
+
+def _left_pairs(rows: pa.Table, similarity: float, low: int):
+    """Pairs (r, s) of whole blocks that may be similar, belong to their block and stand at place ``low`` or later among
+    those of r; their least edits, their places, the numbers of the blocks, and of the classes as they are now.
+
+    Places go by the classes before the first round, so they are the same in all rounds.
+    """
+    place = [rows.column(c).to_numpy() for c in ("bucket", "i", "j")]
+    change = np.zeros(rows.num_rows, bool)
+    for c in place:
+        change[1:] |= c[1:] != c[:-1]
+    block, now = np.cumsum(change), _numbered(rows.column("now"))
+    r, s, edits = _pairs_of_blocks(
+        block, rows.column("part").to_numpy(), place[1] != place[2], _numbered(rows.column("class")), rows.column("n").to_numpy(),
+        _fine_bags(rows.column("bag")), similarity,
+    )
+    if not len(r):
+        return r, s, edits, r, block, now
+    ok = _met_here(r, s, place[0], _plain(rows.column("key")), _plain(rows.column("buckets")))
+    r, s, edits = r[ok], s[ok], edits[ok]
+    ranks = _ranks(r, edits, block)
+    ok = (ranks >= low) & (now[r] != now[s])
+    return r[ok], s[ok], edits[ok], ranks[ok], block, now
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "key")
+
+
+def block_candidates(rows: DataFrame, similarity: float, low: int, most: int) -> DataFrame:
+    """Pairs (a, b) that blocks (bucket, i, j) offer, and rows without a pair for blocks that left some out.
+
+    Each text offers those from place ``low`` to ``most``, of the pairs in which it is the lesser. In all rounds together a
+    block makes no more rows than it has, and one a round if it left some out.
+    """
     schema = "bucket long, i int, j int, a binary, b binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-
-        def pairs(rows: pa.Table) -> pa.RecordBatch:
-            place = [rows.column(c).to_numpy() for c in ("bucket", "i", "j")]
-            change = np.zeros(rows.num_rows, bool)
-            for c in place:
-                change[1:] |= c[1:] != c[:-1]
-            block = np.cumsum(change)
-            classes = np.unique(np.array([c.hex() for c in rows.column("class").to_pylist()]), return_inverse=True)[1]
-            r, s, edits = _pairs_of_blocks(
-                block, rows.column("part").to_numpy(), place[1] != place[2], classes, rows.column("n").to_numpy(), _fine_bags(rows.column("bag")), similarity
-            )
-            taken = _offered(r, edits, most) if len(r) else np.zeros(0, bool)
-            cut = np.unique(block[r[~taken]])
-            cut = np.searchsorted(block, cut)
+        for rows in _whole_blocks(batches):
+            r, s, _, ranks, block, _ = _left_pairs(rows, similarity, low)
+            taken = ranks < most
+            cut = np.searchsorted(block, np.unique(block[r[~taken]]))
             r, s = r[taken], s[taken]
-            keys = rows.column("key").combine_chunks()
+            keys = _plain(rows.column("key"))
             x, y = keys.take(pa.array(r)), keys.take(pa.array(s))
             where = np.concatenate([r, cut])
             nothing = pa.nulls(len(cut), pa.binary())
             # Rows stand in the order of their keys within a block, so x is the lesser one.
-            columns = [*(pa.array(c[where]) for c in place), pa.concat_arrays([_plain(x), nothing]), pa.concat_arrays([_plain(y), nothing])]
-            return pa.RecordBatch.from_arrays(columns, ["bucket", "i", "j", "a", "b"])
+            columns = [*(pa.array(rows.column(c).to_numpy()[where]) for c in ("bucket", "i", "j")), pa.concat_arrays([_plain(x), nothing]), pa.concat_arrays([_plain(y), nothing])]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "i", "j", "a", "b"])
+
+    return _blocks(rows).mapInArrow(run, schema)
+
+
+def block_links(rows: DataFrame, similarity: float, low: int) -> DataFrame:
+    """Links among the pairs of blocks from place ``low`` on, aligned where they stand, the nearest first.
+
+    ``rows`` have their ``words``. Texts whose classes earlier links join are not aligned any more, so a block gives fewer
+    links than it has rows.
+    """
+    schema = "a binary, b binary, similarity double"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_blocks(batches):
+            r, s, edits, _, _, now = _left_pairs(rows, similarity, low)
+            keys, words, root, found = rows.column("key"), rows.column("words"), list(range(rows.num_rows)), []
+
+            def top(x: int) -> int:
+                while root[x] != x:
+                    root[x] = x = root[root[x]]
+                return x
+
+            order = np.argsort(edits, kind="stable")
+            for x, y in zip(r[order].tolist(), s[order].tolist()):
+                p, q = top(now[x]), top(now[y])
+                if p == q:
+                    continue
+                u, v = (np.frombuffer(words[z].as_py(), np.uint64) for z in (x, y))
+                longer = max(len(u), len(v))
+                needed = edit_distance(u, v, int((1 - similarity) * longer + 1e-9))
+                if needed is not None:
+                    root[q] = p
+                    found.append((keys[x].as_py(), keys[y].as_py(), 1 - needed / longer))
+            columns = zip(*found) if found else ((), (), ())
+            types = (pa.binary(), pa.binary(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["a", "b", "similarity"])
+
+    return _blocks(rows).mapInArrow(run, schema)
+
+
+def hashed_words(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Hashes of the words of the text of each of the different ``keys``, staged: key, words (packed)."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = pa.Table.from_batches([batch])
-            held = rows if held is None else pa.concat_tables([held, rows])
-            last = [held.column(c)[-1].as_py() for c in ("bucket", "i", "j")]
-            open_ = np.ones(held.num_rows, bool)
-            for c, v in zip(("bucket", "i", "j"), last):
-                open_ &= held.column(c).to_numpy() == v
-            ready = held.num_rows - int(open_.sum())
-            if ready:
-                yield pairs(held.slice(0, ready))
-                held = held.slice(ready).combine_chunks()
-        if held is not None:
-            yield pairs(held)
-
-    ordered = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "key")
-    return ordered.mapInArrow(run, schema)
+            for part in slices(batch):
+                words = [hashes(words_of(t)).tobytes() for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(words, pa.binary())], ["key", "words"])
+
+    return stage(texts_of(docs, keys).select("key", "text").mapInArrow(run, "key binary, words binary"), "block-words")
 
 
 def fine_bags(docs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -617,38 +716,46 @@ def near_links(
     members = torn(members, labels)
 
     # What is still apart meets in blocks.
-    cut: DataFrame | None = None
-    tried: DataFrame | None = None
-    keys = stage(members.select("key").distinct(), "torn-keys")
-    fine = fine_bags(docs, keys)
     members = fewer_buckets(members, block)
-    for most in offered:
-        rows = members.join(fine, "key")
-        parts = F.ceil(F.col("size") / block).cast("int")
-        rows = rows.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    shared = stage(members.groupBy("key").agg(F.collect_list("bucket").alias("buckets")), "torn-keys")
+    fine = fine_bags(docs, shared.select("key"))
+    words = members.select("bucket", "key").join(fine.select("key", "n"), "key").groupBy("bucket").agg(F.sum("n").alias("words"))
+    long = stage(words.filter(F.col("words") > BLOCK_WORDS), "long-buckets")
+    parts = F.ceil(F.greatest(F.col("size") / block, F.coalesce("words", F.lit(0)) / BLOCK_WORDS)).cast("int")
+    members = salted_join(members, long, "bucket", "left").select("bucket", "key", "class", parts.alias("parts"))
+    members = members.withColumn("now", F.col("class"))
+    cut: DataFrame | None = None
+
+    def in_blocks() -> DataFrame:
+        """Members in each block (bucket, i, j) of theirs, in later rounds in those that left some out."""
+        rows = members.withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        rows = rows.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
-        rows = rows.select("bucket", "i", "j", "part", "key", "class", "n", "bag")
-        if cut is not None:
-            rows = rows.join(cut, ["bucket", "i", "j"], "left_semi")
-        found = stage(block_candidates(rows, similarity, most), "block-pairs")
-        pairs = found.filter("a IS NOT NULL").select("a", "b").distinct()
-        # Pairs of the round before were aligned there.
-        pairs = stage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "different-pairs")
-        more = align_pairs(pairs, docs, similarity)
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        cut = stage(found.filter("a IS NULL").select("bucket", "i", "j").distinct(), "cut-blocks")
-        done = cut.isEmpty()
+        rows = rows.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}).drop("parts", "other")
+        return rows if cut is None else rows.join(cut, ["bucket", "i", "j"], "left_semi")
+
+    def with_bags(rows: DataFrame) -> DataFrame:
+        return rows.join(fine, "key").join(shared, "key")
+
+    low = 0
+    for most in offered:
+        found = stage(block_candidates(with_bags(in_blocks()), similarity, low, most), "block-pairs")
+        more = align_pairs(stage(found.filter("a IS NOT NULL").select("a", "b"), "different-pairs"), docs, similarity)
         if not more.isEmpty():
             links = links.unionByName(more)
             labels = grown(labels, more)
-        if done:
-            break
+        low, cut = most, stage(found.filter("a IS NULL").select("bucket", "i", "j"), "cut-blocks")
+        if cut.isEmpty():
+            return links, labels
         # Only buckets with a block that left some out are looked at again.
         again = stage(cut.select("bucket").distinct(), "cut-buckets")
-        members = salted_join(members, again, "bucket", "left_semi")
-        if not more.isEmpty():
-            members = torn(members, labels)
+        members = salted_join(salted_join(members.drop("now"), again, "bucket", "left_semi"), labels, "key", "left")
+        members = stage(members.withColumn("now", F.coalesce("least", "key")).drop("least"), "cut-members")
+    rows = stage(in_blocks(), "left-members")
+    rows = with_bags(rows).join(hashed_words(docs, stage(rows.select("key").distinct(), "left-keys")), "key")
+    more = stage(block_links(rows, similarity, low), "block-links")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        labels = grown(labels, more)
     return links, labels
 
 
