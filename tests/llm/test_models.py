@@ -431,22 +431,27 @@ def test_blocks_make_no_more_pairs_than_rows(spark, monkeypatch):
 
 
 def test_near_copies_left_out_by_blocks_are_joined_there(spark):
-    """Edits of one text that the first sketches are kept from joining: blocks offer nothing and align all."""
-    rng = random.Random(8)
-    base = [f"w{i}" for i in range(90)]
-    texts = []
-    for _ in range(40):
-        words = list(base)
-        for at in rng.sample(range(90), 7):
-            words[at] = f"x{rng.randrange(10**9)}"
-        texts.append(words)
-    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
-    rows += [(100 + i, " ".join([f"y{rng.randrange(10**9)}" for _ in range(60)] + base[:30])) for i in range(10)]
-    docs, want = spark.createDataFrame(rows, "doc_id long, text string"), plain_classes(rows)
-    assert set(want.values()) == {0, *range(100, 110)}
-    for block in (4, 1024):
-        got = {r.doc_id: r.class_id for r in omh.near_duplicates(docs, first=0, offered=(), block=block).collect()}
-        assert got == want
+    """Two blocks share all their texts: each pair is aligned in one of them, and links only join classes."""
+    rng, hashes = random.Random(8), omh.WordHashes()
+    base = [b"w%d" % i for i in range(90)]
+    texts = [[b"x%d" % rng.randrange(10**9) if i in at else w for i, w in enumerate(base)] for at in (rng.sample(range(90), 7) for _ in range(30))]
+    texts += [[b"y%d" % i for i in range(90)]]
+    rows = []
+    for bucket in (3, 4):
+        for i, text in enumerate(texts):
+            key, words = (b"%016d" % i)[::-1], hashes(text)
+            rows.append((bucket, 0, 0, 0, key, key, key, len(words), omh.fine_bag(words).tobytes(), [3, 4], words.tobytes()))
+    schema = "bucket long, i int, j int, part int, key binary, class binary, now binary, n int, bag binary, buckets array<long>, words binary"
+    df = spark.createDataFrame(rows, schema)
+    links = [(int(r.a[::-1]), int(r.b[::-1]), r.similarity) for r in omh.block_links(df, 0.8, 0).collect()]
+    found = components(range(31), [(a, b) for a, b, _ in links])
+    assert found == {i: 0 if i < 30 else 30 for i in range(31)}
+    assert len(links) <= 58 and len({(a, b) for a, b, _ in links}) == len(links) and all(s >= 0.8 for *_, s in links)
+    assert omh.block_links(df, 0.8, omh.NEVER + 1).isEmpty()
+    offered = omh.block_candidates(df.drop("words"), 0.8, 0, 64).collect()
+    assert len(offered) <= len(rows) and {r.bucket for r in offered if r.a is None} == {3, 4}
+    pairs = [(r.a, r.b) for r in offered if r.a is not None]
+    assert len(set(pairs)) == len(pairs) == 60
 
 
 def test_texts_reach_python_in_batches_of_bounded_bytes(spark, monkeypatch):
