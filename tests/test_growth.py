@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from textorbit.functions import terms, vectors
-from textorbit.operators import corpus, tfidf
+from textorbit.operators import corpus, search, tfidf
 from textorbit.streaming import cache as ca
 
 SF = "/root/testdata/sf0.001"
@@ -47,10 +47,36 @@ def test_rounds_of_the_cache_broadcast_no_rows(spark):
     assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
 
 
-def test_blocks_ask_for_every_hundredth_vector(spark):
-    asked = entry.queries()["vector_topk_blocks"](spark, SF).groupBy("query_id").count().collect()
-    ids = [r.vec_id for r in spark.read.parquet(f"{SF}/embeddings.parquet").filter("vec_id % 100 = 0").collect()]
-    assert sorted(r.query_id for r in asked) == sorted(ids) and all(r["count"] == 5 for r in asked)
+def test_blocks_ask_for_every_vector(spark):
+    got = {(r.query_id, r["rank"]): r.score for r in entry.queries()["vector_topk_blocks"](spark, SF).collect()}
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").toArrow().sort_by("vec_id")
+    ids, labels = rows.column("vec_id").to_numpy(), rows.column("label").to_numpy()
+    x = vectors.to_matrix(rows.column("embedding"), 64)
+    scores = np.where((ids[:, None] % 3 == 0) | (labels[:, None] == labels), x @ x.T, -np.inf)
+    best = -np.sort(-scores, axis=1)[:, :5]
+    want = {(int(i), r + 1): best[at, r] for at, i in enumerate(ids) for r in range(5) if best[at, r] > -np.inf}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+
+
+def test_small_blocks_and_shards_are_joined_where_there_are_many(spark, monkeypatch):
+    x = vectors.unit_rows(np.random.default_rng(6).standard_normal((300, 8))).astype(np.float32)
+    ids = [f"{i:03d}" for i in range(300)]
+    docs = spark.createDataFrame(pa.table({"id": ids, "category": ["a"] * 300, "embedding": vectors.to_lists(x)}))
+    wanted = pa.array([None, "a"] * 150, pa.string())
+    ask = spark.createDataFrame(pa.table({"query_id": list(range(300)), "embedding": vectors.to_lists(x), "top_k": [3] * 300, "category": wanted}))
+    made = []
+    stage = search.stage
+    monkeypatch.setattr(search, "stage", lambda df, name: made.append((name, stage(df, name))) or made[-1][1])
+    hits = search.top_k(ask, docs, max_block=2, shard_docs=3)
+    cuts = {name: [r[-1] for r in df.collect()] for name, df in made}
+    assert cuts["query-blocks"] == [16, 16] and cuts["document-shards"] == [16]
+    want = np.argsort(-np.round(x.astype(float) @ x.astype(float).T, 12), axis=1, kind="stable")[:, :3]
+    assert sorted((r.query_id, r["rank"], int(r.id)) for r in hits.collect()) == [(q, k + 1, int(want[q, k])) for q in range(300) for k in range(3)]
+    monkeypatch.setattr(search, "MAX_BLOCK_QUERIES", 5)
+    monkeypatch.setattr(search, "SHARD_DOCS", 10)
+    made.clear()
+    assert search.top_k(ask, docs, max_block=2, shard_docs=3).count() == 900
+    assert [[r[-1] for r in df.collect()] for name, df in made if name != "queries"] == [[30, 30], [30]]
 
 
 def test_lookup_cleans_posts_once(spark, monkeypatch):
