@@ -96,3 +96,23 @@ def test_rows_are_added_piece_by_piece():
         want[rows, 5] += last
         lsa._add_rows(total, rows, values, last)
         assert (total == want).all()
+
+
+def test_chunks_multiply_like_dense_rows_without_wide_blocks(monkeypatch):
+    rng = np.random.default_rng(8)
+    dense = np.where(rng.random((300, 400)) < rng.random(400) ** 8 * 0.6, rng.random((300, 400)), 0.0)
+    dense[[0, 7, 299]] = 0.0
+    lengths, ids, weights = (dense > 0).sum(axis=1), np.nonzero(dense)[1].astype(np.int32), dense[dense > 0]
+    basis = rng.standard_normal((400, 9))
+    want = np.concatenate([dense.T @ (dense @ basis), dense.sum(axis=0)[:, None]], axis=1)
+    for rows, entries, cells, at_once in ((4096, 1 << 20, 1 << 23, 256), (70, 500, 300, 8), (1, 1, 0, 1)):
+        for name, value in (("ROWS", rows), ("ENTRIES", entries), ("CELLS", cells)):
+            monkeypatch.setattr(lsa, f"_CHUNK_{name}", value)
+        monkeypatch.setattr(lsa, "_ROWS_AT_ONCE", at_once)
+        total, scores = np.zeros((400, 10)), np.zeros((300, 9))
+        for lo, hi, chunk in lsa._chunks(lengths, ids, weights):
+            # Only terms of many of its rows take a column of a block, not every term of the chunk.
+            assert chunk.block.size <= max(cells, 0) and (chunk.n < 200 or len(chunk.common) < 0.7 * len(chunk.terms))
+            scores[lo:hi] = chunk.times(basis)
+            chunk.add_transposed(scores[lo:hi], total)
+        assert np.allclose(scores, dense @ basis, atol=1e-12) and np.allclose(total, want, atol=1e-11)
