@@ -4,10 +4,13 @@ import hashlib
 import re
 import unicodedata
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from textorbit.functions import terms as tm
+from textorbit.functions import text as tx
 from textorbit.operators import corpus as co
 from textorbit.sources.posts import read_posts
 
@@ -122,3 +125,43 @@ def test_category_outputs(spark):
         "categories": ["x", "y"],
     }
     assert {r.category: r.n for r in docs.groupBy("category").agg(F.count("*").alias("n")).collect()} == {"x": 2, "y": 1}
+
+
+def test_plain_texts_are_cut_into_tokens_as_the_pattern_does(spark):
+    """In Python all texts of plain characters, against the JVM's lower case, folding and pattern."""
+    rng = np.random.default_rng(9)
+    plain = "".join(map(chr, tm._PLAIN))
+    signs = ["a", "b", "Z", "q", "7", "0", "-", "-", "_", " ", "\n", "\u00e9", "\u00c9", "\u00df", "\u00d7", "\u0142", "\u017f", "."]
+    texts = ["".join(rng.choice(signs, n)) for n in rng.integers(0, 60, 3000)]
+    texts += [" ab".join(plain), "ab".join(plain), "-".join(plain), "", " ", "abc", "\u00e9t\u00e9 \u00e9t\u00e9s", None]
+    odd = ["stra\u00dfe \ufb01ne caf\u00e9", "abc\u0130def \u0130stanbul", "a\u0301bc abc", "\u2019tis isn\u2019t", "x\u00b2 abc\u00aa", "abc \U0001f600 def", "\u0149abc \u0133sland"]
+    texts = [t for pair in zip(texts, odd * 1000) for t in pair]
+    frame = spark.createDataFrame(pa.table({"id": list(range(len(texts))), "text": pa.array(texts, pa.string())}))
+    rows = tm.with_odd_tokens(tm.with_tokens(frame, "text", "want"), "text", "odd").toArrow().sort_by("id")
+    want, found = rows.column("want").combine_chunks(), rows.column("odd").combine_chunks()
+    assert [i for i, t in enumerate(found.to_pylist()) if t is not None] == list(range(1, len(texts), 2))
+    got = tm.tokens_of(rows.column("text").combine_chunks(), found)
+    assert [t or [] for t in want.to_pylist()] == got.to_pylist()
+    parts = [t for lo, part in tm.text_slices(rows.column("text").combine_chunks(), found) for t in part.to_pylist()]
+    assert parts == got.to_pylist()
+    assert tm.tokens_of(pa.array(["x"] * 3).slice(1, 0), found.slice(0, 0)).to_pylist() == []
+
+
+def test_distinct_terms_are_coded_as_all_terms_are_found():
+    tokens = pa.array([["aa", "bb", "aa", "bb"], [], None, ["bb"], ["cc", "aa", "bb"]])
+    row, place, names = tm.coded_terms(tokens.slice(0))
+    want_row, want = tm.terms_of(tokens)
+    assert row.tolist() == want_row.tolist() and names.take(pa.array(place)).to_pylist() == want.to_pylist()
+    assert len(set(names.to_pylist())) == len(names)
+
+
+def test_white_space_is_collapsed_and_blanks_counted_as_before(spark):
+    rng = np.random.default_rng(10)
+    signs = [" ", " ", "\t", "\n", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u202f", "\u3000", "a", "\u00e9", "\u2019", "~", "!", "\x7f", "\x00"]
+    texts = ["".join(rng.choice(signs, n)) for n in rng.integers(0, 30, 2000)] + ["", " ", "  ", "a b", "a \n b", "\na", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "raw string")
+    flat = frame.select("raw", tx.flattened(F.col("raw")).alias("flat"), F.trim(F.regexp_replace("raw", tx.WS + "+", " ")).alias("want"))
+    rows = flat.select("*", tx.flat_token_count(F.col("flat")).alias("n"), tx.token_count(F.col("flat")).alias("words")).collect()
+    assert all(r.flat == r.want and r.n == r.words for r in rows)
+    plan = flat._jdf.queryExecution().optimizedPlan().toString() + str(tx.flat_token_count(F.col("x")))
+    assert tx.WIDE_WS in plan and "translate" not in plan
