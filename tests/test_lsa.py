@@ -116,3 +116,16 @@ def test_chunks_multiply_like_dense_rows_without_wide_blocks(monkeypatch):
             scores[lo:hi] = chunk.times(basis)
             chunk.add_transposed(scores[lo:hi], total)
         assert np.allclose(scores, dense @ basis, atol=1e-12) and np.allclose(total, want, atol=1e-11)
+
+
+def test_packed_rows_are_the_lists_as_bytes(spark):
+    docs = spark.createDataFrame([(str(i), t) for i, t in enumerate([*TEXTS, "", None, "nothing known"])], "id string, text string")
+    vocab = tfidf.collect_vocab(tfidf.fit_vocab(docs, min_df=1, max_df=1.0))
+    vocab = vocab.filter(pa.compute.not_equal(vocab.column("term"), "nothing")).slice(0, 9)
+    lists = tfidf.sparse_rows(docs, vocab).toArrow().sort_by("id").combine_chunks()
+    packed = tfidf.sparse_rows(docs, vocab, packed=True)
+    assert dict(packed.dtypes)["term_ids"] == dict(packed.dtypes)["weights"] == "binary"
+    packed = packed.toArrow().sort_by("id").combine_chunks()
+    for at, n in ((0, 8), (2, 5), (5, 3), (8, 0)):
+        parts = [lsa._sparse_parts(*(t.column(c).chunk(0).slice(at, n) for c in ("term_ids", "weights"))) for t in (lists, packed)]
+        assert all(np.array_equal(a, b) for a, b in zip(*parts)) and len(parts[0][0]) == n

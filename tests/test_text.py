@@ -144,7 +144,7 @@ def test_plain_texts_are_cut_into_tokens_as_the_pattern_does(spark):
     assert [t or [] for t in want.to_pylist()] == got.to_pylist()
     parts = [t for lo, part in tm.text_slices(rows.column("text").combine_chunks(), found) for t in part.to_pylist()]
     assert parts == got.to_pylist()
-    assert tm.tokens_of(pa.array(["x"] * 3).slice(1, 0), found.slice(0, 0)).to_pylist() == []
+    assert parts and tm.tokens_of(pa.array(["x"] * 3).slice(1, 0), found.slice(0, 0)).to_pylist() == []
 
 
 def test_distinct_terms_are_coded_as_all_terms_are_found():
@@ -165,3 +165,12 @@ def test_white_space_is_collapsed_and_blanks_counted_as_before(spark):
     assert all(r.flat == r.want and r.n == r.words for r in rows)
     plan = flat._jdf.queryExecution().optimizedPlan().toString() + str(tx.flat_token_count(F.col("x")))
     assert tx.WIDE_WS in plan and "translate" not in plan
+
+
+def test_broken_characters_are_not_plain():
+    """The first byte of a pair at a text's end, its second at the next one's start, and one that no pair has."""
+    raw = [b"abc\xc3", b"\xa9abc", b"caf\xc3\xa9", b"\xc3\xc3\xa9", b"\xc3\xa9\xa9", b"\xff", b"", b"\xc2\xa0", b"\xe2\x80\x99", b"\xc4\xb0", b"\xc5\xbf\xc3\x97"]
+    offsets = np.concatenate([[0], np.cumsum([len(b) for b in raw])]).astype(np.int32)
+    texts = pa.StringArray.from_buffers(len(raw), pa.py_buffer(offsets), pa.py_buffer(b"".join(raw)))
+    assert np.flatnonzero(~tm._odd(texts)).tolist() == [2, 6, 10]
+    assert tm._odd(texts.slice(2, 1)).tolist() == [False] and tm._odd(texts.slice(0, 0)).tolist() == []
